@@ -6,6 +6,7 @@ from transitlake.sources.lake import (
     read_delimited,
     read_lines,
     shared_root,
+    spread,
     write_delimited,
     write_lines,
 )
@@ -16,6 +17,7 @@ __all__ = [
     "read_delimited",
     "read_lines",
     "shared_root",
+    "spread",
     "write_delimited",
     "write_lines",
 ]

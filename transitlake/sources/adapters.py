@@ -19,6 +19,8 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from transitlake.sources.lake import spread
+
 # Trip days are spread over 2024-01-01 .. 2024-01-30 so they overlap the
 # GPS pings (``events.ts`` covers January 2024).
 TRIP_FIRST_DAY = "2024-01-01"
@@ -49,8 +51,13 @@ TRIP_HEADERS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
+    """A warehouse table (optionally pruned to ``columns``), spread over the
+    session's cores when the file is a single split."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if columns is not None:
+        df = df.select(*columns)
+    return spread(df)
 
 
 def _s(c: Column) -> Column:
@@ -84,7 +91,7 @@ def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Pings with ``event_id % 20 = 0`` appear twice verbatim; those with
     ``% 20 = 1`` appear again with speed + 1 (same vehicle and time).
     """
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    ev = table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
     base = ev.select(_ping_line(0))
     repeats = ev.filter(F.col("event_id") % 20 == 0).select(_ping_line(0))
     conflicts = ev.filter(F.col("event_id") % 20 == 1).select(_ping_line(1))
@@ -98,7 +105,7 @@ def routes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     Suppliers with ``s_suppkey % 10 = 9`` are missing; those with ``% 10 = 8``
     are listed twice; ``% 7 = 0`` get a lettered public code.
     """
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    sup = table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     k = F.col("s_suppkey")
     code = F.when(k % 7 == 0, F.concat(F.lit("SC"), _s(k), F.lit("A"))).otherwise(
         F.concat(F.lit(" "), _s(k), F.lit("-0"), _s(k % 4))
@@ -134,9 +141,10 @@ def _clock(minute_of_day: Column) -> Column:
 def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trip-control records, all text, one per ``lineitem`` row, with the
     published (upper-case, spaced) headers."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_linestatus",
+    li = table(
+        spark, sf_dir, "lineitem",
+        ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+         "l_extendedprice", "l_returnflag", "l_linestatus"],
     )
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     day = F.date_format(

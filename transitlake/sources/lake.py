@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -112,6 +113,33 @@ class Lake:
         return out
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that came out as fewer splits than there are cores.
+
+    A Parquet file written as one row group can only be read by one task,
+    however large it is; everything narrow downstream then runs on one
+    core.  Below ``min_partitions`` (default: the session's default
+    parallelism) the rows are redistributed; a normal multi-file input is
+    returned untouched, so at scale this costs nothing.
+
+    The redistribution is followed by an observed row count.  Besides
+    being a useful metric, the observation keeps Catalyst from pushing
+    later filters below the redistribution -- it may push filters through
+    a repartition, which would put the filtering work (often the heaviest
+    parsing) back into the single scan task.
+    """
+    spark = df.sparkSession
+    try:
+        target = min_partitions or spark.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # Spark Connect: no RDD view, leave the plan alone
+        return df
+    if current >= target:
+        return df
+    name = f"spread_{uuid.uuid4().hex[:12]}"
+    return df.repartition(target).observe(name, F.count(F.lit(1)).alias("rows"))
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Line-oriented text scan: one ``value`` string per line."""
     return spark.read.text(path)
