@@ -470,6 +470,7 @@ SQL: dict[str, str] = {
         "silver_routes",
     ),
     "bronze_gps_roundtrip": with_ctes("SELECT value, 'gps' AS _source_file FROM gps_raw", "gps_raw"),
+    "streamed_bronze_gps": with_ctes("SELECT value, 'gps' AS _source_file FROM gps_raw", "gps_raw"),
     "bronze_routes_roundtrip": with_ctes(
         """SELECT NULLIF("NumeroLinha", '') AS "NumeroLinha", NULLIF("Linha", '') AS "Linha",
                   NULLIF("Nome", '') AS "Nome", 'linhas' AS _source_file FROM routes_raw""",

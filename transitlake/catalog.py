@@ -212,6 +212,20 @@ def bronze_trips_roundtrip(spark, d):
     return _bronze_roundtrip(spark, d, "mco")
 
 
+def streamed_bronze_gps(spark, d):
+    """GPS dump files ingested incrementally into bronze (several
+    micro-batches of four files each), then a second run that must find
+    nothing new; the bronze table read back."""
+    from transitlake.sources.lake import write_lines
+    from transitlake.streaming import ingest_gps_incrementally
+
+    lake = Lake.on_shared_storage(spark)
+    landing = write_lines(adapters.gps_raw(spark, d), lake.path("landing", "gps"))
+    ingest_gps_incrementally(spark, landing, lake, max_files_per_trigger=4)
+    ingest_gps_incrementally(spark, landing, lake, max_files_per_trigger=4)
+    return lake.read(spark, "bronze", "gps").select("value", "_source_file")
+
+
 # Day from which the partition-overwrite query re-writes the ping table.
 REWRITE_FROM = "2024-01-16"
 
@@ -290,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "bronze_gps_roundtrip": bronze_gps_roundtrip,
     "bronze_routes_roundtrip": bronze_routes_roundtrip,
     "bronze_trips_roundtrip": bronze_trips_roundtrip,
+    "streamed_bronze_gps": streamed_bronze_gps,
     "partitioned_overwrite": partitioned_overwrite,
     "observed_silver_counts": observed_silver_counts,
     "medallion_end_to_end": medallion_end_to_end,
