@@ -54,3 +54,32 @@ def test_gold_not_published_on_violation(spark, sf_small):
     assert not os.path.exists(lake.path("gold", layers.GOLD_TABLE))
     metrics = layers.run_gold(spark, lake, policy="warn")
     assert metrics["numero_linha_null"] == metrics["rows"] > 0
+
+
+class _FakeConf:
+    def get(self, key, default=None):
+        return default
+
+
+class _FakeContext:
+    def __init__(self):
+        self.registered = None
+
+    def getCheckpointDir(self):
+        return self.registered
+
+    def setCheckpointDir(self, path):
+        self.registered = path
+
+
+class _FakeSession:
+    def __init__(self):
+        self.conf = _FakeConf()
+        self.sparkContext = _FakeContext()
+
+
+def test_checkpoint_dir_fallback_registers_without_conf_set():
+    fake = _FakeSession()
+    first = checkpoint_dir(fake)
+    assert fake.sparkContext.registered == first
+    assert checkpoint_dir(fake) == first

@@ -27,19 +27,23 @@ DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    When the session has none (a local run), a fresh temporary folder is
-    created and registered as the checkpoint directory, as tests do.
+    Falls back to the directory registered with ``setCheckpointDir``.  When
+    the session has neither (a local run), a fresh temporary folder is
+    created and registered as the checkpoint directory, as tests do; that
+    is the only case in which a machine-local folder is used.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
+    getters = (
+        lambda: spark.conf.get("spark.checkpoint.dir", None),
+        lambda: spark.sparkContext.getCheckpointDir(),
+    )
+    for get in getters:
         try:
-            configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            found = get()
         except Exception:  # Spark Connect has no SparkContext
-            configured = None
-    if configured:
-        return configured
+            found = None
+        if found:
+            return found
     local = tempfile.mkdtemp(prefix="transitlake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     try:
         spark.sparkContext.setCheckpointDir(local)
     except Exception:
