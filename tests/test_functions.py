@@ -147,3 +147,14 @@ def test_speed_range(spark):
 
     df = spark.createDataFrame([(v,) for v in [0, 120, -1, 121, None]], "v int")
     assert sorted(r.v for r in df.filter(in_range(F.col("v"), 0, 120)).collect()) == [0, 120]
+
+
+@pytest.mark.parametrize("text", ["abc", "ab/cd/efgh ij:kl", "03/01/2020 1x:44:00", "03/01/2020 15:44:0x", ""])
+def test_malformed_wallclock_never_raises(spark, text):
+    df = spark.createDataFrame([(text,)], "s string")
+    row = df.select(
+        parse_wallclock("s", "dd/MM/yyyy HH:mm[:ss]").alias("a"),
+        parse_day("s").alias("b"),
+        clock_minutes("s").alias("c"),
+    ).first()
+    assert row == (None, None, None)

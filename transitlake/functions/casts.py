@@ -23,14 +23,22 @@ def _integer_part(c) -> Column:
     return F.regexp_extract(F.trim(as_col(c)), _INTEGER_TEXT, 1)
 
 
+def _lenient_integral(c, type_name: str) -> Column:
+    # Fast path first: a plain integer casts directly.  Only text that the
+    # strict cast rejects (a fraction such as "12.7") pays for the regex;
+    # coalesce short-circuits, so the common case runs no regex at all.
+    c = as_col(c)
+    return F.coalesce(_try_cast(c, type_name), _try_cast(_integer_part(c), type_name))
+
+
 def lenient_int(c) -> Column:
     """Text -> INT; malformed or out-of-range text -> NULL (never raises)."""
-    return _try_cast(_integer_part(c), "int")
+    return _lenient_integral(c, "int")
 
 
 def lenient_long(c) -> Column:
     """Text -> BIGINT with the same rule as :func:`lenient_int`."""
-    return _try_cast(_integer_part(c), "bigint")
+    return _lenient_integral(c, "bigint")
 
 
 def lenient_double(c) -> Column:

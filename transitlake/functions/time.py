@@ -63,7 +63,7 @@ def _one(c: Column, pattern: str) -> Column:
         if tok not in fields:
             return F.lit(default)
         p, n = fields[tok]
-        return F.substring(c, p, n).cast("int")
+        return F.substring(c, p, n).try_cast("int")
 
     ts = F.try_make_timestamp_ntz(
         field("yyyy", 1970), field("MM", 1), field("dd", 1),
@@ -96,7 +96,7 @@ CLOCK_REGEX = r"^([01][0-9]|2[0-3]):[0-5][0-9]$"
 def clock_minutes(clock) -> Column:
     """``HH:mm`` text -> minute of the day (INT), NULL when malformed."""
     c = as_col(clock)
-    minutes = F.substring(c, 1, 2).cast("int") * 60 + F.substring(c, 4, 2).cast("int")
+    minutes = F.substring(c, 1, 2).try_cast("int") * 60 + F.substring(c, 4, 2).try_cast("int")
     return F.when(c.rlike(CLOCK_REGEX), minutes)
 
 
