@@ -83,3 +83,20 @@ def test_checkpoint_dir_fallback_registers_without_conf_set():
     first = checkpoint_dir(fake)
     assert fake.sparkContext.registered == first
     assert checkpoint_dir(fake) == first
+
+
+def test_whole_table_replace_drops_stale_partitions(spark):
+    lake = Lake.on_shared_storage(spark)
+    lake.write(spark.createDataFrame([(1, "a"), (2, "b")], "v int, day string"), "gold", "t", ["day"])
+    lake.write(spark.createDataFrame([(9, "b")], "v int, day string"), "gold", "t", ["day"], replace="table")
+    assert [(r.v, r.day) for r in lake.read(spark, "gold", "t").collect()] == [(9, "b")]
+
+
+def test_gold_rerun_is_idempotent(spark, sf_small):
+    lake = Lake.on_shared_storage(spark)
+    landing = layers.land(
+        spark, lake, adapters.gps_raw(spark, sf_small), adapters.routes_raw(spark, sf_small), adapters.trips_raw(spark, sf_small)
+    )
+    first = layers.run_medallion(spark, lake, landing).count()
+    layers.run_layer(spark, lake, "gold")
+    assert lake.read(spark, "gold", layers.GOLD_TABLE).count() == first

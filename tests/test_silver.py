@@ -127,3 +127,16 @@ def test_routes_unique_per_line(spark):
     df = route_rows(spark, [("8", " 8-00", "Bairro 1/Bairro 2"), ("8", " 8", "Zona repetida")])
     rows = routes.silver_routes(df).collect()
     assert len(rows) == 1 and rows[0].nome_bruto == "BAIRRO 1/BAIRRO 2"
+
+
+def test_hot_key_dedup(spark):
+    # a third of all pings share one (vehicle, time) key; the rest are unique
+    hot = [ping(1, 10 + (i % 50), ts="20240101101010") for i in range(300)]
+    cold = [ping(2, 5, ts=f"202401011{i // 60:02d}{i % 60:02d}"[:14].ljust(14, "0")) for i in range(600)]
+    df = spark.createDataFrame([(v,) for v in hot + cold], "value string").repartition(8)
+    out = pings.silver_pings(df)
+    rows = out.filter("numero_veiculo = 1").collect()
+    assert len(rows) == 1 and rows[0].velocidade_kmh == 10
+    assert out.filter("numero_veiculo = 2").count() == len({c.split(";")[1] for c in cold})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan  # combined on the map side before the shuffle

@@ -106,8 +106,9 @@ def stamp_ingestion(df: DataFrame, source_name: str | None = None) -> DataFrame:
 
 
 # Default ceiling for broadcasting a lookup table.  A route catalogue holds
-# thousands of rows; anything far beyond that goes through a shuffle join.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# thousands of rows (a few hundred bytes each); far beyond that, a shuffle
+# join is the safer plan.  500k narrow rows stay well under 100 MB.
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:

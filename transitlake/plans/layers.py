@@ -65,8 +65,11 @@ def bronze_frames(spark: SparkSession, landing: LandingFiles) -> dict[str, DataF
 
 
 def _observed_write(lake: Lake, df: DataFrame, layer: str, table: str, partition_by=()) -> int:
+    # Layer runs rebuild each table from the whole layer below, so the
+    # table is replaced as a whole (no stale partitions survive).
     obs = Observation(f"{layer}.{table}.{uuid.uuid4().hex[:8]}")
-    lake.write(df.observe(obs, F.count(F.lit(1)).alias("rows")), layer, table, partition_by)
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    lake.write(observed, layer, table, partition_by, replace="table")
     return int(obs.get["rows"])
 
 
@@ -108,15 +111,15 @@ def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str,
         F.count(F.lit(1)).alias("rows"),
         *[F.count_if(pred).alias(name) for name, pred in rules.items()],
     )
-    staging = f"_staging_{GOLD_TABLE}_{uuid.uuid4().hex[:8]}"
-    lake.write(observed, "gold", staging, GOLD_FACT.partition_by)
+    staging = f"_staging_{GOLD_TABLE}"
+    lake.write(observed, "gold", staging, GOLD_FACT.partition_by, replace="table")
     metrics = {k: int(v) for k, v in obs.get.items()}
     broken = [(name, metrics[name]) for name in rules if metrics[name] > 0]
     if broken and policy == "fail":
         name, n = broken[0]
         raise RuleViolation(f"rule {name!r} failed on {n} rows; gold not published")
     staged = lake.read(spark, "gold", staging)
-    lake.write(staged.select(*GOLD_FACT.columns), "gold", GOLD_TABLE, GOLD_FACT.partition_by)
+    lake.write(staged.select(*GOLD_FACT.columns), "gold", GOLD_TABLE, GOLD_FACT.partition_by, replace="table")
     return metrics
 
 

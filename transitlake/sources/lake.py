@@ -89,6 +89,7 @@ class Lake:
         mode: str = "overwrite",
         rebalance: bool = True,
         max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+        replace: str = "partitions",
     ) -> str:
         """Write a table; returns its path.
 
@@ -96,11 +97,14 @@ class Lake:
         (``REBALANCE`` hint): AQE then sizes the write tasks, splitting a
         hot partition value over several tasks and merging small ones, so
         each task writes a few large files instead of one file per
-        partition value it happens to hold.  ``overwrite`` of a partitioned
-        table replaces only the partitions present in ``df`` (dynamic
-        partition overwrite), so re-running one day leaves the others.
-        Bronze is always Parquet.
+        partition value it happens to hold.  With ``replace="partitions"``
+        an ``overwrite`` of a partitioned table replaces only the partitions
+        present in ``df`` (dynamic partition overwrite), so re-running one
+        day leaves the others; ``replace="table"`` replaces the whole table
+        (a full rebuild).  Bronze is always Parquet.
         """
+        if replace not in ("partitions", "table"):
+            raise ValueError(f"replace must be 'partitions' or 'table', not {replace!r}")
         fmt = "parquet" if layer == "bronze" else self.fmt
         partition_by = list(partition_by)
         if partition_by and rebalance:
@@ -109,7 +113,8 @@ class Lake:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
             if fmt == "parquet":
-                writer = writer.option("partitionOverwriteMode", "dynamic")
+                mode_name = "dynamic" if replace == "partitions" else "static"
+                writer = writer.option("partitionOverwriteMode", mode_name)
         if fmt == "delta":
             writer = writer.option("overwriteSchema", "true")
         out = self.path(layer, table)
