@@ -132,7 +132,7 @@ def test_routes_unique_per_line(spark):
 def test_hot_key_dedup(spark):
     # a third of all pings share one (vehicle, time) key; the rest are unique
     hot = [ping(1, 10 + (i % 50), ts="20240101101010") for i in range(300)]
-    cold = [ping(2, 5, ts=f"202401011{i // 60:02d}{i % 60:02d}"[:14].ljust(14, "0")) for i in range(600)]
+    cold = [ping(2, 5, ts=f"2024010111{i // 60:02d}{i % 60:02d}") for i in range(600)]
     df = spark.createDataFrame([(v,) for v in hot + cold], "value string").repartition(8)
     out = pings.silver_pings(df)
     rows = out.filter("numero_veiculo = 1").collect()
