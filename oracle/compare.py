@@ -49,11 +49,27 @@ def normalized(columns, rows):
     return names, sorted(out, key=_key)
 
 
+# Spark type -> the DuckDB type an oracle column must have.
+SPARK_TO_DUCK = {
+    "string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def type_mismatches(spark_df, rel) -> dict:
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in spark_df.schema.fields}
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
     rel = con.sql(sql)
     d_cols = rel.columns
+    bad_types = type_mismatches(spark_df, rel)
+    if bad_types:
+        return False, f"types differ (spark, duck): {bad_types}"
     d_rows = rel.fetchall()
     s_names, s_vals = normalized(s_cols, s_rows)
     d_names, d_vals = normalized(d_cols, d_rows)
