@@ -79,3 +79,17 @@ def test_oversized_lookup_is_not_broadcast(spark, sf_small):
     lookup = daily.route_lookup(routes.silver_routes(adapters.routes_raw(spark, sf_small)))
     hinted = bounded_broadcast(lookup, max_rows=3)
     assert "broadcast" not in hinted._jdf.queryExecution().logical().toString().lower()
+
+
+def test_gps_match_on_line_id(spark):
+    day = dt.date(2024, 1, 1)
+    trip = spark.createDataFrame(
+        [(day, 7, "Desconhecido", 10.0, False)],
+        "data_viagem date, numero_linha int, nome_consorcio string, duracao_viagem_minutos double, teve_falha_mecanica boolean",
+    )
+    route = spark.createDataFrame([(7, "2004", "A/B", "A", "B")], "numero_linha int, cod_linha_publico string, nome_bruto string, bairro_origem string, bairro_destino string")
+    ping = spark.createDataFrame([(day, 7, 30, 100), (day, 2004, 60, 5)], "data_particao date, numero_linha int, velocidade_kmh int, distancia_percorrida int")
+    by_code = daily.daily_performance(ping, route, trip).first()
+    by_line = daily.daily_performance(ping, route, trip, gps_match="line_id").first()
+    assert (by_code.vel_maxima_gps, by_code.distancia_total_gps_metros) == (60, 5)
+    assert (by_line.vel_maxima_gps, by_line.distancia_total_gps_metros) == (30, 100)

@@ -100,3 +100,31 @@ def test_gold_rerun_is_idempotent(spark, sf_small):
     first = layers.run_medallion(spark, lake, landing).count()
     layers.run_layer(spark, lake, "gold")
     assert lake.read(spark, "gold", layers.GOLD_TABLE).count() == first
+
+
+def test_gold_quarantine_policy(spark, sf_small):
+    lake = Lake.on_shared_storage(spark)
+    silver_trips = QUERIES["silver_trips"](spark, sf_small)
+    # every trip of line 5 loses its line id -> those fact rows break a rule
+    broken = silver_trips.withColumn(
+        "numero_linha", F.when(F.col("numero_linha") == 5, F.lit(None).cast("int")).otherwise(F.col("numero_linha"))
+    )
+    lake.write(broken, "silver", "mco", ["ano", "mes"])
+    lake.write(QUERIES["silver_pings"](spark, sf_small), "silver", "gps", ["data_particao"])
+    lake.write(QUERIES["silver_routes"](spark, sf_small), "silver", "linhas")
+    metrics = layers.run_gold(spark, lake, policy="quarantine")
+    published = lake.read(spark, "gold", layers.GOLD_TABLE)
+    quarantined = lake.read(spark, "gold", layers.QUARANTINE_TABLE)
+    assert quarantined.count() == metrics["numero_linha_null"] > 0
+    assert published.filter(F.col("numero_linha").isNull()).count() == 0
+    assert published.count() + quarantined.count() == metrics["rows"]
+
+
+def test_source_file_lineage_option(spark):
+    lake = Lake.on_shared_storage(spark)
+    from transitlake.operators import stamp_ingestion
+    from transitlake.sources.lake import read_lines, write_lines
+
+    path = write_lines(spark.createDataFrame([("a",), ("b",)], "value string"), lake.path("landing", "x"))
+    rows = stamp_ingestion(read_lines(spark, path)).select("_source_file").collect()
+    assert all(r._source_file.startswith("file:") and "landing/x" in r._source_file for r in rows)

@@ -92,13 +92,20 @@ def run_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
     return counts
 
 
+QUARANTINE_TABLE = f"_quarantine_{GOLD_TABLE}"
+
+
 def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str, int]:
     """Silver -> gold fact table, validated before it is published.
 
     The rule counts (NULL day, NULL line, negative metric) are observed on
-    the one heavy write into a staging table.  With ``policy="fail"`` a
-    violation raises and nothing is published.
+    the one heavy write into a staging table.  Policies on a violation:
+    ``"fail"`` raises and publishes nothing; ``"warn"`` publishes all rows;
+    ``"quarantine"`` publishes the clean rows and writes the violating ones
+    to ``gold/_quarantine_fato_performance_diaria``.
     """
+    if policy not in ("fail", "warn", "quarantine"):
+        raise ValueError(f"unknown policy {policy!r}")
     fact = daily_performance(
         lake.read(spark, "silver", "gps"),
         lake.read(spark, "silver", "linhas"),
@@ -118,8 +125,16 @@ def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str,
     if broken and policy == "fail":
         name, n = broken[0]
         raise RuleViolation(f"rule {name!r} failed on {n} rows; gold not published")
-    staged = lake.read(spark, "gold", staging)
-    lake.write(staged.select(*GOLD_FACT.columns), "gold", GOLD_TABLE, GOLD_FACT.partition_by, replace="table")
+    staged = lake.read(spark, "gold", staging).select(*GOLD_FACT.columns)
+    if broken and policy == "quarantine":
+        staged_rules = gold_rules(staged)
+        violating = None
+        for pred in staged_rules.values():
+            hit = F.coalesce(pred, F.lit(False))
+            violating = hit if violating is None else (violating | hit)
+        lake.write(staged.filter(violating), "gold", QUARANTINE_TABLE, replace="table")
+        staged = staged.filter(~violating)
+    lake.write(staged, "gold", GOLD_TABLE, GOLD_FACT.partition_by, replace="table")
     return metrics
 
 
