@@ -68,8 +68,10 @@ def _observed_write(lake: Lake, df: DataFrame, layer: str, table: str, partition
     # Layer runs rebuild each table from the whole layer below, so the
     # table is replaced as a whole (no stale partitions survive).
     obs = Observation(f"{layer}.{table}.{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    lake.write(observed, layer, table, partition_by, replace="table")
+    lake.write(
+        df, layer, table, partition_by, replace="table",
+        observation=obs, metrics=[F.count(F.lit(1)).alias("rows")],
+    )
     return int(obs.get["rows"])
 
 
@@ -113,13 +115,9 @@ def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str,
     )
     rules = gold_rules(fact)
     obs = Observation(f"gold.{uuid.uuid4().hex[:8]}")
-    observed = fact.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(pred).alias(name) for name, pred in rules.items()],
-    )
+    counts = [F.count(F.lit(1)).alias("rows")] + [F.count_if(p).alias(n) for n, p in rules.items()]
     staging = f"_staging_{GOLD_TABLE}"
-    lake.write(observed, "gold", staging, GOLD_FACT.partition_by, replace="table")
+    lake.write(fact, "gold", staging, GOLD_FACT.partition_by, replace="table", observation=obs, metrics=counts)
     metrics = {k: int(v) for k, v in obs.get.items()}
     broken = [(name, metrics[name]) for name in rules if metrics[name] > 0]
     if broken and policy == "fail":

@@ -90,6 +90,8 @@ class Lake:
         rebalance: bool = True,
         max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
         replace: str = "partitions",
+        observation=None,
+        metrics: Sequence = (),
     ) -> str:
         """Write a table; returns its path.
 
@@ -102,6 +104,11 @@ class Lake:
         present in ``df`` (dynamic partition overwrite), so re-running one
         day leaves the others; ``replace="table"`` replaces the whole table
         (a full rebuild).  Bronze is always Parquet.
+
+        ``observation`` (a ``pyspark.sql.Observation``) with ``metrics``
+        (aggregate Columns) is attached *after* the rebalance, so the metrics
+        are computed in the write's own result stage: a map stage re-run
+        after a lost executor cannot count rows twice.
         """
         if replace not in ("partitions", "table"):
             raise ValueError(f"replace must be 'partitions' or 'table', not {replace!r}")
@@ -109,6 +116,8 @@ class Lake:
         partition_by = list(partition_by)
         if partition_by and rebalance:
             df = df.hint("rebalance", *partition_by)
+        if observation is not None:
+            df = df.observe(observation, *metrics)
         writer = df.write.format(fmt).mode(mode).option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
