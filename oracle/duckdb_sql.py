@@ -204,14 +204,14 @@ FROM trips_labelled
 """
 
 CTES["routes_raw"] = """
-SELECT CAST(s_suppkey AS VARCHAR) AS "NumeroLinha",
+SELECT CASE WHEN s_suppkey % 10 = 9 THEN 'L' || CAST(s_suppkey AS VARCHAR) ELSE CAST(s_suppkey AS VARCHAR) END AS "NumeroLinha",
        CASE WHEN s_suppkey % 7 = 0 THEN 'SC' || CAST(s_suppkey AS VARCHAR) || 'A'
             ELSE ' ' || CAST(s_suppkey AS VARCHAR) || '-0' || CAST(s_suppkey % 4 AS VARCHAR) END AS "Linha",
        'Bairro ' || CAST(s_nationkey AS VARCHAR)
          || CASE s_suppkey % 3 WHEN 0 THEN '/' WHEN 1 THEN ' - ' ELSE chr(92) END
          || 'Bairro ' || CAST((s_suppkey * 7) % 25 AS VARCHAR)
          || CASE WHEN s_suppkey % 5 = 0 THEN '/ via centro' ELSE '' END AS "Nome"
-FROM supplier WHERE s_suppkey % 10 <> 9
+FROM supplier
 UNION ALL
 SELECT CAST(s_suppkey AS VARCHAR), ' ' || CAST(s_suppkey AS VARCHAR), 'Zona repetida'
 FROM supplier WHERE s_suppkey % 10 = 8

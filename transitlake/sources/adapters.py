@@ -100,13 +100,16 @@ def gps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def routes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Route catalogue (``NumeroLinha, Linha, Nome``), all text.
+    """Route catalogue (``NumeroLinha, Linha, Nome``), all text, one row per
+    supplier plus repeats.
 
-    Suppliers with ``s_suppkey % 10 = 9`` are missing; those with ``% 10 = 8``
-    are listed twice; ``% 7 = 0`` get a lettered public code.
+    Suppliers with ``s_suppkey % 10 = 9`` carry a malformed line id (their
+    trips find no route); those with ``% 10 = 8`` are listed twice; ``% 7 = 0``
+    get a lettered public code.
     """
     sup = table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey"])
     k = F.col("s_suppkey")
+    line_id = F.when(k % 10 == 9, F.concat(F.lit("L"), _s(k))).otherwise(_s(k))
     code = F.when(k % 7 == 0, F.concat(F.lit("SC"), _s(k), F.lit("A"))).otherwise(
         F.concat(F.lit(" "), _s(k), F.lit("-0"), _s(k % 4))
     )
@@ -119,9 +122,7 @@ def routes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s((k * 7) % 25),
         F.when(k % 5 == 0, F.lit("/ via centro")).otherwise(F.lit("")),
     )
-    listed = sup.filter(k % 10 != 9).select(
-        _s(k).alias("NumeroLinha"), code.alias("Linha"), name.alias("Nome")
-    )
+    listed = sup.select(line_id.alias("NumeroLinha"), code.alias("Linha"), name.alias("Nome"))
     again = sup.filter(k % 10 == 8).select(
         _s(k).alias("NumeroLinha"),
         F.concat(F.lit(" "), _s(k)).alias("Linha"),
