@@ -22,6 +22,11 @@ def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     spark = local_session()
+    # Optional session settings to check that results do not depend on them.
+    if os.environ.get("CHECK_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["CHECK_TZ"])
+    if os.environ.get("CHECK_ANSI"):
+        spark.conf.set("spark.sql.ansi.enabled", os.environ["CHECK_ANSI"])
     con = duck(sf_dir)
     bad = 0
     for name in names:
