@@ -128,3 +128,17 @@ def test_source_file_lineage_option(spark):
     path = write_lines(spark.createDataFrame([("a",), ("b",)], "value string"), lake.path("landing", "x"))
     rows = stamp_ingestion(read_lines(spark, path)).select("_source_file").collect()
     assert all(r._source_file.startswith("file:") and "landing/x" in r._source_file for r in rows)
+
+
+def test_layer_profile_messages(spark, sf_small, caplog):
+    import logging
+
+    lake = Lake.on_shared_storage(spark)
+    landing = layers.land(
+        spark, lake, adapters.gps_raw(spark, sf_small), adapters.routes_raw(spark, sf_small), adapters.trips_raw(spark, sf_small)
+    )
+    with caplog.at_level(logging.WARNING, logger="transitlake.plans.layers"):
+        layers.run_layer(spark, lake, "bronze", landing, profile=True)
+    text = caplog.text
+    assert "bronze.gps:" in text and "duplicate rows" in text  # repeated dump lines
+    assert "bronze.mco: column 'CHEGADA' has" in text  # blank arrivals read back as NULL

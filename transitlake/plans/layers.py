@@ -10,6 +10,7 @@ result is copied (a small, aggregate-sized table) to the published path.
 
 from __future__ import annotations
 
+import logging
 import uuid
 from dataclasses import dataclass
 
@@ -29,6 +30,8 @@ from transitlake.sources.lake import (
     write_lines,
 )
 
+log = logging.getLogger(__name__)
+
 GOLD_TABLE = "fato_performance_diaria"
 SILVER_TABLES = {
     "gps": (silver_pings, SILVER_PINGS),
@@ -150,26 +153,52 @@ def profile_layer(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
     return out
 
 
+def report_profile(profile: DataFrame) -> list[str]:
+    """Log (and return) one message per NULL-bearing column and per table
+    with duplicate rows.  The profile has one row per column and table, so
+    collecting it is bounded by the schema, not by the data."""
+    messages = []
+    for r in profile.filter(F.col("value") > 0).collect():
+        if r.metric == "null_count":
+            msg = f"{r.layer}.{r.table_name}: column {r.column_name!r} has {r.value} NULL values"
+        else:
+            msg = f"{r.layer}.{r.table_name}: {r.value} duplicate rows"
+        log.warning(msg)
+        messages.append(msg)
+    return messages
+
+
 def run_layer(
-    spark: SparkSession, lake: Lake, layer: str, landing: LandingFiles | None = None, policy: str = "fail"
+    spark: SparkSession,
+    lake: Lake,
+    layer: str,
+    landing: LandingFiles | None = None,
+    policy: str = "fail",
+    profile: bool = False,
 ) -> dict[str, int]:
+    """Build one layer; with ``profile`` also profile its tables and log
+    NULL and duplicate findings (they never fail the run)."""
     if layer == "bronze":
         if landing is None:
             raise ValueError("the bronze layer needs landing files")
-        return run_bronze(spark, lake, landing)
-    if layer == "silver":
-        return run_silver(spark, lake)
-    if layer == "gold":
-        return run_gold(spark, lake, policy)
-    raise ValueError(f"unknown layer {layer!r}")
+        out = run_bronze(spark, lake, landing)
+    elif layer == "silver":
+        out = run_silver(spark, lake)
+    elif layer == "gold":
+        out = run_gold(spark, lake, policy)
+    else:
+        raise ValueError(f"unknown layer {layer!r}")
+    if profile:
+        report_profile(profile_layer(spark, lake, layer))
+    return out
 
 
 def run_medallion(
-    spark: SparkSession, lake: Lake, landing: LandingFiles, policy: str = "fail"
+    spark: SparkSession, lake: Lake, landing: LandingFiles, policy: str = "fail", profile: bool = False
 ) -> DataFrame:
     """All three layers in order; returns the published gold table."""
     for layer in ("bronze", "silver", "gold"):
-        run_layer(spark, lake, layer, landing, policy)
+        run_layer(spark, lake, layer, landing, policy, profile)
     return lake.read(spark, "gold", GOLD_TABLE)
 
 
