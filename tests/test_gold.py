@@ -93,3 +93,48 @@ def test_gps_match_on_line_id(spark):
     by_line = daily.daily_performance(ping, route, trip, gps_match="line_id").first()
     assert (by_code.vel_maxima_gps, by_code.distancia_total_gps_metros) == (60, 5)
     assert (by_line.vel_maxima_gps, by_line.distancia_total_gps_metros) == (30, 100)
+
+
+TRIP_SCHEMA = (
+    "data_viagem date, numero_linha int, nome_consorcio string, duracao_viagem_minutos double, "
+    "teve_falha_mecanica boolean"
+)
+ROUTE_SCHEMA = (
+    "numero_linha int, cod_linha_publico string, nome_bruto string, bairro_origem string, bairro_destino string"
+)
+PING_SCHEMA = "data_particao date, numero_linha int, velocidade_kmh int, distancia_percorrida int"
+
+
+def test_lettered_public_code_never_matches_gps(spark):
+    # D4: a public code with letters has no integer join key
+    day = dt.date(2024, 1, 1)
+    trip = spark.createDataFrame([(day, 1, "X", 5.0, False)], TRIP_SCHEMA)
+    route = spark.createDataFrame([(1, "SC01A", "A/B", "A", "B")], ROUTE_SCHEMA)
+    ping = spark.createDataFrame([(day, 1, 50, 10)], PING_SCHEMA)
+    row = daily.daily_performance(ping, route, trip).first()
+    assert row.cod_linha_publico == "SC01A" and row.vel_maxima_gps is None
+
+
+def test_sub_lines_share_the_public_code_metrics(spark):
+    # D5: two sub-lines of public code 2004 each receive the whole GPS sum
+    day = dt.date(2024, 1, 1)
+    trip = spark.createDataFrame([(day, 11, "X", 5.0, False), (day, 12, "X", 5.0, False)], TRIP_SCHEMA)
+    route = spark.createDataFrame(
+        [(11, "2004", "A/B", "A", "B"), (12, "2004", "A/B", "A", "B")], ROUTE_SCHEMA
+    )
+    ping = spark.createDataFrame([(day, 2004, 50, 10), (day, 2004, 60, 15)], PING_SCHEMA)
+    rows = daily.daily_performance(ping, route, trip).collect()
+    assert sorted(r.distancia_total_gps_metros for r in rows) == [25, 25]
+
+
+def test_two_consortia_give_two_rows_and_a_key_breach(spark):
+    # D6: consortium is part of the grain; the stated key (day, line) is breached
+    from transitlake.operators import duplicate_profile
+
+    day = dt.date(2024, 1, 1)
+    trip = spark.createDataFrame([(day, 1, "A", 5.0, False), (day, 1, "B", 7.0, True)], TRIP_SCHEMA)
+    route = spark.createDataFrame([(1, "1", "A/B", "A", "B")], ROUTE_SCHEMA)
+    ping = spark.createDataFrame([], PING_SCHEMA)
+    fact = daily.daily_performance(ping, route, trip)
+    assert fact.count() == 2
+    assert duplicate_profile(fact, ["data_referencia", "numero_linha"]).first().duplicate_rows == 1

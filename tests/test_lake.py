@@ -142,3 +142,15 @@ def test_layer_profile_messages(spark, sf_small, caplog):
     text = caplog.text
     assert "bronze.gps:" in text and "duplicate rows" in text  # repeated dump lines
     assert "bronze.mco: column 'CHEGADA' has" in text  # blank arrivals read back as NULL
+
+
+def test_lake_format_is_a_parameter(spark):
+    # D9: the layer format is chosen once; reads and profiles go through it
+    from transitlake.operators import null_profile
+
+    lake = Lake(Lake.on_shared_storage(spark).root, fmt="orc")
+    df = spark.createDataFrame([(1, None), (2, "b")], "v int, w string")
+    lake.write(df, "silver", "t")
+    back = lake.read(spark, "silver", "t")
+    assert sorted(back.collect()) == sorted(df.collect())
+    assert {r.column_name: r.null_count for r in null_profile(back).collect()} == {"v": 0, "w": 1}

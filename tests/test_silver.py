@@ -140,3 +140,12 @@ def test_hot_key_dedup(spark):
     assert out.filter("numero_veiculo = 2").count() == len({c.split(";")[1] for c in cold})
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan  # combined on the map side before the shuffle
+
+
+def test_quoted_dump_lines(spark):
+    # D15: a CSV export may quote lines holding decimal commas
+    line = '"1,105;20240101101010;-19,9;-43,9;5;40;10;90;1;100"'
+    default = pings.silver_pings(lines(spark, [line])).collect()
+    assert len(default) == 1 and default[0].distancia_percorrida is None  # parity: '100"' is not a number
+    stripped = pings.silver_pings(lines(spark, [line]), strip_quotes=True).first()
+    assert stripped.cod_evento == 105 and stripped.distancia_percorrida == 100
