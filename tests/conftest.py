@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,14 +12,14 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="transitlake-test-ckpt-")
+    # spark.checkpoint.dir comes from the environment when configured; the
+    # lake registers a temporary folder itself only when it is unset.
     session = (
         SparkSession.builder.master("local[*]")
         .appName("transitlake-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.checkpoint.dir", ckpt)
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
