@@ -154,3 +154,22 @@ def test_lake_format_is_a_parameter(spark):
     back = lake.read(spark, "silver", "t")
     assert sorted(back.collect()) == sorted(df.collect())
     assert {r.column_name: r.null_count for r in null_profile(back).collect()} == {"v": 0, "w": 1}
+
+
+def test_command_line_runs_layers(spark, sf_small, capsys):
+    from transitlake.__main__ import main
+
+    lake = Lake.on_shared_storage(spark)
+    landing = layers.land(
+        spark, lake, adapters.gps_raw(spark, sf_small), adapters.routes_raw(spark, sf_small), adapters.trips_raw(spark, sf_small)
+    )
+    main(["--lake", lake.root, "--gps", landing.pings, "--routes", landing.routes, "--trips", landing.trips])
+    out = [line for line in capsys.readouterr().out.splitlines() if line.startswith("{")]
+    assert [json_layer(x) for x in out] == ["bronze", "silver", "gold"]
+    assert lake.read(spark, "gold", layers.GOLD_TABLE).count() > 0
+
+
+def json_layer(line):
+    import json
+
+    return json.loads(line)["layer"]
