@@ -164,14 +164,21 @@ def gold_rule_report(spark, d):
 
 
 def contract_checks(spark, d):
-    parsed_gps = Contract("bronze.gps", "parsed", pings.GPS_FIELDS)
+    # Each raw input is built once and shared by the reports that need it,
+    # so its (spread) scan is reused instead of recomputed per report.
+    gps_raw = adapters.gps_raw(spark, d)
+    trips_raw = adapters.trips_raw(spark, d)
+    routes_raw = adapters.routes_raw(spark, d)
+    parsed = pings.parse_ping_lines(pings.drop_header_lines(gps_raw))
+    silver_t = trips.silver_trips(trips_raw)
+    fact = daily.daily_performance(pings.silver_pings(gps_raw), routes.silver_routes(routes_raw), silver_t)
     reports = [
-        contract_report(adapters.gps_raw(spark, d), Contract("bronze.gps", "input", ["value"])),
-        contract_report(ping_lines_parsed(spark, d), parsed_gps),
-        contract_report(normalize_names(adapters.trips_raw(spark, d)), trips.RAW_TRIPS),
-        contract_report(adapters.routes_raw(spark, d), routes.RAW_ROUTES),
-        contract_report(_silver_trips(spark, d), trips.SILVER_TRIPS),
-        contract_report(_daily(spark, d), daily.GOLD_FACT),
+        contract_report(gps_raw, Contract("bronze.gps", "input", ["value"])),
+        contract_report(parsed, Contract("bronze.gps", "parsed", pings.GPS_FIELDS)),
+        contract_report(normalize_names(trips_raw), trips.RAW_TRIPS),
+        contract_report(routes_raw, routes.RAW_ROUTES),
+        contract_report(silver_t, trips.SILVER_TRIPS),
+        contract_report(fact, daily.GOLD_FACT),
     ]
     out = reports[0]
     for r in reports[1:]:
