@@ -388,6 +388,7 @@ SQL: dict[str, str] = {
     "pings_typed": with_ctes("SELECT * FROM gps_typed", "gps_typed"),
     "pings_valid_coordinates": with_ctes("SELECT * FROM gps_valid", "gps_valid"),
     "silver_pings": with_ctes("SELECT * FROM silver_pings", "silver_pings"),
+    "streamed_silver_pings": with_ctes("SELECT * FROM silver_pings", "silver_pings"),
     "trips_normalized_names": with_ctes(
         "SELECT linha, sublinha, catraca_saida, catraca_chegada, ocorrencia, justificativa FROM trips_named",
         "trips_named",

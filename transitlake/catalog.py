@@ -233,6 +233,20 @@ def streamed_bronze_gps(spark, d):
     return lake.read(spark, "bronze", "gps").select("value", "_source_file")
 
 
+def streamed_silver_pings(spark, d):
+    """GPS dump files streamed into bronze, then bronze streamed into silver
+    pings micro-batch by micro-batch (each batch merged into the touched
+    days); the silver table read back.  Must equal the batch build."""
+    from transitlake.sources.lake import write_lines
+    from transitlake.streaming import ingest_gps_incrementally, update_silver_pings
+
+    lake = Lake.on_shared_storage(spark)
+    landing = write_lines(adapters.gps_raw(spark, d), lake.path("landing", "gps"))
+    ingest_gps_incrementally(spark, landing, lake, max_files_per_trigger=4)
+    update_silver_pings(spark, lake, max_files_per_trigger=8)
+    return project(lake.read(spark, "silver", "gps"), pings.SILVER_PINGS.columns)
+
+
 # Day from which the partition-overwrite query re-writes the ping table.
 REWRITE_FROM = "2024-01-16"
 
@@ -312,6 +326,7 @@ QUERIES: dict[str, Query] = {
     "bronze_routes_roundtrip": bronze_routes_roundtrip,
     "bronze_trips_roundtrip": bronze_trips_roundtrip,
     "streamed_bronze_gps": streamed_bronze_gps,
+    "streamed_silver_pings": streamed_silver_pings,
     "partitioned_overwrite": partitioned_overwrite,
     "observed_silver_counts": observed_silver_counts,
     "medallion_end_to_end": medallion_end_to_end,

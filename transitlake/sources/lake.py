@@ -76,9 +76,21 @@ class Lake:
             raise ValueError(f"unknown layer {layer!r}")
         return os.path.join(self.root, layer, table)
 
-    def read(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+    def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
+        """Whether the table has been written (asks Spark, not the local disk)."""
+        try:
+            self.read(spark, layer, table).schema
+            return True
+        except Exception:
+            return False
+
+    def read(self, spark: SparkSession, layer: str, table: str, schema=None) -> DataFrame:
+        """Read a table; with ``schema`` a table written empty reads as empty."""
         fmt = "parquet" if layer == "bronze" else self.fmt
-        return spark.read.format(fmt).load(self.path(layer, table))
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        return reader.load(self.path(layer, table))
 
     def write(
         self,
