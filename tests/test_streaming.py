@@ -44,3 +44,22 @@ def test_empty_batch_is_a_no_op(spark):
     before = table(lake, spark)
     merge_ping_batch(spark, lake, lines(spark, ["_id,EV;HR", "junk"]))
     assert table(lake, spark) == before
+
+
+def test_merge_reads_only_touched_days(spark):
+    from pyspark.sql import functions as F
+
+    lake = Lake.on_shared_storage(spark)
+    merge_ping_batch(spark, lake, lines(spark, [ping(1, 30, f"202401{d:02d}101010") for d in range(1, 11)]))
+    # the same filter the merge builds, over the stored table
+    current = lake.read(spark, "silver", "gps").filter(F.col("data_particao").isin([__import__("datetime").date(2024, 1, 3)]))
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        current.explain(mode="formatted")
+    partition_filters = [ln for ln in buf.getvalue().splitlines() if ln.startswith("PartitionFilters")]
+    assert partition_filters and "2024-01-03" in partition_filters[0]
+    merge_ping_batch(spark, lake, lines(spark, [ping(1, 5, "20240103101010")]))
+    assert (1, "2024-01-03T10:10:10", 5) in table(lake, spark) and len(table(lake, spark)) == 10

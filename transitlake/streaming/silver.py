@@ -5,9 +5,10 @@ whole table.  Here each micro-batch of new bronze lines is folded into the
 existing table instead:
 
 1. the batch is parsed, typed and de-duplicated on its own and staged;
-2. only the day partitions the batch touches are read back from silver
-   (a semi join on the partition column, so dynamic partition pruning
-   skips every other day);
+2. only the day partitions the batch touches are read back from silver:
+   the batch's distinct day values (a handful of calendar days, not data)
+   become a partition filter, so the scan lists and reads those partitions
+   only;
 3. batch and touched rows are de-duplicated together and those day
    partitions are overwritten (dynamic partition overwrite).
 
@@ -40,9 +41,13 @@ def merge_ping_batch(spark: SparkSession, lake: Lake, batch: DataFrame, table: s
     lake.write(built, "silver", incoming_name, replace="table")
     incoming = lake.read(spark, "silver", incoming_name, schema=built.schema)
     if lake.exists(spark, "silver", table):
+        # Partition values touched by the batch: bounded by the calendar.
+        days = [r[0] for r in incoming.select(day).distinct().collect()]
+        in_batch = F.col(day).isin([d for d in days if d is not None])
+        if any(d is None for d in days):
+            in_batch = in_batch | F.col(day).isNull()
         current = project(lake.read(spark, "silver", table), SILVER_PINGS.columns)
-        days = incoming.select(F.col(day).alias("_day")).distinct()
-        touched = current.join(days, current[day].eqNullSafe(days["_day"]), "left_semi")
+        touched = current.filter(in_batch)
         merged = dedup_by_key(incoming.unionByName(touched), PING_KEY)
     else:
         merged = incoming
