@@ -16,11 +16,11 @@ from __future__ import annotations
 
 def lint(x: str) -> str:
     """Lenient text -> INTEGER (fraction ignored, junk -> NULL)."""
-    return f"TRY_CAST(NULLIF(regexp_extract(trim({x}), '^([+-]?[0-9]+)([.][0-9]*)?$', 1), '') AS INTEGER)"
+    return f"TRY_CAST(NULLIF(regexp_extract({x}, '^[\\x00-\\x20]*([+-]?[0-9]+)([.][0-9]*)?[\\x00-\\x20]*$', 1), '') AS INTEGER)"
 
 
 def llong(x: str) -> str:
-    return f"TRY_CAST(NULLIF(regexp_extract(trim({x}), '^([+-]?[0-9]+)([.][0-9]*)?$', 1), '') AS BIGINT)"
+    return f"TRY_CAST(NULLIF(regexp_extract({x}, '^[\\x00-\\x20]*([+-]?[0-9]+)([.][0-9]*)?[\\x00-\\x20]*$', 1), '') AS BIGINT)"
 
 
 def ldouble(x: str) -> str:

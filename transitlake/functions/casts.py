@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from transitlake.functions._col import as_col
 
-# An integer literal with an optional, ignored fraction: the legacy cast
-# truncates "12.7" to 12 and rejects exponents, signs inside, and junk.
-_INTEGER_TEXT = r"^([+-]?[0-9]+)([.][0-9]*)?$"
+# An integer literal with an optional, ignored fraction, surrounded by any
+# whitespace or control characters (all trimmed, as the legacy cast does):
+# the legacy cast truncates "12.7" to 12 and rejects exponents and junk.
+_INTEGER_TEXT = r"^[\x00-\x20]*([+-]?[0-9]+)([.][0-9]*)?[\x00-\x20]*$"
 
 
 def _integer_part(c) -> Column:
-    return F.regexp_extract(F.trim(as_col(c)), _INTEGER_TEXT, 1)
+    return F.regexp_extract(as_col(c), _INTEGER_TEXT, 1)
 
 
 def _lenient_integral(c, type_name: str) -> Column:
