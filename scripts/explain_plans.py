@@ -100,6 +100,7 @@ def main() -> None:
         parts.append(f"## {title}\n\n{note}\n\n```\n{formatted(df)}\n```\n")
     text = "\n".join(parts)
     text = re.sub(r"#\d+L?", "", text)  # expression ids change between runs
+    text = re.sub(r", \[plan_id=\d+\]", "", text)
     with open(out, "w") as f:
         f.write(text)
     print(out)
