@@ -19,6 +19,8 @@ from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from transitlake.operators import duplicate_profile, null_profile  # noqa: E402
 from transitlake.plans import daily, layers, pings, routes, trips  # noqa: E402
 from transitlake.session import local_session  # noqa: E402
@@ -79,6 +81,12 @@ def main() -> None:
             "filters pushed, 3 columns read, dynamic partition pruning on `data_particao`, partial+final "
             "aggregate. Final left join of two aggregates (AQE decides the strategy at run time).",
         ),
+        (
+            "Incremental silver merge: the touched days read back",
+            silver["gps"].filter(F.col("data_particao").isin(["2024-01-03", "2024-01-04"])),
+            "What one micro-batch of `streaming.merge_ping_batch` reads from silver: the batch's day "
+            "values become a partition filter, so only those day directories are listed and read.",
+        ),
         (
             "Null profile of silver trips",
             null_profile(silver["mco"]),
