@@ -14,13 +14,24 @@ DECIMAL(18,6).
 from __future__ import annotations
 
 
+_INT_RX = "^[\\x00-\\x20]*([+-]?)([0-9]*)([.][0-9]*)?[\\x00-\\x20]*$"
+
+
+def _legacy_int(x: str, sql_type: str) -> str:
+    sign, digits, frac = (f"regexp_extract({x}, '{_INT_RX}', {i})" for i in (1, 2, 3))
+    return (
+        f"CASE WHEN regexp_matches({x}, '{_INT_RX}') AND length({digits}) + length({frac}) > 0 "
+        f"THEN TRY_CAST({sign} || CASE WHEN {digits} = '' THEN '0' ELSE {digits} END AS {sql_type}) END"
+    )
+
+
 def lint(x: str) -> str:
-    """Lenient text -> INTEGER (fraction ignored, junk -> NULL)."""
-    return f"TRY_CAST(NULLIF(regexp_extract({x}, '^[\\x00-\\x20]*([+-]?[0-9]+)([.][0-9]*)?[\\x00-\\x20]*$', 1), '') AS INTEGER)"
+    """Lenient text -> INTEGER (legacy rule: trim, sign, digits, ignored fraction)."""
+    return _legacy_int(x, "INTEGER")
 
 
 def llong(x: str) -> str:
-    return f"TRY_CAST(NULLIF(regexp_extract({x}, '^[\\x00-\\x20]*([+-]?[0-9]+)([.][0-9]*)?[\\x00-\\x20]*$', 1), '') AS BIGINT)"
+    return _legacy_int(x, "BIGINT")
 
 
 def ldouble(x: str) -> str:

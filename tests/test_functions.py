@@ -37,7 +37,8 @@ def one(spark, value, expr, schema="s string"):
 
 @pytest.mark.parametrize(
     "text,expected",
-    [(" 12 ", 12), ("12.7", 12), ("+7", 7), ("-3", -3), ("12.", 12), ("1e3", None), ("", None),
+    [(" 12 ", 12), ("12.7", 12), ("+7", 7), ("-3", -3), ("12.", 12), (".5", 0), (".", 0), ("-.5", 0),
+     ("+", None), ("   ", None), ("\t12.5", 12), ("1e3", None), ("", None),
      ("12x", None), ("S", None), ("99999999999", None), ('"105', None), (None, None)],
 )
 def test_lenient_int(spark, text, expected):

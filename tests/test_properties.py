@@ -10,19 +10,20 @@ from hypothesis import strategies as st
 
 from transitlake.functions import lenient_int, lenient_long, parse_wallclock
 
-INT_RE = re.compile(r"[+-]?([0-9]+)(\.[0-9]*)?")
+INT_RE = re.compile(r"([+-]?)([0-9]*)(\.[0-9]*)?")
 
 
 def legacy_int(text, bits=32):
     """The legacy text -> integer rule: trim chars <= ' ', optional sign,
-    digits, optional ignored fraction; out of range -> None."""
+    digits (possibly none), optional ignored fraction, at least one digit or
+    dot after the sign; out of range -> None."""
     if text is None:
         return None
     core = text.strip("".join(chr(i) for i in range(33)))
     m = INT_RE.fullmatch(core)
-    if not m:
+    if not m or not (m.group(2) or m.group(3)):
         return None
-    value = int(core.split(".")[0])
+    value = int(m.group(1) + (m.group(2) or "0"))
     lo, hi = -(2 ** (bits - 1)), 2 ** (bits - 1) - 1
     return value if lo <= value <= hi else None
 

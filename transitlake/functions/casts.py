@@ -14,14 +14,21 @@ from pyspark.sql import functions as F
 
 from transitlake.functions._col import as_col
 
-# An integer literal with an optional, ignored fraction, surrounded by any
-# whitespace or control characters (all trimmed, as the legacy cast does):
-# the legacy cast truncates "12.7" to 12 and rejects exponents and junk.
-_INTEGER_TEXT = r"^[\x00-\x20]*([+-]?[0-9]+)([.][0-9]*)?[\x00-\x20]*$"
+# The legacy integer text rule: surrounding whitespace/control characters
+# are trimmed; then an optional sign, digits (possibly none), and an
+# optional fraction that is checked but ignored ("12.7" -> 12, ".5" -> 0,
+# "." -> 0); a bare sign or empty text is rejected, as are exponents and junk.
+_INTEGER_TEXT = r"^[\x00-\x20]*([+-]?)([0-9]*)([.][0-9]*)?[\x00-\x20]*$"
 
 
-def _integer_part(c) -> Column:
-    return F.regexp_extract(as_col(c), _INTEGER_TEXT, 1)
+def _legacy_integral(c, type_name: str) -> Column:
+    c = as_col(c)
+    sign = F.regexp_extract(c, _INTEGER_TEXT, 1)
+    digits = F.regexp_extract(c, _INTEGER_TEXT, 2)
+    fraction = F.regexp_extract(c, _INTEGER_TEXT, 3)
+    well_formed = c.rlike(_INTEGER_TEXT) & ((F.length(digits) + F.length(fraction)) > 0)
+    whole = F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits))
+    return F.when(well_formed, _try_cast(whole, type_name))
 
 
 def _lenient_integral(c, type_name: str) -> Column:
@@ -29,7 +36,7 @@ def _lenient_integral(c, type_name: str) -> Column:
     # strict cast rejects (a fraction such as "12.7") pays for the regex;
     # coalesce short-circuits, so the common case runs no regex at all.
     c = as_col(c)
-    return F.coalesce(_try_cast(c, type_name), _try_cast(_integer_part(c), type_name))
+    return F.coalesce(_try_cast(c, type_name), _legacy_integral(c, type_name))
 
 
 def lenient_int(c) -> Column:
