@@ -85,3 +85,21 @@ def test_rule_report_and_enforce(spark):
     with pytest.raises(RuleViolation, match="line_null"):
         enforce(report)
     assert enforce(report, "warn") == [("line_null", 1), ("negative", 1)]
+
+
+def test_fingerprint_mode_matches_exact(spark, sf_small):
+    from transitlake.sources import adapters
+
+    for df in [
+        adapters.gps_raw(spark, sf_small),
+        adapters.trips_raw(spark, sf_small),
+        spark.createDataFrame([(None, "a"), ("a", None), (None, "a"), (None, None)], "x string, y string"),
+    ]:
+        exact = duplicate_profile(df).first()
+        quick = duplicate_profile(df, fingerprint=True).first()
+        assert exact == quick
+
+
+def test_fingerprint_separates_null_positions(spark):
+    df = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
+    assert duplicate_profile(df, fingerprint=True).first().duplicate_rows == 0

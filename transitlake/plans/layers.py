@@ -139,8 +139,10 @@ def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str,
     return metrics
 
 
-def profile_layer(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
-    """Null and duplicate profile of every table of a layer, as one DataFrame."""
+def profile_layer(spark: SparkSession, lake: Lake, layer: str, fingerprint: bool = False) -> DataFrame:
+    """Null and duplicate profile of every table of a layer, as one DataFrame
+    (``fingerprint``: count duplicates on row fingerprints, see
+    :func:`transitlake.operators.duplicate_profile`)."""
     tables = {
         "bronze": ["gps", "linhas", "mco"],
         "silver": ["gps", "linhas", "mco"],
@@ -148,7 +150,7 @@ def profile_layer(spark: SparkSession, lake: Lake, layer: str) -> DataFrame:
     }[layer]
     out = None
     for t in tables:
-        p = profile_table(lake.read(spark, layer, t), layer, t)
+        p = profile_table(lake.read(spark, layer, t), layer, t, fingerprint=fingerprint)
         out = p if out is None else out.unionByName(p)
     return out
 
