@@ -173,3 +173,24 @@ def json_layer(line):
     import json
 
     return json.loads(line)["layer"]
+
+
+def test_empty_partitioned_table_reads_back_empty(spark):
+    lake = Lake.on_shared_storage(spark)
+    empty = spark.createDataFrame([], "v int, day string")
+    lake.write(empty, "silver", "t", ["day"])
+    back = lake.read(spark, "silver", "t")
+    assert back.count() == 0 and set(back.columns) == {"v", "day"}
+    lake.write(spark.createDataFrame([(1, "a")], "v int, day string"), "silver", "t", ["day"])
+    assert [tuple(r) for r in lake.read(spark, "silver", "t").select("v", "day").collect()] == [(1, "a")]
+
+
+def test_gold_with_no_pings(spark, sf_small):
+    lake = Lake.on_shared_storage(spark)
+    pings_empty = QUERIES["silver_pings"](spark, sf_small).limit(0)
+    lake.write(pings_empty, "silver", "gps", ["data_particao"])
+    lake.write(QUERIES["silver_trips"](spark, sf_small), "silver", "mco", ["ano", "mes"])
+    lake.write(QUERIES["silver_routes"](spark, sf_small), "silver", "linhas")
+    layers.run_gold(spark, lake)
+    gold = lake.read(spark, "gold", layers.GOLD_TABLE)
+    assert gold.count() > 0 and gold.filter(F.col("vel_maxima_gps").isNotNull()).count() == 0

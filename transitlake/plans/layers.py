@@ -126,7 +126,7 @@ def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str,
     if broken and policy == "fail":
         name, n = broken[0]
         raise RuleViolation(f"rule {name!r} failed on {n} rows; gold not published")
-    staged = lake.read(spark, "gold", staging).select(*GOLD_FACT.columns)
+    staged = lake.read(spark, "gold", staging, schema=fact.schema).select(*GOLD_FACT.columns)
     if broken and policy == "quarantine":
         staged_rules = gold_rules(staged)
         violating = None

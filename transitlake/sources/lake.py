@@ -9,6 +9,7 @@ that setting is absent (local runs and tests).
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -17,9 +18,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 LAYERS = ("bronze", "silver", "gold")
 
+# Hidden (underscore) sub-directory holding a partitioned table's schema.
+SCHEMA_SIDECAR = "_schema"
+
+
+def spark_of(df: DataFrame) -> SparkSession:
+    return df.sparkSession
+
+
 # Keep single output files to a size that a reader task handles well.
 DEFAULT_MAX_RECORDS_PER_FILE = 5_000_000
 
@@ -85,12 +95,34 @@ class Lake:
             return False
 
     def read(self, spark: SparkSession, layer: str, table: str, schema=None) -> DataFrame:
-        """Read a table; with ``schema`` a table written empty reads as empty."""
+        """Read a table.
+
+        An empty partitioned table has no data files to infer a schema from;
+        it is then read with the schema stored next to it at write time (or
+        with ``schema`` when given), so it reads as an empty table.
+        """
         fmt = "parquet" if layer == "bronze" else self.fmt
-        reader = spark.read.format(fmt)
+        path = self.path(layer, table)
         if schema is not None:
-            reader = reader.schema(schema)
-        return reader.load(self.path(layer, table))
+            return spark.read.format(fmt).schema(schema).load(path)
+        try:
+            return spark.read.format(fmt).load(path)
+        except Exception:
+            stored = self._stored_schema(spark, path)
+            if stored is None:
+                raise
+            return spark.read.format(fmt).schema(stored).load(path)
+
+    @staticmethod
+    def _schema_path(path: str) -> str:
+        return os.path.join(path, SCHEMA_SIDECAR)
+
+    def _stored_schema(self, spark: SparkSession, path: str):
+        try:
+            row = spark.read.text(self._schema_path(path)).first()
+        except Exception:
+            return None
+        return None if row is None else StructType.fromJson(json.loads(row[0]))
 
     def write(
         self,
@@ -140,6 +172,11 @@ class Lake:
             writer = writer.option("overwriteSchema", "true")
         out = self.path(layer, table)
         writer.save(out)
+        if partition_by:
+            # Partitioned tables written empty have no files to infer a schema
+            # from; keep it in a hidden sidecar (ignored by table scans).
+            sidecar = spark_of(df).createDataFrame([(df.schema.json(),)], "value string")
+            sidecar.coalesce(1).write.mode("overwrite").text(self._schema_path(out))
         return out
 
 
