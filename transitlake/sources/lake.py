@@ -16,7 +16,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -162,6 +162,10 @@ class Lake:
             df = df.hint("rebalance", *partition_by)
         if observation is not None:
             df = df.observe(observation, *metrics)
+        written = None
+        if partition_by:
+            written = Observation(f"lake_write_{uuid.uuid4().hex[:12]}")
+            df = df.observe(written, F.count(F.lit(1)).alias("rows"))
         writer = df.write.format(fmt).mode(mode).option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -172,8 +176,8 @@ class Lake:
             writer = writer.option("overwriteSchema", "true")
         out = self.path(layer, table)
         writer.save(out)
-        if partition_by:
-            # Partitioned tables written empty have no files to infer a schema
+        if written is not None and int(written.get["rows"]) == 0:
+            # A partitioned table written empty has no files to infer a schema
             # from; keep it in a hidden sidecar (ignored by table scans).
             sidecar = spark_of(df).createDataFrame([(df.schema.json(),)], "value string")
             sidecar.coalesce(1).write.mode("overwrite").text(self._schema_path(out))
