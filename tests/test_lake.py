@@ -194,3 +194,21 @@ def test_gold_with_no_pings(spark, sf_small):
     layers.run_gold(spark, lake)
     gold = lake.read(spark, "gold", layers.GOLD_TABLE)
     assert gold.count() > 0 and gold.filter(F.col("vel_maxima_gps").isNotNull()).count() == 0
+
+
+def test_command_line_layer_subset_and_options(spark, sf_small, capsys, caplog):
+    import logging
+
+    from transitlake.__main__ import main
+
+    lake = Lake.on_shared_storage(spark)
+    landing = layers.land(
+        spark, lake, adapters.gps_raw(spark, sf_small), adapters.routes_raw(spark, sf_small), adapters.trips_raw(spark, sf_small)
+    )
+    args = ["--lake", lake.root, "--gps", landing.pings, "--routes", landing.routes, "--trips", landing.trips]
+    main(args + ["--layers", "bronze,silver"])
+    with caplog.at_level(logging.WARNING, logger="transitlake.plans.layers"):
+        main(["--lake", lake.root, "--layers", "gold", "--policy", "quarantine", "--profile"])
+    out = [json_layer(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
+    assert out == ["bronze", "silver", "gold"]
+    assert "gold.fato_performance_diaria" in caplog.text  # profile messages were logged
