@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,23 +79,41 @@ def _observed_write(lake: Lake, df: DataFrame, layer: str, table: str, partition
     return int(obs.get["rows"])
 
 
-def run_bronze(spark: SparkSession, lake: Lake, landing: LandingFiles) -> dict[str, int]:
+def _run_tables(jobs: dict, parallel: bool) -> dict[str, int]:
+    """Run independent table writes, concurrently when ``parallel``.
+
+    The tables of one layer do not depend on each other; submitting their
+    jobs from a few driver threads lets the scheduler run the small ones
+    alongside the big one instead of after it.  Any failure is re-raised.
+    """
+    if not parallel or len(jobs) < 2:
+        return {table: job() for table, job in jobs.items()}
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {table: pool.submit(job) for table, job in jobs.items()}
+        return {table: f.result() for table, f in futures.items()}
+
+
+def run_bronze(spark: SparkSession, lake: Lake, landing: LandingFiles, parallel: bool = True) -> dict[str, int]:
     """Stamp and store the raw files as Parquet; returns rows written."""
     from transitlake.operators import stamp_ingestion
 
-    return {
-        table: _observed_write(lake, stamp_ingestion(df, table), "bronze", table)
-        for table, df in bronze_frames(spark, landing).items()
-    }
+    def job(table, df):
+        return lambda: _observed_write(lake, stamp_ingestion(df, table), "bronze", table)
+
+    return _run_tables({t: job(t, df) for t, df in bronze_frames(spark, landing).items()}, parallel)
 
 
-def run_silver(spark: SparkSession, lake: Lake) -> dict[str, int]:
+def run_silver(spark: SparkSession, lake: Lake, parallel: bool = True) -> dict[str, int]:
     """Bronze -> silver for the three tables; returns rows written."""
-    counts = {}
-    for table, (build, contract) in SILVER_TABLES.items():
-        df = build(lake.read(spark, "bronze", table))
-        counts[table] = _observed_write(lake, df, "silver", table, contract.partition_by)
-    return counts
+
+    def job(table, build, contract):
+        def write():
+            df = build(lake.read(spark, "bronze", table))
+            return _observed_write(lake, df, "silver", table, contract.partition_by)
+
+        return write
+
+    return _run_tables({t: job(t, b, c) for t, (b, c) in SILVER_TABLES.items()}, parallel)
 
 
 QUARANTINE_TABLE = f"_quarantine_{GOLD_TABLE}"
