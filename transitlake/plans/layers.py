@@ -50,13 +50,19 @@ class LandingFiles:
     trips: str
 
 
-def land(spark: SparkSession, lake: Lake, pings: DataFrame, routes: DataFrame, trips: DataFrame) -> LandingFiles:
+def land(
+    spark: SparkSession, lake: Lake, pings: DataFrame, routes: DataFrame, trips: DataFrame, parallel: bool = True
+) -> LandingFiles:
     """Write raw-shaped DataFrames as the landing files the bronze layer reads."""
-    return LandingFiles(
-        pings=write_lines(pings, lake.path("landing", "gps")),
-        routes=write_delimited(routes, lake.path("landing", "linhas"), ","),
-        trips=write_delimited(trips, lake.path("landing", "mco"), ";"),
+    paths = _run_tables(
+        {
+            "gps": lambda: write_lines(pings, lake.path("landing", "gps")),
+            "linhas": lambda: write_delimited(routes, lake.path("landing", "linhas"), ","),
+            "mco": lambda: write_delimited(trips, lake.path("landing", "mco"), ";"),
+        },
+        parallel,
     )
+    return LandingFiles(pings=paths["gps"], routes=paths["linhas"], trips=paths["mco"])
 
 
 def bronze_frames(spark: SparkSession, landing: LandingFiles) -> dict[str, DataFrame]:
@@ -79,7 +85,7 @@ def _observed_write(lake: Lake, df: DataFrame, layer: str, table: str, partition
     return int(obs.get["rows"])
 
 
-def _run_tables(jobs: dict, parallel: bool) -> dict[str, int]:
+def _run_tables(jobs: dict, parallel: bool) -> dict:
     """Run independent table writes, concurrently when ``parallel``.
 
     The tables of one layer do not depend on each other; submitting their
