@@ -138,3 +138,13 @@ def test_two_consortia_give_two_rows_and_a_key_breach(spark):
     fact = daily.daily_performance(ping, route, trip)
     assert fact.count() == 2
     assert duplicate_profile(fact, ["data_referencia", "numero_linha"]).first().duplicate_rows == 1
+
+
+def test_ping_metrics_with_a_text_line_code(spark):
+    day = dt.date(2024, 1, 1)
+    ping = spark.createDataFrame(
+        [(day, "12", 30, 5), (day, "x", 40, 5), (day, "12.0", 50, 5)],
+        "data_particao date, nl string, velocidade_kmh int, distancia_percorrida int",
+    )
+    rows = {r.join_cod_publico: r.vel_maxima_gps for r in daily.ping_metrics(ping, line_key="nl").collect()}
+    assert rows == {12: 50, None: 40}
