@@ -159,3 +159,9 @@ def test_malformed_wallclock_never_raises(spark, text):
         clock_minutes("s").alias("c"),
     ).first()
     assert row == (None, None, None)
+
+
+def test_portable_round_never_raises(spark):
+    df = spark.createDataFrame([(1e40,), (float("nan"),), (123456789012.125,)], "s double")
+    got = [r.r for r in df.select(portable_round("s").alias("r")).collect()]
+    assert got[0] is None and got[1] is None and got[2] == 123456789012.13
