@@ -149,3 +149,24 @@ def test_quoted_dump_lines(spark):
     assert len(default) == 1 and default[0].distancia_percorrida is None  # parity: '100"' is not a number
     stripped = pings.silver_pings(lines(spark, [line]), strip_quotes=True).first()
     assert stripped.cod_evento == 105 and stripped.distancia_percorrida == 100
+
+
+def test_dedup_survivor_does_not_depend_on_partitioning(spark, sf_small):
+    # D7: the same input gives the same silver rows whatever the layout
+    from transitlake.sources import adapters
+
+    results = []
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    old_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        for parts, aqe in [("3", "true"), ("11", "false"), ("8", "true")]:
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.enabled", aqe)
+            raw = adapters.gps_raw(spark, sf_small).repartition(int(parts))
+            results.append(sorted(map(tuple, pings.silver_pings(raw).collect()), key=repr))
+            results.append(sorted(map(tuple, routes.silver_routes(adapters.routes_raw(spark, sf_small)).collect()), key=repr))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.enabled", old_aqe)
+    assert results[0] == results[2] == results[4]
+    assert results[1] == results[3] == results[5]
