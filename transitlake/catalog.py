@@ -201,8 +201,18 @@ def _landing(spark, d) -> tuple[Lake, layers.LandingFiles]:
 
 
 def _bronze_roundtrip(spark, d, table: str) -> DataFrame:
-    lake, landing = _landing(spark, d)
-    raw = layers.bronze_frames(spark, landing)[table]
+    """Land one raw table as its file format, read it back as bronze does,
+    stamp and store it, and return the stored table (minus the timestamp)."""
+    from transitlake.sources.lake import read_delimited, read_lines, write_delimited, write_lines
+
+    lake = Lake.on_shared_storage(spark)
+    path = lake.path("landing", table)
+    if table == "gps":
+        raw = read_lines(spark, write_lines(adapters.gps_raw(spark, d), path))
+    elif table == "linhas":
+        raw = read_delimited(spark, write_delimited(adapters.routes_raw(spark, d), path, ","), ",")
+    else:
+        raw = read_delimited(spark, write_delimited(adapters.trips_raw(spark, d), path, ";"), ";")
     lake.write(stamp_ingestion(raw, table), "bronze", table)
     return lake.read(spark, "bronze", table).drop("_ingestion_timestamp")
 
