@@ -8,7 +8,7 @@ plan's rewrites.  Engine differences handled here (see FIXTURES.md):
 DuckDB's text casts round fractions and accept ``24:00``, so integers are
 cut out with a regex and clocks are guarded by full-width patterns; sums
 are cast to BIGINT and calendar parts to INTEGER; rounding goes through
-DECIMAL(38,6).
+DECIMAL(18,6).
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def ldouble(x: str) -> str:
 
 
 def round2(x: str) -> str:
-    return f"CAST(round(TRY_CAST({x} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    return f"CAST(round(TRY_CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE)"
 
 
 CLOCK = "([01][0-9]|2[0-3]):[0-5][0-9]"
