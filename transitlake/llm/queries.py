@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from transitlake.llm import quality
+from transitlake.llm import neardup, quality
 
 QUERIES = {
+    "op4_prob_minhash": neardup.query,
     "op9_line_frequency": quality.query,
 }
 
