@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,11 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
+def ship(module: str) -> None:
+    """Send the functions of this module to the executors by value, so that they need not have it installed."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read through Spark alone (the path may be any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -41,7 +41,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import SPACE_CLASS, fresh, settle, settle_table, table, whole_text
+from transitlake.llm.common import SPACE_CLASS, fresh, settle, settle_table, ship, table, whole_text
+
+ship(__name__)
 
 SHINGLE = 5
 THRESHOLD = 0.8
