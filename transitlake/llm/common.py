@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import types
 import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: The white space of the word contracts: space and \t \n \v \f \r.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -20,6 +23,16 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
+def worker_state() -> dict:
+    """A dictionary that lives as long as the Python worker process, across its tasks.
+
+    For tokenizers and what they remember; functions sent by value have no
+    module of their own on the executors, so it hangs on a module made here.
+    """
+    module = sys.modules.setdefault("llm_worker_state", types.ModuleType("llm_worker_state"))
+    return module.__dict__.setdefault("kept", {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read through Spark alone (the path may be any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

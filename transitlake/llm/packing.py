@@ -27,6 +27,8 @@ are ignored by :func:`pack`.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import repeat
@@ -36,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import settle, ship, table, whole_text
+from transitlake.llm.common import settle, ship, table, whole_text, worker_state
 
 ship(__name__)
 
@@ -44,36 +46,61 @@ CAPACITY = 4096
 GRAIN = 16
 END_ID = 2
 #: Words whose ids a Python worker remembers; beyond, it forgets them and starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 _BLANK = str.maketrans("\t\n\r", "   ")
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+_MARK = "\x01"
 
 
 class WordEncoder:
     """Ids of a text under a tokenizer that drops white space, as packed 32-bit integers.
 
-    Text between blanks is encoded once and remembered: blanks are a boundary
-    of this tokenizer, so the pieces' ids put together are the text's ids.
+    Words between white space are encoded once and remembered: white space is a
+    boundary of this tokenizer, so the words' ids put together are the text's
+    ids.  New words are encoded many at a time, with a control character
+    between them whose id no other text has.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        (self.mark,) = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def learn(self, words: list[str]) -> None:
+        for start in range(0, len(words), 2000):
+            part = [w for w in words[start : start + 2000] if _MARK not in w]
+            ids = self._ids(f" {_MARK} ".join(part))
+            packed = ids.tobytes()
+            cuts = [-1, *np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            self.known.update((w, packed[4 * a + 4 : 4 * b]) for w, a, b in zip(part, cuts, cuts[1:], strict=False))
+        self.known.update((w, self._ids(w).tobytes()) for w in words if _MARK in w)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.translate(_BLANK).split(" ") for text in texts]
+        # the separators \x1c to \x1f are no white space to the tokenizer
+        split = [text.translate(_BLANK).split(" ") if _SEPARATORS.search(text) else text.split() for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        new = list({w for words in split for w in set(words) if w not in known})
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            known.update((w, np.asarray(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, encoded, strict=True))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        new: set[str] = set()
+        for words in split:
+            new.update(words)
+        self.learn([w for w in new if w not in self.known])
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
+
+def encoder_at(path: str) -> WordEncoder:
+    """The worker's encoder for this file."""
+    state = worker_state()
+    if ("words", path) not in state:
+        state["words", path] = WordEncoder(path)
+    return state["words", path]
 
 
 def batches_of(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
@@ -92,7 +119,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
     """The pieces of each document: full sequences and one rest."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(tokenizer_path)
+        encoder = encoder_at(tokenizer_path)
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         for pdf in frames:
             texts = pdf["text"].tolist()

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from transitlake.llm import neardup, packing, quality, toxicity
+from transitlake.llm import neardup, packing, pii, quality, toxicity
 
 QUERIES = {
     "op4_prob_minhash": neardup.query,
+    "op2_bootstrapped_contexts": pii.query,
     "op7_cutting_stock": packing.query,
     "op8_boosted_trees": toxicity.query,
     "op9_line_frequency": quality.query,
