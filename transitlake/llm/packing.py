@@ -46,11 +46,15 @@ CAPACITY = 4096
 GRAIN = 16
 END_ID = 2
 #: Words whose ids a Python worker remembers; beyond, it forgets them and starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 
 _BLANK = str.maketrans("\t\n\r", "   ")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _MARK = "\x01"
+#: Signs that may end a word (no apostrophe: it begins tokens of its own).
+_SIGNS = '.,;:!?*%$&#|)"'
+#: Texts without these are lower-cased before their words are looked up, as the tokenizer does later.
+_BEYOND_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
 
 
 class WordEncoder:
@@ -75,6 +79,15 @@ class WordEncoder:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def learn(self, words: list[str]) -> None:
+        # a letter and the signs that end a word are always cut apart, so both are learned once
+        cut = [(w, w.rstrip(_SIGNS)) for w in words]
+        cut = [(w, stem, w[len(stem) :]) for w, stem in cut if len(stem) < len(w) and stem[-1:].isalpha()]
+        whole = set(words).difference(w for w, _, _ in cut)
+        self._learn([w for w in whole.union(*((s, t) for _, s, t in cut)) if w not in self.known])
+        known = self.known
+        known.update((w, known[stem] + known[tail]) for w, stem, tail in cut)
+
+    def _learn(self, words: list[str]) -> None:
         for start in range(0, len(words), 2000):
             part = [w for w in words[start : start + 2000] if _MARK not in w]
             ids = self._ids(f" {_MARK} ".join(part))
@@ -85,7 +98,10 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # the separators \x1c to \x1f are no white space to the tokenizer
-        split = [text.translate(_BLANK).split(" ") if _SEPARATORS.search(text) else text.split() for text in texts]
+        split = [
+            text.translate(_BLANK).split(" ") if _SEPARATORS.search(text) else (text if _BEYOND_LATIN.search(text) else text.lower()).split()
+            for text in texts
+        ]
         if len(self.known) > REMEMBERED:
             self.known.clear()
         new: set[str] = set()
