@@ -1,7 +1,7 @@
 """Toxicity: gradient-boosted trees over dense features, with isotonic calibration.
 
 1. Lexicon.  Words, and word beginnings of 4 to 7 letters, are counted by
-   label over all training rows (documents that hold them); those that the
+   label over the training sample (at most ``TRAIN_ROWS`` labelled rows) (documents that hold them); those that the
    log-likelihood ratio G2 ties to the toxic label form the lexicon.  It has
    at most ``LEXICON_SIZE`` entries, a parameter of the model.
 2. Features, per text: lexicon densities, distance of lexicon words to a word
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from transitlake.llm.common import crc_bucket, fresh, settle, ship, table, whole_text
+from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table, whole_text
 
 ship(__name__)
 
@@ -42,6 +42,8 @@ LEAST_G2 = 30.0
 PREFIXES = (4, 5, 6, 7)
 TREES, DEPTH = 20, 3
 THRESHOLD = 0.3
+#: Rows of the training sample at most (those of the least id hash): so many ids are broadcast.
+TRAIN_ROWS = 50_000
 FLUSH = 300_000
 
 # Words of the second person in English, German, French and Spanish.
@@ -202,6 +204,7 @@ def fit(train: DataFrame) -> Model:
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.regression import IsotonicRegression
 
+    train = settle_table(train.select("key", "text", "label"))
     lexicon = lexicon_of(train)
     rows = settle(
         featured(train.select("text", F.col("label").cast("double").alias("label"), F.pmod(F.xxhash64("key"), F.lit(5)).alias("fold")), lexicon)
@@ -221,14 +224,22 @@ def fit(train: DataFrame) -> Model:
     return Model(lexicon, trees, calibration)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Labelled documents whose crc32(doc_id) mod 4 is not 2."""
-    known = labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return (
-        docs.filter(crc_bucket(F.col("doc_id"), 4) != 2)
-        .select("doc_id", whole_text().alias("text"))
-        .join(known.filter(crc_bucket(F.col("doc_id"), 4) != 2), "doc_id")
-        .select(F.col("doc_id").cast("string").alias("key"), "text", (F.col("toxic") > 0).cast("int").alias("label"))
+def training_rows(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> DataFrame:
+    """Labelled documents whose crc32(doc_id) mod 4 is not 2: a sample of at most ``most`` labelled ids.
+
+    The bound makes the labels small enough to be broadcast, so no text is
+    shuffled to meet its label.
+    """
+    known = (
+        labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
+        .filter(crc_bucket(F.col("doc_id"), 4) != 2)
+        .groupBy("doc_id")
+        .agg((F.max("toxic") > 0).cast("int").alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(most)
+    )
+    return docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(known), "doc_id").select(
+        F.col("doc_id").cast("string").alias("key"), "text", "label"
     )
 
 
@@ -239,7 +250,6 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with their columns as they were."""
-    (made,) = fresh(docs, "toxicity_score")
     kept_text = F.col("text").alias("kept_text")
     names = list(docs.columns)
     renamed = docs.select(whole_text().alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(names) if c != "text"], kept_text)
