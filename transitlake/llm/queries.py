@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from transitlake.llm import neardup, packing, pii, quality, toxicity
+from transitlake.llm import bpe, chat, fingerprints, fixity, neardup, packing, pii, quality, toxicity
 
 QUERIES = {
-    "op4_prob_minhash": neardup.query,
+    "op1_order_minhash": fingerprints.query,
     "op2_bootstrapped_contexts": pii.query,
+    "op3_sentencepiece_bpe": bpe.query,
+    "op4_prob_minhash": neardup.query,
+    "op5_perspectives": chat.query,
     "op7_cutting_stock": packing.query,
     "op8_boosted_trees": toxicity.query,
     "op9_line_frequency": quality.query,
+    "op10_merkle_audit": fixity.query,
 }
 
 SQL = {
+    "op5_perspectives": chat.ORACLE,
     "op9_line_frequency": quality.ORACLE,
+    "op10_merkle_audit": fixity.ORACLE,
 }
