@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from transitlake.llm import bpe, chat, fingerprints, fixity, neardup, packing, pii, quality, toxicity
+from transitlake.llm import bpe, chat, ctw, fingerprints, fixity, neardup, packing, pii, quality, toxicity
 
 QUERIES = {
     "op1_order_minhash": fingerprints.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_sentencepiece_bpe": bpe.query,
     "op4_prob_minhash": neardup.query,
     "op5_perspectives": chat.query,
+    "op6_context_trees": ctw.query,
     "op7_cutting_stock": packing.query,
     "op8_boosted_trees": toxicity.query,
     "op9_line_frequency": quality.query,
