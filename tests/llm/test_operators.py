@@ -329,24 +329,25 @@ def test_perspectives_odd_rows(spark, monkeypatch):
 
 def brute_ctw(train, text):
     """log10 probability of a text, node by node."""
+    D = ctw.DEPTH
     counts = collections.defaultdict(lambda: [0, 0])
 
     def walk(t):
-        data = bytes([255] * 3) + t + b"\xff"
-        for p in range(3, len(data)):
+        data = bytes([255] * D) + t + b"\xff"
+        for p in range(D, len(data)):
             node = 1
             for bit in range(7, -1, -1):
                 b = data[p] >> bit & 1
-                yield data[p - 3 : p], node, b
+                yield data[p - D : p], node, b
                 node = 2 * node + b
 
     contexts = collections.defaultdict(set)
     for t in train:
         for context, node, b in walk(t):
-            for d in range(4):
-                counts[context[3 - d :], node][b] += 1
-                if d < 3:
-                    contexts[context[3 - d :], node].add(context[2 - d :])
+            for d in range(D + 1):
+                counts[context[D - d :], node][b] += 1
+                if d < D:
+                    contexts[context[D - d :], node].add(context[D - 1 - d :])
 
     def pe(s, node):
         a, b = counts.get((s, node), (0, 0))
@@ -357,15 +358,15 @@ def brute_ctw(train, text):
     def pw(s, node):
         if (s, node) not in memo:
             own = pe(s, node)
-            memo[s, node] = own if len(s) == 3 else np.logaddexp(own, sum(pw(c, node) for c in contexts[s, node])) - math.log(2)
+            memo[s, node] = own if len(s) == D else np.logaddexp(own, sum(pw(c, node) for c in contexts[s, node])) - math.log(2)
         return memo[s, node]
 
     total = 0.0
     for context, node, b in walk(text):
         left, p = 1.0, 0.0
-        depths = [d for d in range(4) if (context[3 - d :], node) in counts]
+        depths = [d for d in range(D + 1) if (context[D - d :], node) in counts]
         for d in depths:
-            s = context[3 - d :]
+            s = context[D - d :]
             share = 1.0 if d == depths[-1] else math.exp(pe(s, node) - math.log(2) - pw(s, node))
             a = counts[s, node]
             p += left * share * (a[1] + 0.5) / (sum(a) + 1)
@@ -393,8 +394,8 @@ def test_scores_are_the_brute_force_ones(spark):
         assert math.isclose(r.score, brute_ctw(train, t), abs_tol=1e-6)
 
 
-def test_model_beats_the_base_on_held_out_texts(spark, sf_small):
-    rows = [r for r in ctw.query(spark, sf_small).collect() if r.held_out]
+def test_model_beats_the_base_on_held_out_texts(spark):
+    rows = [r for r in ctw.query(spark, "/root/testdata/sf0.01").collect() if r.held_out]
     assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 

@@ -46,9 +46,9 @@ from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table
 
 ship(__name__)
 
-#: Bytes of context.  Codes are context and byte, four bytes in all.
-DEPTH = 3
-CHUNK_BYTES = 16_000_000
+#: Bytes of context (2 to 6: a code, context and byte, is one long).
+DEPTH = 5
+CHUNK_BYTES = 32_000_000
 END = 0xFF
 _PAD = bytes([END]) * DEPTH
 _ROWS = 50_000
@@ -58,10 +58,13 @@ def codes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(context, byte) codes of all bytes and end marks, text after text, and the number of each text."""
     joined = np.frombuffer(b"".join(_PAD + t + b"\xff" for t in texts), dtype=np.uint8)
     sizes = np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts))
-    wide = joined.astype(np.uint32)
-    codes = (wide[:-3] << np.uint32(24)) | (wide[1:-2] << np.uint32(16)) | (wide[2:-1] << np.uint32(8)) | wide[3:]
+    n = len(joined) - DEPTH
+    codes = np.zeros(n, dtype=np.int64)
+    for k in range(DEPTH + 1):
+        codes <<= 8
+        codes |= joined[k : k + n]
     starts = np.cumsum(sizes + DEPTH) - (sizes + DEPTH)
-    real = np.ones(len(codes), dtype=bool)
+    real = np.ones(n, dtype=bool)
     for k in range(DEPTH):  # the paddings of later texts are no symbols
         real[starts[1:] + k - DEPTH] = False
     return codes[real], sizes
@@ -86,7 +89,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names)
         keys, n = _totals(parts)
         for i in range(0, len(keys), _ROWS):
-            k = keys[i : i + _ROWS].astype(np.int64)
+            k = keys[i : i + _ROWS]
             columns = [pa.array([chunk] * len(k), pa.int32()), pa.nulls(len(k), pa.binary()), pa.array(k), pa.array(n[i : i + _ROWS])]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -124,16 +127,6 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + series - shift
 
 
-def decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts (contexts x 256) to zeros and ones of the 255 decisions (prefix order: 1, 2, 3, ... as in a heap)."""
-    levels, now = [], counts.astype(np.float64)
-    while now.shape[1] > 1:
-        levels.append((now[:, 0::2], now[:, 1::2]))
-        now = now[:, 0::2] + now[:, 1::2]
-    levels.reverse()
-    return np.concatenate([a for a, _ in levels], axis=1), np.concatenate([b for _, b in levels], axis=1)
-
-
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """log Pe of the Krichevsky-Trofimov estimator."""
     out = np.zeros_like(zeros)
@@ -148,24 +141,47 @@ def weighted(log_pe: np.ndarray, log_children: np.ndarray) -> np.ndarray:
     return np.logaddexp(log_pe, log_children) - math.log(2)
 
 
-def _matrix(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """First context bytes that occur, and their counts by byte."""
-    gram = pdf["gram"].to_numpy()
-    firsts, row = np.unique(gram >> 24, return_inverse=True)
-    counts = np.zeros((len(firsts), 256))
-    np.add.at(counts, (row, gram & 255), pdf["n"].to_numpy())
-    return firsts, counts
+def paths(codes: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The eight decisions of each code: (node, its context's last ``depth`` bytes and its
+    place in the byte's tree as one key), (bit)."""
+    context = ((codes >> 8) & ((1 << (8 * depth)) - 1)) << 8
+    symbol, place = codes & 255, np.ones(len(codes), dtype=np.int64)
+    for k in range(7, -1, -1):
+        bit = (symbol >> k) & 1
+        yield context | place, bit
+        place = 2 * place + bit
+
+
+class Lower:
+    """The nodes of all contexts of two bytes or more that end in the same two."""
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray):
+        self.keys, self.zeros, self.ones, self.log_pw, self.share = {}, {}, {}, {}, {}
+        for depth in range(DEPTH, 1, -1):
+            nodes, bits = zip(*paths(codes, depth), strict=True)
+            keys, at = np.unique(np.concatenate(nodes), return_inverse=True)
+            weight = np.tile(n.astype(np.float64), 8)
+            ones = np.bincount(at, weights=weight * np.concatenate(bits), minlength=len(keys))
+            zeros = np.bincount(at, weights=weight, minlength=len(keys)) - ones
+            log_pe = log_estimate(zeros, ones)
+            if depth == DEPTH:
+                log_pw, share = log_pe, np.ones(len(keys))
+            else:
+                deeper = self.keys[depth + 1]
+                parent = ((deeper >> 8) & ((1 << (8 * depth)) - 1)) << 8 | deeper & 255
+                children = np.bincount(np.searchsorted(keys, parent), weights=self.log_pw[depth + 1], minlength=len(keys))
+                log_pw = weighted(log_pe, children)
+                share = np.exp(log_pe - math.log(2) - log_pw)
+            for held, value in ((self.keys, keys), (self.zeros, zeros), (self.ones, ones), (self.log_pw, log_pw), (self.share, share)):
+                held[depth] = value
 
 
 def _lower(pdf: pd.DataFrame) -> pd.DataFrame:
     """The decisions of one two-byte context: counts, and log Pw."""
-    _, counts = _matrix(pdf)
-    children = log_estimate(*decisions(counts)).sum(axis=0)
-    zeros, ones = (x[0] for x in decisions(counts.sum(axis=0, keepdims=True)))
-    log_pw = weighted(log_estimate(zeros, ones), children)
-    some = np.flatnonzero(zeros + ones)
+    own = Lower(pdf["gram"].to_numpy(), pdf["n"].to_numpy())
     return pd.DataFrame({
-        "last": int(pdf["suffix"].iloc[0]) & 255, "node": some, "zeros": zeros[some], "ones": ones[some], "log_pw": log_pw[some],
+        "last": int(pdf["suffix"].iloc[0]) & 255, "node": (own.keys[2] & 255) - 1,
+        "zeros": own.zeros[2], "ones": own.ones[2], "log_pw": own.log_pw[2],
     })
 
 
@@ -201,25 +217,50 @@ class Upper:
 def _answers(pdf: pd.DataFrame, upper: Upper) -> pd.DataFrame:
     """log10 probability of each gram of one two-byte context."""
     last = int(pdf["suffix"].iloc[0]) & 255
-    firsts, counts = _matrix(pdf)
-    zeros3, ones3 = decisions(counts)
-    pe3 = log_estimate(zeros3, ones3)
-    zeros2, ones2 = (x[0] for x in decisions(counts.sum(axis=0, keepdims=True)))
-    pe2 = log_estimate(zeros2, ones2)
-    pw2 = weighted(pe2, pe3.sum(axis=0))
-    left, mixed, deepest2 = mixture(zeros2, ones2, np.exp(pe2 - math.log(2) - pw2), upper.left[last], upper.mixed[last])
-    _, _, deepest3 = mixture(zeros3, ones3, np.ones_like(zeros3), left, mixed)
-    one = np.where(zeros3 + ones3 > 0, deepest3, np.where(zeros2 + ones2 > 0, deepest2, upper.deepest[last]))
-    gram = pdf["gram"].to_numpy()
-    row, symbol = np.searchsorted(firsts, gram >> 24), gram & 255
-    total = np.zeros(len(gram))
-    node = np.ones(len(gram), dtype=np.int64)
-    for bit in range(7, -1, -1):
-        b = (symbol >> bit) & 1
-        p = one[row, node - 1]
-        total += np.log10(np.where(b == 1, p, 1 - p))
-        node = 2 * node + b
-    return pd.DataFrame({"gram": gram, "value": total})
+    codes, n = pdf["gram"].to_numpy(), pdf["n"].to_numpy()
+    own = Lower(codes[n > 0], n[n > 0]) if (n > 0).any() else None
+    total = np.zeros(len(codes))
+    for ways in zip(*(paths(codes, depth) for depth in range(2, DEPTH + 1)), strict=True):
+        place = (ways[0][0] & 255) - 1
+        left, mixed, one = upper.left[last, place], upper.mixed[last, place], upper.deepest[last, place]
+        for depth, (node, _) in enumerate(ways, 2):
+            if own is None:
+                break
+            at = np.minimum(np.searchsorted(own.keys[depth], node), len(own.keys[depth]) - 1)
+            seen = own.keys[depth][at] == node
+            after = mixture(own.zeros[depth][at], own.ones[depth][at], own.share[depth][at], left, mixed)
+            left, mixed, one = (np.where(seen, new, old) for new, old in zip(after, (left, mixed, one), strict=True))
+        total += np.log10(np.where(ways[0][1] == 1, one, 1 - one))
+    return pd.DataFrame({"gram": codes, "value": total})
+
+
+class Table:
+    """Values by code: open addressing with linear probing, looked up for many codes at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        size = 1 << self.bits
+        self.keys, self.values = np.full(size, -1, dtype=np.int64), np.zeros(size)
+        at, rest = self._slot(keys), np.arange(len(keys))
+        while len(rest):
+            free = self.keys[at] < 0
+            slot, first = np.unique(at[free], return_index=True)
+            chosen = rest[free][first]
+            self.keys[slot], self.values[slot] = keys[chosen], values[chosen]
+            waiting = self.keys[at] != keys[rest]
+            at, rest = (at[waiting] + 1) & (size - 1), rest[waiting]
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def __getitem__(self, codes: np.ndarray) -> np.ndarray:
+        at = self._slot(codes)
+        astray = np.flatnonzero(self.keys[at] != codes)
+        while len(astray):
+            at[astray] = (at[astray] + 1) & (len(self.keys) - 1)
+            astray = astray[self.keys[at[astray]] != codes[astray]]
+        return self.values[at]
 
 
 def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int) -> Iterator[pa.RecordBatch]:
@@ -244,20 +285,18 @@ def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int) -> Itera
                 words.update(zip(got.column("word").to_pylist(), got.column("value").to_pylist(), strict=True))
             if len(at[1]):
                 got = part.take(pa.array(at[1]))
-                parts.append((got.column("gram").to_numpy().astype(np.uint32), got.column("value").to_numpy()))
+                parts.append((got.column("gram").to_numpy(), got.column("value").to_numpy()))
             if not len(at[2]):
                 continue
             if table_of is None:
-                keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
-                order = np.argsort(keys)
-                table_of, parts = (keys[order], values[order]), []
+                table_of, parts = Table(*(np.concatenate(x) for x in zip(*parts, strict=True))), []
             got = part.take(pa.array(at[2]))
             texts = [t.lower() for t in got.column("text").cast(pa.binary()).to_pylist()]
             ends = got.column("value").to_pylist()
             rows = []
             for i in range(0, len(texts), 512):
                 codes, sizes = codes_of(texts[i : i + 512])
-                scores = np.add.reduceat(table_of[1][np.searchsorted(table_of[0], codes)], np.cumsum(sizes) - sizes)
+                scores = np.add.reduceat(table_of[codes], np.cumsum(sizes) - sizes)
                 for text, size, score, end in zip(texts[i : i + 512], sizes.tolist(), scores.tolist(), ends[i : i + 512], strict=True):
                     split = text.split()
                     known = np.fromiter(map(words.__getitem__, split), dtype=np.float64, count=len(split))
