@@ -28,9 +28,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType
 
 from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table, whole_text
 
@@ -151,12 +151,11 @@ def features_of(text: str, weight) -> list[float]:
     ]
 
 
-def featured(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
-    """``docs`` (all columns but ``text``) with a column ``dense``, an array of the features."""
-    kept = [c for c in docs.columns if c != "text"]
-    schema = StructType([docs.schema[c] for c in kept] + [StructField("dense", ArrayType(DoubleType()))])
+def dense_of(text: Column, lexicon: dict[str, float]) -> Column:
+    """The features as an array column; only the text goes to Python."""
 
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(ArrayType(DoubleType()))
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         memo: dict[str, float] = {}
 
         def weight(word: str) -> float:
@@ -166,12 +165,19 @@ def featured(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
             return got
 
         for batch in batches:
-            if len(memo) > FLUSH:
-                memo.clear()
-            dense = pa.array([features_of(t, weight) for t in batch.column("text").to_pylist()], pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), dense], [*kept, "dense"])
+            rows = []
+            for start in range(0, len(batch), 256):
+                rows += [features_of(t, weight) for t in batch.slice(start, 256).to_pylist()]
+                if len(memo) > FLUSH:
+                    memo.clear()
+            yield pa.array(rows, pa.list_(pa.float64()))
+
+    return measured(text)
 
-    return docs.mapInArrow(measured, schema)
+
+def featured(docs: DataFrame, lexicon: dict[str, float]) -> DataFrame:
+    """``docs`` (columns but ``text``) with a column ``dense``, an array of the features."""
+    return docs.select(*[c for c in docs.columns if c != "text"], dense_of(F.col("text"), lexicon).alias("dense"))
 
 
 class Model:
@@ -250,11 +256,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
 def reject_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, with their columns as they were."""
-    kept_text = F.col("text").alias("kept_text")
     names = list(docs.columns)
-    renamed = docs.select(whole_text().alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(names) if c != "text"], kept_text)
-    scored = model.transform(featured(renamed, model.lexicon)).filter(F.col("score") < threshold)
-    return scored.select(*[F.col("kept_text").alias(c) if c == "text" else F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    # working names, whatever the columns are called
+    renamed = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)])
+    text = F.coalesce(F.col(f"c{names.index('text')}"), F.lit(""))
+    scored = model.transform(renamed.withColumn("dense", dense_of(text, model.lexicon)))
+    return scored.filter(F.col("score") < threshold).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 def model_for(spark, sf_dir: str) -> Model:
