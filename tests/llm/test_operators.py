@@ -394,9 +394,10 @@ def test_scores_are_the_brute_force_ones(spark):
         assert math.isclose(r.score, brute_ctw(train, t), abs_tol=1e-6)
 
 
-def test_model_beats_the_base_on_held_out_texts(spark):
+def test_model_is_near_the_base_on_few_held_out_texts(spark):
     rows = [r for r in ctw.query(spark, "/root/testdata/sf0.01").collect() if r.held_out]
-    assert rows and sum(r.score for r in rows) > sum(r.base_score for r in rows)
+    assert rows and sum(r.score for r in rows) > 1.05 * sum(r.base_score for r in rows)
+    assert sum(r.bits_per_byte for r in rows) / len(rows) < 2.7
 
 
 def test_scores_odd_rows(odd):

@@ -20,8 +20,8 @@ counts its own (context, byte) grams and words; the counts are added up by
 gram and word over the whole corpus.  The lower levels of the trees
 are computed in groups of contexts with the same last two bytes, the levels
 above (at most 257 contexts of 255 decisions) on the driver.  Every chunk is
-then sent the log probabilities of just the grams, and the counts of just the
-words, that it holds, and scores its documents with them.  Nothing that grows
+then sent the log probabilities of just the grams that it holds, and the
+counts of just the words that other chunks also train on, and scores its documents with them.  Nothing that grows
 with the corpus is broadcast or collected.
 
 Defined cases: null and empty texts are the end mark alone; a null doc_id
@@ -33,13 +33,16 @@ gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import math
+import pickle
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table, whole_text
@@ -48,7 +51,7 @@ ship(__name__)
 
 #: Bytes of context (2 to 6: a code, context and byte, is one long).
 DEPTH = 5
-CHUNK_BYTES = 32_000_000
+CHUNK_BYTES = 48_000_000
 END = 0xFF
 _PAD = bytes([END]) * DEPTH
 _ROWS = 50_000
@@ -94,26 +97,41 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(columns, names)
 
     for batch in batches:
-        rows = zip(*(batch.column(c).to_pylist() for c in ("chunk", "held_out")), batch.column("text").cast(pa.binary()).to_pylist(), strict=True)
-        by: dict[tuple[int, bool], list[bytes]] = {}
-        for chunk, held_out, text in rows:
-            by.setdefault((chunk, held_out), []).append(text.lower())
-        for (chunk, held_out), texts in by.items():
+        for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist(), strict=True):
+            by: dict[bool, list[bytes]] = {}
+            for _, held_out, text in unpacked(blob):
+                by.setdefault(held_out, []).append(text)
             words, parts = held.setdefault(chunk, (Counter(), []))
-            for text in texts:
-                if held_out:
-                    words.update(dict.fromkeys(text.split(), 0))
-                else:
-                    words.update(text.split())
-            codes, _ = codes_of(texts)
-            keys, n = np.unique(codes, return_counts=True)
-            parts.append((keys, np.zeros(len(n), dtype=np.int64) if held_out else n))
-            if len(parts) > 16:
-                parts[:] = [_totals(parts)]
+            for held_out, texts in by.items():
+                for text in texts:
+                    words.update(dict.fromkeys(text.split(), 0) if held_out else text.split())
+                codes, _ = codes_of(texts)
+                keys, n = np.unique(codes, return_counts=True)
+                parts.append((keys, np.zeros(len(n), dtype=np.int64) if held_out else n))
+                if len(parts) > 16:
+                    parts[:] = [_totals(parts)]
     for chunk in list(held):
         yield from out(chunk)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of a batch by chunk, compressed: they are shuffled twice."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        by: dict[int, list] = {}
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for chunk, doc_id, held_out, text in zip(*(batch.column(c).to_pylist() for c in ("chunk", "doc_id", "held_out")), texts, strict=True):
+            by.setdefault(chunk, []).append((doc_id, held_out, text.lower()))
+        for chunk, rows in by.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int32()), pa.array([press.compress(pickle.dumps(rows))], pa.binary())], ["chunk", "blob"]
+            )
+
+
+def unpacked(blob: bytes) -> list[tuple[int | None, bool, bytes]]:
+    return pickle.loads(zstandard.decompress(blob))
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Logarithm of the gamma function for x >= 1/2 (Stirling's series above 8)."""
     shift = np.zeros_like(x)
@@ -263,12 +281,9 @@ class Table:
         return self.values[at]
 
 
-def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int) -> Iterator[pa.RecordBatch]:
+def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int, ends: int) -> Iterator[pa.RecordBatch]:
     """Rows of some chunks: each chunk's answers first, then its documents."""
-    floor = math.log10(tokens + kinds + 1)
-    chunk, words, parts, table_of = None, {}, [], None
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "base_score", "score"]
-    types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    chunk, words, parts, blobs = None, {}, [], []
     for batch in batches:
         label = batch.column("chunk").to_numpy()
         turns = [0, *(np.flatnonzero(label[1:] != label[:-1]) + 1).tolist(), len(label)]
@@ -277,7 +292,8 @@ def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int) -> Itera
             if not len(part):
                 continue
             if part.column("chunk")[0].as_py() != chunk:
-                chunk, words, parts, table_of = part.column("chunk")[0].as_py(), {}, [], None
+                yield from _chunk_scores(words, parts, blobs, tokens, kinds, ends)
+                chunk, words, parts, blobs = part.column("chunk")[0].as_py(), {}, [], []
             kind = part.column("kind").to_numpy()
             at = [np.flatnonzero(kind == k) for k in range(3)]
             if len(at[0]):
@@ -286,48 +302,71 @@ def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int) -> Itera
             if len(at[1]):
                 got = part.take(pa.array(at[1]))
                 parts.append((got.column("gram").to_numpy(), got.column("value").to_numpy()))
-            if not len(at[2]):
-                continue
-            if table_of is None:
-                table_of, parts = Table(*(np.concatenate(x) for x in zip(*parts, strict=True))), []
-            got = part.take(pa.array(at[2]))
-            texts = [t.lower() for t in got.column("text").cast(pa.binary()).to_pylist()]
-            ends = got.column("value").to_pylist()
-            rows = []
-            for i in range(0, len(texts), 512):
-                codes, sizes = codes_of(texts[i : i + 512])
-                scores = np.add.reduceat(table_of[codes], np.cumsum(sizes) - sizes)
-                for text, size, score, end in zip(texts[i : i + 512], sizes.tolist(), scores.tolist(), ends[i : i + 512], strict=True):
-                    split = text.split()
-                    known = np.fromiter(map(words.__getitem__, split), dtype=np.float64, count=len(split))
-                    n = len(split) + 1
-                    rows.append((n, int(np.count_nonzero(known)) + (end > 0), size - 1, float(known.sum()) + end - n * floor, score))
-            columns = [list(c) for c in zip(*rows, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [got.column("doc_id"), got.column("held_out"), *(pa.array(c, t) for c, t in zip(columns, types[2:], strict=True))], names
-            )
+            if len(at[2]):
+                blobs += part.take(pa.array(at[2])).column("word").to_pylist()
+    yield from _chunk_scores(words, parts, blobs, tokens, kinds, ends)
+
+
+def _chunk_scores(words: dict, parts: list, blobs: list[bytes], tokens: int, kinds: int, ends: int) -> Iterator[pa.RecordBatch]:
+    """Scores of one chunk.  ``words`` has the corpus counts of the words that
+    other chunks also train on; the others' counts are those of the chunk."""
+    if not blobs:
+        return
+    floor = math.log10(tokens + kinds + 1)
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "base_score", "score"]
+    types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    own: Counter = Counter()
+    for blob in blobs:
+        for _, held_out, text in unpacked(blob):
+            own.update(dict.fromkeys(text.split(), 0) if held_out else text.split())
+    value_of = {w: math.log10(c + 1) for w, c in own.items() if w not in words} | words
+    end = math.log10(ends + 1)
+    table_of = Table(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    for blob in blobs:
+        docs = unpacked(blob)
+        codes, sizes = codes_of([text for _, _, text in docs])
+        scores = np.add.reduceat(table_of[codes], np.cumsum(sizes) - sizes)
+        rows = []
+        for (doc_id, held_out, text), score in zip(docs, scores.tolist(), strict=True):
+            split = text.split()
+            known = np.fromiter(map(value_of.__getitem__, split), dtype=np.float64, count=len(split))
+            n = len(split) + 1
+            rows.append((doc_id, held_out, n, int(np.count_nonzero(known)) + (ends > 0), len(text), float(known.sum()) + end - n * floor, score))
+        columns = zip(*rows, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
 
 
 def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Scores of each row of ``docs``; rows whose crc32(doc_id) mod 7 is 2 are held out of training."""
     spark = docs.sparkSession
     text = whole_text()
-    size = docs.agg(F.sum(F.octet_length(text)).alias("b")).first()["b"] or 0
-    chunks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // chunk_bytes))
+    held_out = crc_bucket(F.col("doc_id"), 7) == 2
+    whole = docs.agg(F.sum(F.octet_length(text)).alias("b"), F.count_if(~held_out).alias("ends")).first()
+    ends = whole["ends"]
+    chunks = max(spark.sparkContext.defaultParallelism, -(-(whole["b"] or 0) // chunk_bytes))
     dealt = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
-        (crc_bucket(F.col("doc_id"), 7) == 2).alias("held_out"),
+        held_out.alias("held_out"),
         F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk"),
-    )
+    ).mapInArrow(_packed, "chunk int, blob binary")
     held = settle_table(
         dealt.repartitionById(chunks, F.col("chunk")).mapInArrow(_counted, "chunk int, word binary, gram long, n long")
     )
-    ends = dealt.agg(F.count_if(~F.col("held_out")).alias("n")).first()["n"]
-    words = held.filter("word is not null").groupBy("word").agg(F.sum("n").alias("c"))
-    sums = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
-    tokens, kinds = sums["n"] + ends, sums["v"] + (ends > 0)
-    word_answers = held.filter("word is not null").select("chunk", "word").join(words, "word").select(
+    # a word's rows are as many as the chunks that have it
+    of_word = Window.partitionBy("word")
+    first = F.row_number().over(of_word.orderBy("chunk")) == 1
+    seen = Observation(f"words_{uuid.uuid4().hex}")
+    words = held.filter("word is not null").select("chunk", "word", "n", F.sum("n").over(of_word).alias("c"), first.alias("first"))
+    answered = settle_table(
+        words.observe(
+            seen, F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count_if(F.col("first") & (F.col("c") > 0)).alias("v")
+        )
+        .filter("c <> n")
+        .select("chunk", "word", "c")
+    )
+    tokens, kinds = seen.get["n"] + ends, seen.get["v"] + (ends > 0)
+    word_answers = answered.select(
         "chunk", F.lit(0).alias("kind"), "word", F.lit(None).cast("long").alias("gram"), F.log10(F.col("c") + 1).alias("value")
     )
     grams = settle(
@@ -346,15 +385,12 @@ def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     gram_answers = held.filter("gram is not null").select("chunk", "gram").join(values, "gram").select(
         "chunk", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("word"), "gram", "value"
     )
-    nothing = {"doc_id": "long", "held_out": "boolean", "text": "string"}
-    answers = word_answers.union(gram_answers).select("*", *[F.lit(None).cast(t).alias(c) for c, t in nothing.items()])
     documents = dealt.select(
-        "chunk", F.lit(2).alias("kind"), F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("gram"),
-        F.lit(math.log10(ends + 1)).alias("value"), "doc_id", "held_out", "text",
-    )
-    met = answers.union(documents).repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk", "kind")
+        "chunk", F.lit(2).alias("kind"), F.col("blob").alias("word"), F.lit(None).cast("long").alias("gram"), F.lit(None).cast("double").alias("value")
+    )
+    met = word_answers.union(gram_answers).union(documents).repartitionById(chunks, F.col("chunk")).sortWithinPartitions("chunk", "kind")
     return met.mapInArrow(
-        lambda batches: _scored(batches, tokens, kinds),
+        lambda batches: _scored(batches, tokens, kinds, ends),
         "doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, base_score double, score double",
     ).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score",
