@@ -39,7 +39,12 @@ def ldouble(x: str) -> str:
 
 
 def round2(x: str) -> str:
-    return f"CAST(round(TRY_CAST({x} AS DECIMAL(18,6)), 2) AS DOUBLE)"
+    return f"round(CAST({x} AS DOUBLE), 2)"
+
+
+def mean2(total: str, count: str) -> str:
+    """Mean of integers rounded half up to two decimals (no sign: sums here are not negative)."""
+    return f"CAST((200 * CAST({total} AS HUGEINT) + {count}) // (2 * {count}) AS DOUBLE) / 100"
 
 
 CLOCK = "([01][0-9]|2[0-3]):[0-5][0-9]"
@@ -257,7 +262,7 @@ SELECT * EXCLUDE (rn) FROM (
 
 CTES["ping_metrics"] = f"""
 SELECT data_particao, numero_linha AS join_cod_publico,
-       {round2('avg(velocidade_kmh)')} AS vel_media_gps,
+       {mean2('sum(velocidade_kmh)', 'count(velocidade_kmh)')} AS vel_media_gps,
        max(velocidade_kmh) AS vel_maxima_gps,
        CAST(sum(distancia_percorrida) AS BIGINT) AS distancia_total_gps_metros
 FROM silver_pings
@@ -281,7 +286,7 @@ SELECT data_viagem, numero_linha, join_cod_publico, cod_linha_publico, nome_brut
        bairro_origem, bairro_destino,
        count(*) AS qtd_viagens_realizadas,
        CAST(sum(CAST(teve_falha_mecanica AS INTEGER)) AS BIGINT) AS qtd_falhas_mecanicas,
-       {round2('avg(duracao_viagem_minutos)')} AS duracao_media_viagem_min
+       {mean2('sum(CAST(round(duracao_viagem_minutos * 100) AS BIGINT))', '(100 * count(duracao_viagem_minutos))')} AS duracao_media_viagem_min
 FROM trips_enriched
 WHERE duracao_viagem_minutos >= 0
 GROUP BY data_viagem, numero_linha, join_cod_publico, cod_linha_publico, nome_bruto, nome_consorcio,
@@ -527,6 +532,8 @@ def _layer_profile(table: str, source: str, columns: list[str]) -> str:
     )
 
 
+SQL["partitioned_overwrite_orc"] = SQL["partitioned_overwrite"]
+
 SQL["layer_profiles"] = with_ctes(
     "\nUNION ALL ".join(
         [

@@ -164,4 +164,17 @@ def test_malformed_wallclock_never_raises(spark, text):
 def test_portable_round_never_raises(spark):
     df = spark.createDataFrame([(1e40,), (float("nan"),), (123456789012.125,)], "s double")
     got = [r.r for r in df.select(portable_round("s").alias("r")).collect()]
-    assert got[0] is None and got[1] is None and got[2] == 123456789012.13
+    assert got[0] == 1e40 and got[1] != got[1] and got[2] == 123456789012.13
+
+
+def test_portable_round_is_one_step(spark):
+    assert one(spark, 1.0049999, portable_round("s"), "s double") == 1.0
+    assert one(spark, 2e12, portable_round("s"), "s double") == 2e12
+
+
+def test_ratio_round_is_exact(spark):
+    from transitlake.functions import ratio_round
+
+    df = spark.createDataFrame([(1, 8), (-1, 8), (1001, 200_001), (1000, 200_001), (5, 0), (None, 3)], "a long, b long")
+    got = [r.r for r in df.select(ratio_round("a", "b").alias("r")).collect()]
+    assert got == [0.13, -0.13, 0.01, 0.0, None, None]

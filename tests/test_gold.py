@@ -73,14 +73,6 @@ def test_route_lookup_is_broadcast_when_small(spark, sf_small):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
 
 
-def test_oversized_lookup_is_not_broadcast(spark, sf_small):
-    from transitlake.operators import bounded_broadcast
-
-    lookup = daily.route_lookup(routes.silver_routes(adapters.routes_raw(spark, sf_small)))
-    hinted = bounded_broadcast(lookup, max_rows=3)
-    assert "broadcast" not in hinted._jdf.queryExecution().logical().toString().lower()
-
-
 def test_gps_match_on_line_id(spark):
     day = dt.date(2024, 1, 1)
     trip = spark.createDataFrame(

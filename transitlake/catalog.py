@@ -261,10 +261,10 @@ def streamed_silver_pings(spark, d):
 REWRITE_FROM = "2024-01-16"
 
 
-def partitioned_overwrite(spark, d):
+def partitioned_overwrite(spark, d, fmt="parquet"):
     """Write silver pings by day, then overwrite the days from ``REWRITE_FROM``
     with their in-range pings only; the earlier days must be untouched."""
-    lake = Lake.on_shared_storage(spark)
+    lake = Lake.on_shared_storage(spark, fmt)
     df = _silver_pings(spark, d)
     lake.write(df, "silver", "gps", ["data_particao"])
     later = lake.read(spark, "silver", "gps").filter(F.col("data_particao") >= F.lit(REWRITE_FROM).cast("date"))
@@ -338,6 +338,7 @@ QUERIES: dict[str, Query] = {
     "streamed_bronze_gps": streamed_bronze_gps,
     "streamed_silver_pings": streamed_silver_pings,
     "partitioned_overwrite": partitioned_overwrite,
+    "partitioned_overwrite_orc": lambda spark, d: partitioned_overwrite(spark, d, "orc"),
     "observed_silver_counts": observed_silver_counts,
     "medallion_end_to_end": medallion_end_to_end,
     "layer_profiles": layer_profiles,

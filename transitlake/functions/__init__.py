@@ -1,6 +1,6 @@
 """Column-level building blocks (all built-in Spark expressions)."""
 
-from transitlake.functions.casts import lenient_double, lenient_int, lenient_long, portable_round
+from transitlake.functions.casts import lenient_double, lenient_int, lenient_long, portable_round, ratio_round
 from transitlake.functions.codes import map_codes, truthy_flag
 from transitlake.functions.text import after_first, blank_to_null, piece, split_fields
 from transitlake.functions.time import (
@@ -27,6 +27,7 @@ __all__ = [
     "parse_wallclock",
     "piece",
     "portable_round",
+    "ratio_round",
     "roll_past_midnight",
     "seconds_between",
     "split_fields",

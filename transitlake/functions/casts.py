@@ -59,13 +59,21 @@ def _try_cast(c: Column, type_name: str) -> Column:
 
 
 def portable_round(c, scale: int = 2) -> Column:
-    """HALF_UP rounding of a DOUBLE through DECIMAL(18, 6).
-
-    Rounding the binary double directly disagrees between engines at
-    ties such as 1.005; the decimal detour makes the result the same in
-    Spark and in an SQL oracle.  Precision 18 keeps Spark's compact,
-    long-backed decimal (a wider one is several times slower per row);
-    magnitudes of 10^12 and beyond, NaN and infinity give NULL instead of
-    raising.
+    """HALF_UP rounding of a DOUBLE's decimal value, in one step.
+
+    NaN and infinity stay as they are; nothing raises.
+    """
+    return F.round(as_col(c).cast("double"), scale)
+
+
+def ratio_round(numerator, denominator, scale: int = 2) -> Column:
+    """``numerator / denominator`` of two integers, rounded HALF_UP exactly.
+
+    Means of integers at a tie (such as 0.125) come out the same in any
+    engine, because no binary fraction is involved.  NULL if the denominator
+    is 0 or NULL.
     """
-    return F.round(as_col(c).try_cast("decimal(18,6)"), scale).cast("double")
+    n = as_col(numerator).cast("bigint") * F.lit(10**scale)
+    d = as_col(denominator).cast("bigint")
+    half_up = F.try_divide(2 * F.abs(n) + d - F.pmod(2 * F.abs(n) + d, F.nullif(2 * d, F.lit(0))), 2 * d)
+    return F.signum(n) * F.round(half_up) / F.lit(float(10**scale))

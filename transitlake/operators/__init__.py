@@ -2,7 +2,6 @@
 
 from transitlake.operators.contracts import Contract, ContractError, contract_report, require_columns
 from transitlake.operators.frames import (
-    bounded_broadcast,
     dedup_by_key,
     drop_columns,
     in_range,
@@ -25,7 +24,6 @@ __all__ = [
     "Contract",
     "ContractError",
     "RuleViolation",
-    "bounded_broadcast",
     "contract_report",
     "dedup_by_key",
     "drop_columns",

@@ -103,26 +103,3 @@ def stamp_ingestion(df: DataFrame, source_name: str | None = None) -> DataFrame:
     return df.withColumns(
         {"_ingestion_timestamp": F.current_timestamp(), "_source_file": source}
     )
-
-
-# Default ceiling for broadcasting a lookup table.  A route catalogue holds
-# thousands of rows (a few hundred bytes each); far beyond that, a shuffle
-# join is the safer plan.  200k narrow rows stay well under 100 MB.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the table is proven to hold <= ``max_rows``.
-
-    The proof is ``take(max_rows + 1)`` over a constant projection: Spark
-    evaluates it incrementally (one partition, then a growing number) and
-    stops as soon as ``max_rows + 1`` rows exist, so a huge table costs a
-    few partitions, not a scan; the projection lets a file scan read no
-    columns.  At most ``max_rows + 1`` one-field markers reach the driver.
-    Above the bound the DataFrame is returned unhinted and the planner
-    (with AQE) picks a shuffle join instead.
-    """
-    if max_rows <= 0:
-        return df
-    seen = len(df.select(F.lit(True).alias("_present")).take(max_rows + 1))
-    return F.broadcast(df) if seen <= max_rows else df

@@ -152,7 +152,8 @@ def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str,
         name, n = broken[0]
         raise RuleViolation(f"rule {name!r} failed on {n} rows; gold not published")
     staged = lake.read(spark, "gold", staging, schema=fact.schema).select(*GOLD_FACT.columns)
-    if broken and policy == "quarantine":
+    if policy == "quarantine":
+        # also without violations: rows of an earlier run must not stay behind
         staged_rules = gold_rules(staged)
         violating = None
         for pred in staged_rules.values():
@@ -201,9 +202,9 @@ def run_layer(
     layer: str,
     landing: LandingFiles | None = None,
     policy: str = "fail",
-    profile: bool = False,
+    profile: bool = True,
 ) -> dict[str, int]:
-    """Build one layer; with ``profile`` also profile its tables and log
+    """Build one layer; with ``profile`` (the default) also profile its tables and log
     NULL and duplicate findings (they never fail the run)."""
     if layer == "bronze":
         if landing is None:
@@ -221,7 +222,7 @@ def run_layer(
 
 
 def run_medallion(
-    spark: SparkSession, lake: Lake, landing: LandingFiles, policy: str = "fail", profile: bool = False
+    spark: SparkSession, lake: Lake, landing: LandingFiles, policy: str = "fail", profile: bool = True
 ) -> DataFrame:
     """All three layers in order; returns the published gold table."""
     for layer in ("bronze", "silver", "gold"):

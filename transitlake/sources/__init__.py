@@ -6,7 +6,6 @@ from transitlake.sources.lake import (
     read_delimited,
     read_lines,
     shared_root,
-    spread,
     write_delimited,
     write_lines,
 )
@@ -17,7 +16,6 @@ __all__ = [
     "read_delimited",
     "read_lines",
     "shared_root",
-    "spread",
     "write_delimited",
     "write_lines",
 ]

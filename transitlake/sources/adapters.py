@@ -19,7 +19,6 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from transitlake.sources.lake import spread
 
 # Trip days are spread over 2024-01-01 .. 2024-01-30 so they overlap the
 # GPS pings (``events.ts`` covers January 2024).
@@ -57,7 +56,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFram
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     if columns is not None:
         df = df.select(*columns)
-    return spread(df)
+    return df
 
 
 def _s(c: Column) -> Column:

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -38,9 +40,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     Falls back to the directory registered with ``setCheckpointDir``.  When
-    the session has neither (a local run), a fresh temporary folder is
-    created and registered as the checkpoint directory, as tests do; that
-    is the only case in which a machine-local folder is used.
+    a local session has neither, a fresh temporary folder is created and
+    registered as the checkpoint directory, as tests do.  A cluster session
+    without either is refused: its executors would write to their own disks.
     """
     getters = (
         lambda: spark.conf.get("spark.checkpoint.dir", None),
@@ -53,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             found = None
         if found:
             return found
+    master = spark.conf.get("spark.master", "")
+    if not re.match(r"local(\[|$)", master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="transitlake-ckpt-")
     try:
         spark.sparkContext.setCheckpointDir(local)
@@ -61,6 +66,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def _condition(error: AnalysisException) -> str:
+    """Name of Spark's error condition, without its sub-condition."""
+    return (error.getCondition() or "").split(".")[0]
+
+
 def shared_root(spark: SparkSession, name: str = "transitlake") -> str:
     """A fresh, unique directory under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name, uuid.uuid4().hex)
@@ -87,12 +97,18 @@ class Lake:
         return os.path.join(self.root, layer, table)
 
     def exists(self, spark: SparkSession, layer: str, table: str) -> bool:
-        """Whether the table has been written (asks Spark, not the local disk)."""
+        """Whether the table has been written (asks Spark, not the local disk).
+
+        Only a missing path means "no"; any other failure is raised, because a
+        caller that took it for "no table" would overwrite the stored rows.
+        """
         try:
             self.read(spark, layer, table).schema
             return True
-        except Exception:
-            return False
+        except AnalysisException as e:
+            if _condition(e) == "PATH_NOT_FOUND":
+                return False
+            raise
 
     def read(self, spark: SparkSession, layer: str, table: str, schema=None) -> DataFrame:
         """Read a table.
@@ -107,7 +123,9 @@ class Lake:
             return spark.read.format(fmt).schema(schema).load(path)
         try:
             return spark.read.format(fmt).load(path)
-        except Exception:
+        except AnalysisException as e:
+            if _condition(e) != "UNABLE_TO_INFER_SCHEMA":
+                raise
             stored = self._stored_schema(spark, path)
             if stored is None:
                 raise
@@ -120,7 +138,9 @@ class Lake:
     def _stored_schema(self, spark: SparkSession, path: str):
         try:
             row = spark.read.text(self._schema_path(path)).first()
-        except Exception:
+        except AnalysisException as e:
+            if _condition(e) != "PATH_NOT_FOUND":
+                raise
             return None
         return None if row is None else StructType.fromJson(json.loads(row[0]))
 
@@ -169,10 +189,10 @@ class Lake:
         writer = df.write.format(fmt).mode(mode).option("maxRecordsPerFile", max_records_per_file)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-            if fmt == "parquet":
-                mode_name = "dynamic" if replace == "partitions" else "static"
-                writer = writer.option("partitionOverwriteMode", mode_name)
-        if fmt == "delta":
+            # for every format: without it an overwrite drops the untouched partitions
+            writer = writer.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
+        if fmt == "delta" and not (partition_by and replace == "partitions"):
+            # a schema can only be replaced together with the whole table
             writer = writer.option("overwriteSchema", "true")
         out = self.path(layer, table)
         writer.save(out)
@@ -184,33 +204,6 @@ class Lake:
         return out
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that came out as fewer splits than there are cores.
-
-    A Parquet file written as one row group can only be read by one task,
-    however large it is; everything narrow downstream then runs on one
-    core.  Below ``min_partitions`` (default: the session's default
-    parallelism) the rows are redistributed; a normal multi-file input is
-    returned untouched, so at scale this costs nothing.
-
-    The redistribution is followed by an observed row count.  Besides
-    being a useful metric, the observation keeps Catalyst from pushing
-    later filters below the redistribution -- it may push filters through
-    a repartition, which would put the filtering work (often the heaviest
-    parsing) back into the single scan task.
-    """
-    spark = df.sparkSession
-    try:
-        target = min_partitions or spark.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: no RDD view, leave the plan alone
-        return df
-    if current >= target:
-        return df
-    name = f"spread_{uuid.uuid4().hex[:12]}"
-    return df.repartition(target).observe(name, F.count(F.lit(1)).alias("rows"))
-
-
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Line-oriented text scan: one ``value`` string per line."""
     return spark.read.text(path)
