@@ -132,7 +132,7 @@ class Coder:
 
 def coder_at(path: str, pattern: str) -> Coder:
     """The worker's coder for this vocabulary."""
-    state = worker_state()
+    state = worker_state("bpe")
     if ("bpe", path, pattern) not in state:
         state["bpe", path, pattern] = Coder(path, pattern)
     return state["bpe", path, pattern]

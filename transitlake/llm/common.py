@@ -23,14 +23,16 @@ def ship(module: str) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
-def worker_state() -> dict:
-    """A dictionary that lives as long as the Python worker process, across its tasks.
+def worker_state(owner: str) -> dict:
+    """A dictionary that outlives a task, until the Python worker process works for another ``owner``.
 
     For tokenizers and what they remember; functions sent by value have no
     module of their own on the executors, so it hangs on a module made here.
     """
     module = sys.modules.setdefault("llm_worker_state", types.ModuleType("llm_worker_state"))
-    return module.__dict__.setdefault("kept", {})
+    if module.__dict__.get("owner") != owner:
+        module.__dict__.update(owner=owner, kept={})
+    return module.__dict__["kept"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import SPACE_CLASS, fresh, settle, settle_table, ship, table, whole_text
+from transitlake.llm.common import SPACE_CLASS, fresh, settle, settle_table, ship, table, whole_text, worker_state
 
 ship(__name__)
 
@@ -110,6 +110,7 @@ def _weighted(doc: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    worker_state("near duplicates")
     salt = np.arange(BANDS, dtype=_U) * _U(0xA24BAED4963EE407)
     for pdf in batches:
         for start in range(0, len(pdf), 256):

@@ -113,7 +113,7 @@ class WordEncoder:
 
 def encoder_at(path: str) -> WordEncoder:
     """The worker's encoder for this file."""
-    state = worker_state()
+    state = worker_state("packing")
     if ("words", path) not in state:
         state["words", path] = WordEncoder(path)
     return state["words", path]

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table, whole_text
+from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table, whole_text, worker_state
 
 ship(__name__)
 
@@ -44,7 +44,7 @@ TREES, DEPTH = 20, 3
 THRESHOLD = 0.3
 #: Rows of the training sample at most (those of the least id hash): so many ids are broadcast.
 TRAIN_ROWS = 50_000
-FLUSH = 300_000
+FLUSH = 200_000
 
 # Words of the second person in English, German, French and Spanish.
 SECOND_PERSON = frozenset(
@@ -68,6 +68,7 @@ def beginnings(word: str) -> list[str]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with each lexicon candidate, by label, added up in the task first."""
+    worker_state("toxicity")  # lets go of what the worker held for other work
     by = (Counter(), Counter())
 
     def flush() -> pa.RecordBatch:
@@ -156,6 +157,7 @@ def dense_of(text: Column, lexicon: dict[str, float]) -> Column:
 
     @F.arrow_udf(ArrayType(DoubleType()))
     def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        worker_state("toxicity")
         memo: dict[str, float] = {}
 
         def weight(word: str) -> float:
