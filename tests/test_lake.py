@@ -57,8 +57,11 @@ def test_gold_not_published_on_violation(spark, sf_small):
 
 
 class _FakeConf:
+    def __init__(self, master):
+        self.master = master
+
     def get(self, key, default=None):
-        return default
+        return self.master if key == "spark.master" else default
 
 
 class _FakeContext:
@@ -73,8 +76,8 @@ class _FakeContext:
 
 
 class _FakeSession:
-    def __init__(self):
-        self.conf = _FakeConf()
+    def __init__(self, master="local[2]"):
+        self.conf = _FakeConf(master)
         self.sparkContext = _FakeContext()
 
 
@@ -85,6 +88,28 @@ def test_checkpoint_dir_fallback_registers_without_conf_set():
     assert checkpoint_dir(fake) == first
 
 
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "yarn", ""])
+def test_cluster_without_checkpoint_dir_is_refused(master):
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_FakeSession(master))
+
+
+def test_exists_only_hides_a_missing_path(spark, tmp_path):
+    lake = Lake(str(tmp_path))
+    assert not lake.exists(spark, "silver", "gps")
+    (tmp_path / "silver" / "gps").mkdir(parents=True)
+    (tmp_path / "silver" / "gps" / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        lake.exists(spark, "silver", "gps")
+
+
+def test_orc_partition_overwrite_keeps_other_days(spark, tmp_path):
+    lake = Lake(str(tmp_path), "orc")
+    lake.write(spark.createDataFrame([(1, "a"), (2, "b")], "v int, day string"), "silver", "t", ["day"])
+    lake.write(spark.createDataFrame([(9, "b")], "v int, day string"), "silver", "t", ["day"])
+    assert sorted((r.v, r.day) for r in lake.read(spark, "silver", "t").collect()) == [(1, "a"), (9, "b")]
+
+
 def test_whole_table_replace_drops_stale_partitions(spark):
     lake = Lake.on_shared_storage(spark)
     lake.write(spark.createDataFrame([(1, "a"), (2, "b")], "v int, day string"), "gold", "t", ["day"])

@@ -43,10 +43,10 @@ def test_trip_filter_and_pruning_reach_the_scan(spark, lake):
     assert "ReadSchema: struct<data_viagem:date,numero_linha:int,duracao_viagem_minutos:double,nome_consorcio:string,teve_falha_mecanica:boolean>" in plan
 
 
-def test_route_lookup_broadcast_and_aggregates_partial(spark, lake):
+def test_gold_aggregates_are_partial(spark, lake):
+    # no broadcast hint: AQE picks the joins from measured bytes when it runs
     plan = plan_of(gold(spark, lake))
-    assert "BroadcastHashJoin" in plan
-    assert plan.count("partial_count") >= 1 and "partial_avg" in plan
+    assert plan.count("partial_count") >= 1 and "partial_sum" in plan
 
 
 def test_silver_trips_is_narrow(spark, lake):
