@@ -30,7 +30,7 @@ def main(argv=None) -> None:
     ap.add_argument("--trips", help="trip-control CSV, ';' separated")
     ap.add_argument("--layers", default="bronze,silver,gold")
     ap.add_argument("--policy", default="fail", choices=["fail", "warn", "quarantine"])
-    ap.add_argument("--profile", action="store_true", help="log NULL/duplicate profiles per layer")
+    ap.add_argument("--profile", action=argparse.BooleanOptionalAction, default=True, help="log NULL/duplicate profiles per layer")
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO)
