@@ -96,24 +96,16 @@ class Coder:
         ranks = read_ranks(path)
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model_of(ranks))
         self.find = regex.compile(pattern).findall
-        # a byte sequence that is a token is that token (some cannot be reached by merges)
-        self.whole = {b: np.uint32(i).tobytes() for b, i in ranks.items()}
         self.bytes_of = [b""] * (len(ranks) + 1)
         for i in range(len(ranks)):
             self.bytes_of[i] = unmapped(self.processor.id_to_piece(i))
         self.known: dict[str, bytes] = {}
 
     def learn(self, tokens: list[str]) -> None:
-        rest = []
-        for t in tokens:
-            got = self.whole.get(t.encode("utf-8", "surrogatepass"))
-            if got is None:
-                rest.append(t)
-            else:
-                self.known[t] = got
-        if rest:
-            ids = self.processor.encode([mapped(t.encode("utf-8", "surrogatepass")) for t in rest], num_threads=1)
-            self.known.update((t, np.asarray(i, dtype="<u4").tobytes()) for t, i in zip(rest, ids, strict=True))
+        for start in range(0, len(tokens), 10_000):
+            part = tokens[start : start + 10_000]
+            ids = self.processor.encode([mapped(t.encode("utf-8", "surrogatepass")) for t in part], num_threads=1)
+            self.known.update((t, np.asarray(i, dtype="<u4").tobytes()) for t, i in zip(part, ids, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, as little-endian 32-bit integers."""
