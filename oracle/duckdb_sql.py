@@ -331,8 +331,23 @@ DEPENDS = {
 }
 
 
-def with_ctes(body: str, *needs: str) -> str:
-    """``WITH`` clause holding ``needs`` and everything they depend on."""
+# Trip records with faults for the quality rules, and with S/N flags.
+FLAWED_TRIPS = f"""
+SELECT * REPLACE (CASE WHEN "EVENTO INSEGURO" = '1' THEN 'X' || "SUBLINHA" ELSE "SUBLINHA" END AS "SUBLINHA",
+                  CASE WHEN "PC" = '4' THEN '801' ELSE "CONCESSIONARIA" END AS "CONCESSIONARIA")
+FROM ({CTES["trips_raw"]})
+"""
+# S/N flags are true for S alone (there is no integer 1 left in the data).
+SN_TRIPS = f"""
+SELECT * REPLACE (CASE "FALHA MECANICA" WHEN '1' THEN 'S' WHEN '0' THEN 'N' ELSE "FALHA MECANICA" END AS "FALHA MECANICA",
+                  CASE "EVENTO INSEGURO" WHEN '1' THEN 'S' WHEN '0' THEN 'N' ELSE "EVENTO INSEGURO" END AS "EVENTO INSEGURO")
+FROM ({CTES["trips_raw"]})
+"""
+
+
+def with_ctes(body: str, *needs: str, instead: dict[str, str] | None = None) -> str:
+    """``WITH`` clause holding ``needs`` and everything they depend on
+    (``instead``: other bodies for some of them)."""
     order: list[str] = []
 
     def visit(name: str) -> None:
@@ -343,7 +358,8 @@ def with_ctes(body: str, *needs: str) -> str:
 
     for n in needs:
         visit(n)
-    ctes = ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in order)
+    bodies = CTES | (instead or {})
+    ctes = ",\n".join(f"{n} AS ({bodies[n].strip()})" for n in order)
     return f"WITH {ctes}\n{body.strip()}"
 
 
@@ -455,16 +471,22 @@ SQL: dict[str, str] = {
         FROM (SELECT data_referencia, numero_linha, count(*) AS n FROM daily_performance GROUP BY ALL)
         """,
         "daily_performance",
+        instead={"trips_raw": FLAWED_TRIPS},
     ),
     "gold_rule_report": with_ctes(
         """
-        SELECT 'data_referencia_null' AS rule, CAST(count(*) FILTER (WHERE data_referencia IS NULL) AS BIGINT) AS violations FROM daily_performance
-        UNION ALL SELECT 'numero_linha_null', CAST(count(*) FILTER (WHERE numero_linha IS NULL) AS BIGINT) FROM daily_performance
+        , prepared AS (
+          SELECT * REPLACE (CASE WHEN numero_linha % 5 = 0 THEN -qtd_falhas_mecanicas ELSE qtd_falhas_mecanicas END AS qtd_falhas_mecanicas,
+                            CASE WHEN numero_linha % 7 = 3 THEN NULL ELSE data_referencia END AS data_referencia)
+          FROM daily_performance)
+        SELECT 'data_referencia_null' AS rule, CAST(count(*) FILTER (WHERE data_referencia IS NULL) AS BIGINT) AS violations FROM prepared
+        UNION ALL SELECT 'numero_linha_null', CAST(count(*) FILTER (WHERE numero_linha IS NULL) AS BIGINT) FROM prepared
         UNION ALL SELECT 'negative_metric', CAST(count(*) FILTER (WHERE qtd_viagens_realizadas < 0 OR qtd_falhas_mecanicas < 0
             OR duracao_media_viagem_min < 0 OR vel_media_gps < 0 OR vel_maxima_gps < 0 OR distancia_total_gps_metros < 0) AS BIGINT)
-          FROM daily_performance
+          FROM prepared
         """,
         "daily_performance",
+        instead={"trips_raw": FLAWED_TRIPS},
     ),
     "contract_checks": with_ctes(
         "\nUNION ALL ".join(
@@ -523,11 +545,11 @@ SQL: dict[str, str] = {
 }
 
 
-def _layer_profile(table: str, source: str, columns: list[str]) -> str:
+def _layer_profile(table: str, source: str, columns: list[str], layer: str = "silver") -> str:
     nulls = _unpivot_counts(source, columns, 'count(*) - count("{c}")', "column_name", "null_count")
     return (
-        f"SELECT 'silver' AS layer, '{table}' AS table_name, 'null_count' AS metric, column_name, null_count AS value "
-        f"FROM ({nulls})\nUNION ALL SELECT 'silver', '{table}', 'duplicate_rows', NULL, "
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, 'null_count' AS metric, column_name, null_count AS value "
+        f"FROM ({nulls})\nUNION ALL SELECT '{layer}', '{table}', 'duplicate_rows', NULL, "
         f"CAST((SELECT count(*) FROM {source}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {source})) AS BIGINT)"
     )
 
@@ -544,3 +566,44 @@ SQL["layer_profiles"] = with_ctes(
     ),
     "silver_pings", "silver_trips", "silver_routes",
 )
+
+_TRIP_HEADERS = [
+    " VIAGEM", "LINHA", "SUBLINHA", "PC", "CONCESSIONARIA", "SAIDA", "CHEGADA", "CATRACA SAIDA", "CATRACA CHEGADA",
+    "OCORRENCIA", "JUSTIFICATIVA", "EXTENSAO", "FALHA MECANICA", "EVENTO INSEGURO", "DATA FECHAMENTO",
+]
+
+
+def _stored(source: str, columns: list[str], label: str) -> str:
+    """A bronze table: blanks read back as NULL, one ingestion time, one source label."""
+    blanks = ", ".join(f"NULLIF(\"{c}\", '') AS \"{c}\"" for c in columns)
+    return f"(SELECT {blanks}, now() AS _ingestion_timestamp, '{label}' AS _source_file FROM {source})"
+
+
+_STAMP = ["_ingestion_timestamp", "_source_file"]
+SQL["bronze_layer_profiles"] = with_ctes(
+    "\nUNION ALL ".join(
+        _layer_profile(label, _stored(source, columns, label), [*columns, *_STAMP], "bronze")
+        for label, source, columns in (
+            ("gps", "gps_raw", ["value"]),
+            ("linhas", "routes_raw", ["NumeroLinha", "Linha", "Nome"]),
+            ("mco", "trips_raw", _TRIP_HEADERS),
+        )
+    ),
+    "gps_raw", "routes_raw", "trips_raw",
+)
+SQL["gold_layer_profile"] = with_ctes(
+    _layer_profile("fato_performance_diaria", "daily_performance", GOLD_COLUMNS, "gold"), "daily_performance"
+)
+SQL["silver_trips_sn_flags"] = with_ctes(
+    "SELECT "
+    + ", ".join(
+        {
+            "teve_falha_mecanica": "coalesce(falha_mecanica = 'S', false) AS teve_falha_mecanica",
+            "teve_evento_inseguro": "coalesce(evento_inseguro = 'S', false) AS teve_evento_inseguro",
+        }.get(c, c)
+        for c in SILVER_TRIP_COLUMNS
+    )
+    + " FROM trips_labelled",
+    "trips_labelled",
+    instead={"trips_raw": SN_TRIPS},
+)

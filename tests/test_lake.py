@@ -237,3 +237,24 @@ def test_command_line_layer_subset_and_options(spark, sf_small, capsys, caplog):
     out = [json_layer(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert out == ["bronze", "silver", "gold"]
     assert "gold.fato_performance_diaria" in caplog.text  # profile messages were logged
+
+
+def test_silver_run_with_options_and_a_substitute_sink(spark, sf_small):
+    """The builders' options and another sink reach the layer run; unknown tables are refused."""
+    lake = Lake.on_shared_storage(spark)
+    lake.write(adapters.sn_trips_raw(spark, sf_small), "bronze", "mco")
+    seen = []
+
+    def sink(df, layer, table, partition_by=(), observation=None, metrics=(), **_):
+        df = df.observe(observation, *metrics)
+        seen.append((layer, table, tuple(partition_by), df.filter("teve_falha_mecanica").count()))
+
+    options = {"mco": {"flag_labels": ("S",)}}
+    rows = layers.run_silver(spark, lake, tables=["mco"], options=options, sink=sink)
+    assert seen[0][:3] == ("silver", "mco", ("ano", "mes")) and seen[0][3] > 0
+    assert rows["mco"] == lake.read(spark, "bronze", "mco").count()
+    assert not lake.exists(spark, "silver", "mco")
+    layers.run_silver(spark, lake, tables=["mco"])
+    assert lake.read(spark, "silver", "mco").filter("teve_falha_mecanica").count() == 0
+    with pytest.raises(ValueError, match="unknown silver tables"):
+        layers.run_silver(spark, lake, options={"buses": {}})

@@ -18,6 +18,7 @@ import logging
 from pyspark.sql import SparkSession
 
 from transitlake.plans import layers
+from transitlake.plans.daily import GPS_MATCHES
 from transitlake.sources.lake import Lake
 
 
@@ -31,6 +32,10 @@ def main(argv=None) -> None:
     ap.add_argument("--layers", default="bronze,silver,gold")
     ap.add_argument("--policy", default="fail", choices=["fail", "warn", "quarantine"])
     ap.add_argument("--profile", action=argparse.BooleanOptionalAction, default=True, help="log NULL/duplicate profiles per layer")
+    ap.add_argument("--flag-labels", default="", help="further texts that mean true in trip flags, comma separated (e.g. S)")
+    ap.add_argument("--strip-accents", action="store_true", help="drop accents from trip header names")
+    ap.add_argument("--strip-quotes", action="store_true", help="drop double quotes around GPS dump lines")
+    ap.add_argument("--gps-match", default="public_code", choices=sorted(GPS_MATCHES), help="trip key that GPS line codes match")
     args = ap.parse_args(argv)
 
     logging.basicConfig(level=logging.INFO)
@@ -39,8 +44,15 @@ def main(argv=None) -> None:
     landing = None
     if args.gps and args.routes and args.trips:
         landing = layers.LandingFiles(pings=args.gps, routes=args.routes, trips=args.trips)
+    silver_options = {
+        "gps": {"strip_quotes": args.strip_quotes},
+        "mco": {"flag_labels": [x for x in args.flag_labels.split(",") if x], "strip_accents": args.strip_accents},
+    }
     for layer in [x.strip() for x in args.layers.split(",") if x.strip()]:
-        counts = layers.run_layer(spark, lake, layer, landing, args.policy, args.profile)
+        counts = layers.run_layer(
+            spark, lake, layer, landing, args.policy, args.profile,
+            silver_options=silver_options, gold_options={"gps_match": args.gps_match},
+        )
         print(json.dumps({"layer": layer, "rows": counts}))
 
 

@@ -105,6 +105,14 @@ def silver_trips(spark, d):
     return _silver_trips(spark, d)
 
 
+def silver_trips_sn_flags(spark, d):
+    """Trips with S/N flags through the silver layer run, with that coding as an option."""
+    lake = Lake.on_shared_storage(spark)
+    lake.write(adapters.sn_trips_raw(spark, d), "bronze", "mco")
+    layers.run_silver(spark, lake, tables=["mco"], options={"mco": {"flag_labels": ("S",)}})
+    return lake.read(spark, "silver", "mco")
+
+
 # -- routes ----------------------------------------------------------------
 
 def route_codes(spark, d):
@@ -154,12 +162,25 @@ def gps_duplicate_profile(spark, d):
     return duplicate_profile(adapters.gps_raw(spark, d))
 
 
+def _flawed_daily(spark, d):
+    """The fact over trips with malformed line ids and lines of two consortia."""
+    flawed = trips.silver_trips(adapters.flawed_trips_raw(spark, d))
+    return daily.daily_performance(_silver_pings(spark, d), _silver_routes(spark, d), flawed)
+
+
 def fact_key_duplicates(spark, d):
-    return duplicate_profile(_daily(spark, d), keys=["data_referencia", "numero_linha"])
+    return duplicate_profile(_flawed_daily(spark, d), keys=["data_referencia", "numero_linha"])
 
 
 def gold_rule_report(spark, d):
-    fact = _daily(spark, d)
+    """Rules counted on a fact with NULL lines, and (set here) NULL days and negative counts."""
+    line = F.col("numero_linha")
+    fact = _flawed_daily(spark, d).withColumns(
+        {
+            "qtd_falhas_mecanicas": F.when(line % 5 == 0, -F.col("qtd_falhas_mecanicas")).otherwise(F.col("qtd_falhas_mecanicas")),
+            "data_referencia": F.when(line % 7 == 3, F.lit(None)).otherwise(F.col("data_referencia")),
+        }
+    )
     return rule_report(fact, daily.gold_rules(fact))
 
 
@@ -308,6 +329,20 @@ def layer_profiles(spark, d):
     return layers.profile_layer(spark, lake, "silver")
 
 
+def bronze_layer_profiles(spark, d):
+    """Null/duplicate profile of every bronze table."""
+    lake, landing = _landing(spark, d)
+    layers.run_bronze(spark, lake, landing)
+    return layers.profile_layer(spark, lake, "bronze")
+
+
+def gold_layer_profile(spark, d):
+    """Null/duplicate profile of the published gold table after all layer runs."""
+    lake, landing = _landing(spark, d)
+    layers.run_medallion(spark, lake, landing, profile=False)
+    return layers.profile_layer(spark, lake, "gold")
+
+
 QUERIES: dict[str, Query] = {
     "ping_lines_parsed": ping_lines_parsed,
     "pings_typed": pings_typed,
@@ -318,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "trips_span": trips_span,
     "trips_labels": trips_labels,
     "silver_trips": silver_trips,
+    "silver_trips_sn_flags": silver_trips_sn_flags,
     "route_codes": route_codes,
     "route_itinerary": route_itinerary,
     "silver_routes": silver_routes,
@@ -342,4 +378,6 @@ QUERIES: dict[str, Query] = {
     "observed_silver_counts": observed_silver_counts,
     "medallion_end_to_end": medallion_end_to_end,
     "layer_profiles": layer_profiles,
+    "bronze_layer_profiles": bronze_layer_profiles,
+    "gold_layer_profile": gold_layer_profile,
 }

@@ -74,11 +74,11 @@ def bronze_frames(spark: SparkSession, landing: LandingFiles) -> dict[str, DataF
     }
 
 
-def _observed_write(lake: Lake, df: DataFrame, layer: str, table: str, partition_by=()) -> int:
+def _observed_write(lake: Lake, df: DataFrame, layer: str, table: str, partition_by=(), sink=None) -> int:
     # Layer runs rebuild each table from the whole layer below, so the
     # table is replaced as a whole (no stale partitions survive).
     obs = Observation(f"{layer}.{table}.{uuid.uuid4().hex[:8]}")
-    lake.write(
+    (sink or lake.write)(
         df, layer, table, partition_by, replace="table",
         observation=obs, metrics=[F.count(F.lit(1)).alias("rows")],
     )
@@ -109,25 +109,40 @@ def run_bronze(spark: SparkSession, lake: Lake, landing: LandingFiles, parallel:
     return _run_tables({t: job(t, df) for t, df in bronze_frames(spark, landing).items()}, parallel)
 
 
-def run_silver(spark: SparkSession, lake: Lake, parallel: bool = True) -> dict[str, int]:
-    """Bronze -> silver for the three tables; returns rows written."""
+def run_silver(
+    spark: SparkSession, lake: Lake, parallel: bool = True, tables=None, options: dict | None = None, sink=None
+) -> dict[str, int]:
+    """Bronze -> silver for the three tables (or those named); returns rows written.
+
+    ``options`` maps a table to keyword arguments of its builder, such as
+    ``{"mco": {"flag_labels": ("S",)}, "gps": {"strip_quotes": True}}``.
+    ``sink`` takes the place of ``lake.write`` (same arguments; it must run an
+    action on the rows, which carry the observed count).
+    """
+    options = options or {}
+    wanted = list(SILVER_TABLES) if tables is None else list(tables)
+    unknown = [t for t in (*wanted, *options) if t not in SILVER_TABLES]
+    if unknown:
+        raise ValueError(f"unknown silver tables {unknown}")
 
     def job(table, build, contract):
         def write():
-            df = build(lake.read(spark, "bronze", table))
-            return _observed_write(lake, df, "silver", table, contract.partition_by)
+            df = build(lake.read(spark, "bronze", table), **options.get(table, {}))
+            return _observed_write(lake, df, "silver", table, contract.partition_by, sink)
 
         return write
 
-    return _run_tables({t: job(t, b, c) for t, (b, c) in SILVER_TABLES.items()}, parallel)
+    return _run_tables({t: job(t, *SILVER_TABLES[t]) for t in wanted}, parallel)
 
 
 QUARANTINE_TABLE = f"_quarantine_{GOLD_TABLE}"
 
 
-def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str, int]:
+def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail", **options) -> dict[str, int]:
     """Silver -> gold fact table, validated before it is published.
 
+    ``options`` go to :func:`daily_performance` (``line_key``, ``gps_match``).
+
     The rule counts (NULL day, NULL line, negative metric) are observed on
     the one heavy write into a staging table.  Policies on a violation:
     ``"fail"`` raises and publishes nothing; ``"warn"`` publishes all rows;
@@ -140,6 +155,7 @@ def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail") -> dict[str,
         lake.read(spark, "silver", "gps"),
         lake.read(spark, "silver", "linhas"),
         lake.read(spark, "silver", "mco"),
+        **options,
     )
     rules = gold_rules(fact)
     obs = Observation(f"gold.{uuid.uuid4().hex[:8]}")
@@ -203,17 +219,20 @@ def run_layer(
     landing: LandingFiles | None = None,
     policy: str = "fail",
     profile: bool = True,
+    silver_options: dict | None = None,
+    gold_options: dict | None = None,
 ) -> dict[str, int]:
     """Build one layer; with ``profile`` (the default) also profile its tables and log
-    NULL and duplicate findings (they never fail the run)."""
+    NULL and duplicate findings (they never fail the run).  The options are those
+    of :func:`run_silver` and :func:`run_gold`."""
     if layer == "bronze":
         if landing is None:
             raise ValueError("the bronze layer needs landing files")
         out = run_bronze(spark, lake, landing)
     elif layer == "silver":
-        out = run_silver(spark, lake)
+        out = run_silver(spark, lake, options=silver_options)
     elif layer == "gold":
-        out = run_gold(spark, lake, policy)
+        out = run_gold(spark, lake, policy, **(gold_options or {}))
     else:
         raise ValueError(f"unknown layer {layer!r}")
     if profile:
@@ -222,11 +241,11 @@ def run_layer(
 
 
 def run_medallion(
-    spark: SparkSession, lake: Lake, landing: LandingFiles, policy: str = "fail", profile: bool = True
+    spark: SparkSession, lake: Lake, landing: LandingFiles, policy: str = "fail", profile: bool = True, **options
 ) -> DataFrame:
     """All three layers in order; returns the published gold table."""
     for layer in ("bronze", "silver", "gold"):
-        run_layer(spark, lake, layer, landing, policy, profile)
+        run_layer(spark, lake, layer, landing, policy, profile, **options)
     return lake.read(spark, "gold", GOLD_TABLE)
 
 

@@ -178,3 +178,23 @@ def trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
     }
     return li.select(*[expr.alias(TRIP_HEADERS[name]) for name, expr in cols.items()])
+
+
+def flawed_trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip records with faults for the quality rules to find: trips with an unsafe
+    event have a malformed line id, and those of type 4 are run by consortium 801
+    whatever their line (so a line has two consortia on a day)."""
+    return trips_raw(spark, sf_dir).withColumns(
+        {
+            "SUBLINHA": F.when(F.col("EVENTO INSEGURO") == "1", F.concat(F.lit("X"), "SUBLINHA")).otherwise(F.col("SUBLINHA")),
+            "CONCESSIONARIA": F.when(F.col("PC") == "4", F.lit("801")).otherwise(F.col("CONCESSIONARIA")),
+        }
+    )
+
+
+def sn_trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip records with the published S/N coding of the two flags."""
+    flags = ("FALHA MECANICA", "EVENTO INSEGURO")
+    return trips_raw(spark, sf_dir).withColumns(
+        {c: F.when(F.col(c) == "1", F.lit("S")).when(F.col(c) == "0", F.lit("N")).otherwise(F.col(c)) for c in flags}
+    )
