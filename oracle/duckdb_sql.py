@@ -510,6 +510,9 @@ SQL: dict[str, str] = {
     ),
     "bronze_gps_roundtrip": with_ctes("SELECT value, 'gps' AS _source_file FROM gps_raw", "gps_raw"),
     "streamed_bronze_gps": with_ctes("SELECT value, 'gps' AS _source_file FROM gps_raw", "gps_raw"),
+    "mixed_bronze_gps": with_ctes(
+        "SELECT value, 'batch' AS _source_file FROM gps_raw UNION ALL SELECT value, 'stream' FROM gps_raw", "gps_raw"
+    ),
     "bronze_routes_roundtrip": with_ctes(
         """SELECT NULLIF("NumeroLinha", '') AS "NumeroLinha", NULLIF("Linha", '') AS "Linha",
                   NULLIF("Nome", '') AS "Nome", 'linhas' AS _source_file FROM routes_raw""",

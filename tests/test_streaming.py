@@ -1,6 +1,8 @@
 """Incremental silver pings: batches merged into touched days only, with the
 same survivor as the batch build, and replays changing nothing."""
 
+import pytest
+
 from transitlake.plans import pings
 from transitlake.sources.lake import Lake
 from transitlake.streaming import merge_ping_batch
@@ -63,3 +65,27 @@ def test_merge_reads_only_touched_days(spark):
     assert partition_filters and "2024-01-03" in partition_filters[0]
     merge_ping_batch(spark, lake, lines(spark, [ping(1, 5, "20240103101010")]))
     assert (1, "2024-01-03T10:10:10", 5) in table(lake, spark) and len(table(lake, spark)) == 10
+
+
+def test_crash_in_the_publishing_write_loses_nothing(spark, monkeypatch):
+    """The overwrite dies after it dropped a touched day: the next batch publishes the staged merge first."""
+    lake = Lake.on_shared_storage(spark)
+    merge_ping_batch(spark, lake, lines(spark, [ping(k, 30, f"2024010{k}101010") for k in (1, 2, 3)]))
+    write = Lake.write
+
+    def dies(self, df, layer, name, *args, **kwargs):
+        if name == "gps":
+            left = self.read(spark, "silver", "gps").filter("data_particao <> DATE'2024-01-02'")
+            kept = spark.createDataFrame(left.collect(), left.schema)
+            write(self, kept, "silver", "gps", ["data_particao"], replace="table")
+            raise RuntimeError("executor lost")
+        return write(self, df, layer, name, *args, **kwargs)
+
+    second = lines(spark, [ping(7, 40, "20240102101010")])
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "write", dies)
+        with pytest.raises(RuntimeError, match="executor lost"):
+            merge_ping_batch(spark, lake, second)
+    assert len(table(lake, spark)) == 2
+    merge_ping_batch(spark, lake, second)
+    assert [r[0] for r in table(lake, spark)] == [1, 2, 3, 7]

@@ -28,7 +28,7 @@ from transitlake.operators import (
 from transitlake.operators.contracts import Contract
 from transitlake.plans import daily, layers, pings, routes, trips
 from transitlake.sources import adapters
-from transitlake.sources.lake import Lake
+from transitlake.sources.lake import STREAMED_GPS, Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,7 +261,23 @@ def streamed_bronze_gps(spark, d):
     landing = write_lines(adapters.gps_raw(spark, d), lake.path("landing", "gps"))
     ingest_gps_incrementally(spark, landing, lake, max_files_per_trigger=4)
     ingest_gps_incrementally(spark, landing, lake, max_files_per_trigger=4)
-    return lake.read(spark, "bronze", "gps").select("value", "_source_file")
+    return lake.read(spark, "bronze", STREAMED_GPS).select("value", "_source_file")
+
+
+def mixed_bronze_gps(spark, d):
+    """The same dump loaded by batch, then by the stream, then by batch again; all
+    bronze GPS lines read back (each line once from either writer)."""
+    from transitlake.sources.lake import read_lines, write_lines
+    from transitlake.streaming import ingest_gps_incrementally
+
+    lake = Lake.on_shared_storage(spark)
+    landing = write_lines(adapters.gps_raw(spark, d), lake.path("landing", "gps"))
+    raw = stamp_ingestion(read_lines(spark, landing), "batch")
+    lake.write(raw, "bronze", "gps")
+    ingest_gps_incrementally(spark, landing, lake, source_label="stream")
+    lake.write(raw, "bronze", "gps")
+    ingest_gps_incrementally(spark, landing, lake, source_label="stream")
+    return lake.read_gps(spark).select("value", "_source_file")
 
 
 def streamed_silver_pings(spark, d):
@@ -372,6 +388,7 @@ QUERIES: dict[str, Query] = {
     "bronze_routes_roundtrip": bronze_routes_roundtrip,
     "bronze_trips_roundtrip": bronze_trips_roundtrip,
     "streamed_bronze_gps": streamed_bronze_gps,
+    "mixed_bronze_gps": mixed_bronze_gps,
     "streamed_silver_pings": streamed_silver_pings,
     "partitioned_overwrite": partitioned_overwrite,
     "partitioned_overwrite_orc": lambda spark, d: partitioned_overwrite(spark, d, "orc"),

@@ -127,7 +127,8 @@ def run_silver(
 
     def job(table, build, contract):
         def write():
-            df = build(lake.read(spark, "bronze", table), **options.get(table, {}))
+            bronze = lake.read_gps(spark) if table == "gps" else lake.read(spark, "bronze", table)
+            df = build(bronze, **options.get(table, {}))
             return _observed_write(lake, df, "silver", table, contract.partition_by, sink)
 
         return write

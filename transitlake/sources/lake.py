@@ -24,6 +24,10 @@ from pyspark.sql.types import StructType
 
 LAYERS = ("bronze", "silver", "gold")
 
+# Bronze table of the GPS stream.  Its file sink keeps a log of its own that
+# hides other writers' files, so batch loads go to another table ("gps").
+STREAMED_GPS = "gps_stream"
+
 # Hidden (underscore) sub-directory holding a partitioned table's schema.
 SCHEMA_SIDECAR = "_schema"
 
@@ -131,6 +135,14 @@ class Lake:
                 raise
             return spark.read.format(fmt).schema(stored).load(path)
 
+    def read_gps(self, spark: SparkSession) -> DataFrame:
+        """Bronze GPS lines of the batch loads and of the stream, whichever are there."""
+        parts = [t for t in ("gps", STREAMED_GPS) if self.exists(spark, "bronze", t)] or ["gps"]
+        out = self.read(spark, "bronze", parts[0])
+        for t in parts[1:]:
+            out = out.unionByName(self.read(spark, "bronze", t))
+        return out
+
     @staticmethod
     def _schema_path(path: str) -> str:
         return os.path.join(path, SCHEMA_SIDECAR)

@@ -4,7 +4,8 @@ The GPS source is a feed that keeps producing dump files; re-reading the
 whole landing folder on every run does not scale.  This runs the same
 bronze step (text lines + ingestion stamp) as a Structured Streaming query
 over the landing folder: each run picks up only files it has not seen
-(tracked in the checkpoint), appends them to ``bronze/gps`` and stops
+(tracked in the checkpoint), appends them to ``bronze/gps_stream`` (apart from
+batch loads; ``Lake.read_gps`` reads both) and stops
 (``availableNow``).  The file sink commits through its own metadata log,
 so a run that dies half-way is redone from the checkpoint without
 duplicating rows.
@@ -18,7 +19,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from transitlake.operators import stamp_ingestion
-from transitlake.sources.lake import Lake
+from transitlake.sources.lake import STREAMED_GPS, Lake
 
 TEXT_SCHEMA = "value string"
 
@@ -28,7 +29,7 @@ def start_gps_bronze_stream(
     landing_dir: str,
     lake: Lake,
     source_label: str = "gps",
-    table: str = "gps",
+    table: str = STREAMED_GPS,
     max_files_per_trigger: int = 1000,
 ) -> StreamingQuery:
     """Start an ``availableNow`` stream from ``landing_dir`` into bronze."""

@@ -15,29 +15,61 @@ existing table instead:
 The survivor rule is a ``min`` over the non-key columns, which is
 associative, commutative and idempotent, so the table after any sequence
 of batches equals the batch build over all lines, and a batch that is
-replayed after a failure changes nothing.
+replayed after a failure changes nothing.  The overwrite of step 3 is not
+atomic, so the merged days are staged first and marked as pending until they
+are published; after a crash the next batch publishes them again before it
+reads silver.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from transitlake.operators import dedup_by_key, project
 from transitlake.plans.pings import PING_KEY, SILVER_PINGS, silver_pings
-from transitlake.sources.lake import Lake
+from transitlake.sources.lake import STREAMED_GPS, Lake
 
 BRONZE_GPS_SCHEMA = "value string, _ingestion_timestamp timestamp, _source_file string"
 
 
+PENDING_SCHEMA = "pending boolean"
+
+
+def _mark(spark: SparkSession, lake: Lake, table: str, pending: bool) -> None:
+    marker = spark.createDataFrame([(pending,)], PENDING_SCHEMA)
+    lake.write(marker, "silver", f"_pending_{table}", replace="table")
+
+
+def _is_pending(spark: SparkSession, lake: Lake, table: str) -> bool:
+    """Whether a staged merge may not have been published (no marker, or one cut short: no)."""
+    try:
+        marker = lake.read(spark, "silver", f"_pending_{table}", schema=PENDING_SCHEMA)
+    except AnalysisException as e:
+        if not (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            raise
+        return False
+    return marker.filter("pending").count() > 0
+
+
+def _publish(spark: SparkSession, lake: Lake, table: str, schema) -> None:
+    """Replace the staged days in ``silver/<table>``, then lift the mark."""
+    staged = project(lake.read(spark, "silver", f"_merged_{table}", schema=schema), SILVER_PINGS.columns)
+    lake.write(staged, "silver", table, SILVER_PINGS.partition_by, replace="partitions")
+    _mark(spark, lake, table, False)
+
+
 def merge_ping_batch(spark: SparkSession, lake: Lake, batch: DataFrame, table: str = "gps") -> None:
     """Fold one batch of bronze GPS lines into ``silver/<table>``."""
     day = SILVER_PINGS.partition_by[0]
     incoming_name, merged_name = f"_incoming_{table}", f"_merged_{table}"
     built = silver_pings(batch)
+    if _is_pending(spark, lake, table):
+        _publish(spark, lake, table, built.schema)
     lake.write(built, "silver", incoming_name, replace="table")
     incoming = lake.read(spark, "silver", incoming_name, schema=built.schema)
     if lake.exists(spark, "silver", table):
@@ -54,18 +86,18 @@ def merge_ping_batch(spark: SparkSession, lake: Lake, batch: DataFrame, table: s
     # Stage the merge: it reads the partitions it is about to replace.
     merged = project(merged, SILVER_PINGS.columns)
     lake.write(merged, "silver", merged_name, SILVER_PINGS.partition_by, replace="table")
-    staged = project(lake.read(spark, "silver", merged_name, schema=merged.schema), SILVER_PINGS.columns)
-    lake.write(staged, "silver", table, SILVER_PINGS.partition_by, replace="partitions")
+    _mark(spark, lake, table, True)
+    _publish(spark, lake, table, merged.schema)
 
 
 def start_silver_ping_stream(
-    spark: SparkSession, lake: Lake, table: str = "gps", max_files_per_trigger: int = 1000
+    spark: SparkSession, lake: Lake, table: str = "gps", max_files_per_trigger: int = 1000, source_table: str = STREAMED_GPS
 ) -> StreamingQuery:
-    """``availableNow`` stream from ``bronze/<table>`` into ``silver/<table>``."""
+    """``availableNow`` stream from ``bronze/<source_table>`` into ``silver/<table>``."""
     source = (
         spark.readStream.schema(BRONZE_GPS_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .parquet(lake.path("bronze", table))
+        .parquet(lake.path("bronze", source_table))
     )
     return (
         source.writeStream.foreachBatch(lambda df, _batch_id: merge_ping_batch(spark, lake, df, table))
