@@ -495,11 +495,14 @@ SQL: dict[str, str] = {
                 _contract_rows("bronze.gps", "parsed", "gps_fields", GPS_FIELDS),
                 _contract_rows("bronze.mco", "input", "trips_named", TRIP_INPUT_COLUMNS),
                 _contract_rows("bronze.linhas", "input", "routes_raw", ["NumeroLinha", "Linha", "Nome"]),
+                _contract_rows("bronze.linhas", "lacking", "routes_raw", ["NumeroLinha", "Linha"]),
+                "SELECT 'bronze.linhas', 'lacking', 'Nome', false, CAST(NULL AS BIGINT)",
                 _contract_rows("silver.mco", "final", "silver_trips", SILVER_TRIP_REQUIRED),
+                _contract_rows("silver.linhas", "final", "silver_routes", SILVER_ROUTE_COLUMNS),
                 _contract_rows("gold.fato_performance_diaria", "gold", "daily_performance", GOLD_COLUMNS),
             ]
         ),
-        "gps_fields", "trips_named", "routes_raw", "silver_trips", "daily_performance",
+        "gps_fields", "trips_named", "routes_raw", "silver_trips", "silver_routes", "daily_performance",
     ),
     "routes_table_profile": with_ctes(
         "SELECT 'silver' AS layer, 'linhas' AS table_name, 'null_count' AS metric, column_name, null_count AS value FROM ("

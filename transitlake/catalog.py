@@ -185,21 +185,26 @@ def gold_rule_report(spark, d):
 
 
 def contract_checks(spark, d):
-    # Each raw input is built once and shared by the reports that need it,
-    # so its (spread) scan is reused instead of recomputed per report.
-    gps_raw = adapters.gps_raw(spark, d)
-    trips_raw = adapters.trips_raw(spark, d)
-    routes_raw = adapters.routes_raw(spark, d)
-    parsed = pings.parse_ping_lines(pings.drop_header_lines(gps_raw))
-    silver_t = trips.silver_trips(trips_raw)
-    fact = daily.daily_performance(pings.silver_pings(gps_raw), routes.silver_routes(routes_raw), silver_t)
+    """Contracts of every layer's tables, each stored once and then counted in one
+    aggregate, and of a route catalogue that lacks a column."""
+    lake = Lake.on_shared_storage(spark)
+    raw = {"gps": adapters.gps_raw(spark, d), "linhas": adapters.routes_raw(spark, d), "mco": adapters.trips_raw(spark, d)}
+    for table, df in raw.items():
+        lake.write(df, "bronze", table)
+    layers.run_silver(spark, lake)
+    layers.run_gold(spark, lake)
+    bronze = {table: lake.read(spark, "bronze", table) for table in raw}
+    parsed = pings.parse_ping_lines(pings.drop_header_lines(bronze["gps"]))
+    lacking = Contract(routes.RAW_ROUTES.table, "lacking", routes.RAW_ROUTES.columns)
     reports = [
-        contract_report(gps_raw, Contract("bronze.gps", "input", ["value"])),
+        contract_report(bronze["gps"], Contract("bronze.gps", "input", ["value"])),
         contract_report(parsed, Contract("bronze.gps", "parsed", pings.GPS_FIELDS)),
-        contract_report(normalize_names(trips_raw), trips.RAW_TRIPS),
-        contract_report(routes_raw, routes.RAW_ROUTES),
-        contract_report(silver_t, trips.SILVER_TRIPS),
-        contract_report(fact, daily.GOLD_FACT),
+        contract_report(normalize_names(bronze["mco"]), trips.RAW_TRIPS),
+        contract_report(bronze["linhas"], routes.RAW_ROUTES),
+        contract_report(bronze["linhas"].drop("Nome"), lacking),
+        contract_report(lake.read(spark, "silver", "mco"), trips.SILVER_TRIPS),
+        contract_report(lake.read(spark, "silver", "linhas"), routes.SILVER_ROUTES),
+        contract_report(lake.read(spark, "gold", layers.GOLD_TABLE), daily.GOLD_FACT),
     ]
     out = reports[0]
     for r in reports[1:]:

@@ -58,34 +58,20 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     Presence comes from the schema; the non-NULL counts of all present
     columns come from one aggregate pass over the data.
     """
-    present = [c for c in contract.columns if c in set(df.columns)]
-    spark = df.sparkSession
-    if present:
-        counts = df.agg(
-            *[F.count(quoted(c)).alias(f"c{i}") for i, c in enumerate(present)]
-        )
-        stacked = counts.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("non_null_rows"))
-                        for i, c in enumerate(present)
-                    ]
+    have = set(df.columns)
+    # one row of counts, then one row per column: no join
+    counts = df.agg(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column_name"),
+                    F.lit(c in have).alias("present"),
+                    (F.count(quoted(c)) if c in have else F.lit(None).cast("bigint")).alias("non_null_rows"),
                 )
-            )
-        )
-    else:
-        stacked = spark.createDataFrame([], "column_name string, non_null_rows bigint")
-    names = spark.createDataFrame(
-        [(c, i) for i, c in enumerate(contract.columns)], "column_name string, position int"
+                for c in contract.columns
+            ]
+        ).alias("counted")
     )
-    return (
-        names.join(F.broadcast(stacked), "column_name", "left")
-        .select(
-            F.lit(contract.table).alias("table_name"),
-            F.lit(contract.stage).alias("stage"),
-            "column_name",
-            F.col("non_null_rows").isNotNull().alias("present"),
-            F.col("non_null_rows"),
-        )
+    return counts.select(
+        F.lit(contract.table).alias("table_name"), F.lit(contract.stage).alias("stage"), F.inline("counted")
     )
