@@ -8,6 +8,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -255,6 +256,38 @@ def test_likeness_is_the_sum_it_stands_for():
         assert math.isclose(neardup.likeness(x, y), slow, abs_tol=1e-12)
 
 
+def test_scans_of_blocks_lose_no_link():
+    rng = np.random.default_rng(8)
+    rows = []
+    for shape in (["copies"], ["chain"], ["copies", "chain", "apart"]):
+        texts = []
+        for kind in shape:
+            core = rng.integers(0, 2**40, 40)
+            for k in range(12):
+                text = {"copies": core.copy(), "chain": np.roll(core, -3 * k), "apart": rng.integers(0, 2**40, 40)}[kind]
+                text[: 3 * k if kind == "chain" else 2] = rng.integers(0, 2**40, 3 * k if kind == "chain" else 2)[: len(text)]
+                texts.append(np.append(text, text[-1:]) if k % 3 else text)
+        rows.append(texts)
+    for texts in rows:
+        sets = [dict(collections.Counter(t.tolist())) for t in texts]
+        for across in (False, True):
+            block = np.arange(len(texts)) % 2 if across else np.zeros(len(texts), dtype=int)
+            pdf = pd.DataFrame({"node": range(len(texts)), "shingles": texts, "block": block, "one": 0, "two": int(across)})
+            got = neardup._compared(pdf, 0.8)
+            alike = {
+                (i, j) for i in range(len(texts)) for j in range(i) if slow_likeness(sets[i], sets[j]) >= 0.8 and (not across or block[i] != block[j])
+            }
+            assert {(max(a, b), min(a, b)) for a, b in got.itertuples(index=False)} <= alike
+            assert joined(len(texts), got.itertuples(index=False)) == joined(len(texts), alike)
+
+
+def joined(n, edges):
+    label = list(range(n))
+    for a, b in edges:
+        label = [label[a] if x == label[b] else x for x in label]
+    return [label.index(x) for x in label]
+
+
 def test_signatures_estimate_the_likeness():
     rng = np.random.default_rng(1)
     x = {int(k): int(w) for k, w in zip(rng.integers(0, 2**62, 300), rng.integers(1, 4, 300), strict=True)}

@@ -193,58 +193,71 @@ def likeness(x: dict, y: dict) -> float:
 
 
 def _compared(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """A spanning forest of the links between texts of one block, or across two."""
-    one, two = int(pdf["one"].iloc[0]), int(pdf["two"].iloc[0])
+    """A spanning forest of the links between texts of one block, or across two.
+
+    A scan compares one text with all others by the inverted index.  A pair
+    needs no comparison once one of the two is scanned or a path of links joins
+    them, so scans end when the unscanned texts are all joined (or, across
+    blocks, of one block).  They alternate between the largest group of joined
+    texts and the smallest: a group of near copies is joined by a few scans.
+    """
+    across = int(pdf["one"].iloc[0]) != int(pdf["two"].iloc[0])
     pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
     n = len(pdf)
     sizes, values = _flat(pdf["shingles"])
-    doc, element, weight = _weighted(np.repeat(np.arange(n), sizes), values)
+    block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
+    del pdf
+    doc, element, weight = _weighted(np.repeat(np.arange(n, dtype=np.int32), sizes), values)
+    del values
     counts = np.bincount(doc, minlength=n)
     ends = np.concatenate([[0], np.cumsum(counts)])
     totals = np.bincount(doc, weights=weight, minlength=n)
     plain = totals == counts
-    part = weight / totals[doc]
-    _, element = np.unique(element, return_inverse=True)
+    weight = weight.astype(np.int32)
+    element = np.unique(element, return_inverse=True)[1].astype(np.int32)
     order = np.argsort(element, kind="stable")
-    posting_doc, posting_part = doc[order], part[order]
+    posting_doc, posting_part = doc[order], (weight / totals[doc])[order]
     posting_end = np.concatenate([[0], np.cumsum(np.bincount(element))])
-    block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
-    parent = list(range(n))
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
+    del doc, order
+    label = np.arange(n)
+    unscanned = np.ones(n, dtype=bool)
 
     def weights(i: int) -> dict:
         own = slice(ends[i], ends[i + 1])
         return dict(zip(element[own].tolist(), weight[own].tolist(), strict=True))
 
-    edges = []
-    for i in range(n):
+    def scan(i: int) -> tuple[np.ndarray, np.ndarray]:
+        """Unscanned texts of other groups that may be alike, and whether their plain Jaccard similarity says so."""
         own = slice(ends[i], ends[i + 1])
         runs = [slice(posting_end[e], posting_end[e + 1]) for e in element[own]]
         mates = np.concatenate([posting_doc[r] for r in runs])
-        least = np.concatenate([np.minimum(posting_part[r], p) for r, p in zip(runs, part[own], strict=True)])
+        share = weight[own] / totals[i]
+        least = np.concatenate([np.minimum(posting_part[r], p) for r, p in zip(runs, share, strict=True)])
         # J_P is at most the sum, over shared shingles, of the lesser share
         bound = np.bincount(mates, weights=least, minlength=n)
-        bound[: i + 1] = 0
-        if one != two:
-            bound[block == block[i]] = 0
-        likely = np.flatnonzero(bound >= threshold - 1e-9)
-        if not len(likely):
-            continue
+        fit = unscanned & (label != label[i]) & (bound >= threshold - 1e-9)
+        if across:
+            fit &= block != block[i]
+        likely = np.flatnonzero(fit)
         shared = np.bincount(mates, minlength=n)[likely]
-        jaccard = shared / (counts[i] + counts[likely] - shared)
-        for j, same in zip(likely.tolist(), (jaccard >= threshold - 1e-12).tolist(), strict=True):
-            x, y = find(i), find(j)
-            if x == y:
+        return likely, shared / (counts[i] + counts[likely] - shared) >= threshold - 1e-12
+
+    edges = []
+    for turn in range(n):
+        left = np.flatnonzero(unscanned)
+        groups = np.bincount(label[left], minlength=n)
+        if groups.max() == len(left) or (across and (block[left] == block[left[0]]).all()):
+            break
+        size = groups[label[left]]
+        i = int(left[size.argmin() if turn % 2 else size.argmax()])
+        unscanned[i] = False
+        for j, same in zip(*(x.tolist() for x in scan(i)), strict=True):
+            if label[i] == label[j]:
                 continue
             if not (plain[i] and plain[j]):
                 same = likeness(weights(i), weights(j)) >= threshold - 1e-12
             if same:
-                parent[max(x, y)] = min(x, y)
+                label[label == label[j]] = label[i]
                 edges.append((node[i], node[j]))
     return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
 
