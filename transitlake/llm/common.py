@@ -35,6 +35,22 @@ def worker_state(owner: str) -> dict:
     return module.__dict__["kept"]
 
 
+#: Rows of an Arrow batch for functions that take whole texts.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From now on this session sends at most ``BATCH_ROWS`` rows to Python at a time.
+
+    Batches of whole texts are held off the heap, and again in Python; Spark's
+    own 10,000 rows of them take hundreds of megabytes.  A session that asks
+    for fewer rows keeps its setting.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One input table, read through Spark alone (the path may be any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import SPACE_CLASS, fresh, settle, settle_table, ship, table, whole_text, worker_state
+from transitlake.llm.common import SPACE_CLASS, fresh, settle, settle_table, ship, small_batches, table, whole_text, worker_state
 
 ship(__name__)
 
@@ -267,6 +267,7 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     A text that is in no row is a class of its own.
     """
+    small_batches(docs.sparkSession)
     (held,) = fresh(docs, "held_words")
     texts = docs.select(words_of(whole_text()).alias(held)).select(node_of(F.col(held)).alias("node"), held)
     signed = settle_table(

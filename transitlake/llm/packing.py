@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import settle, ship, table, whole_text, worker_state
+from transitlake.llm.common import settle, ship, small_batches, table, whole_text, worker_state
 
 ship(__name__)
 
@@ -154,6 +154,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
                 out["doc_id"] = out["doc_id"].astype("Int64")
                 yield out
 
+    small_batches(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     return slim.mapInPandas(cut, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table, whole_text, worker_state
+from transitlake.llm.common import crc_bucket, settle, settle_table, ship, small_batches, table, whole_text, worker_state
 
 ship(__name__)
 
@@ -212,6 +212,7 @@ def fit(train: DataFrame) -> Model:
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.regression import IsotonicRegression
 
+    small_batches(train.sparkSession)
     train = settle_table(train.select("key", "text", "label"))
     lexicon = lexicon_of(train)
     rows = settle(
