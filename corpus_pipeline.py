@@ -26,6 +26,9 @@ from transitlake.llm.pii import redact
 from transitlake.llm.quality import reject_poor
 from transitlake.llm.toxicity import fit, reject_toxic, training_rows
 
+#: Words a packing worker remembers: fewer than by default, as the stages before it leave less memory.
+REMEMBERED = 200_000
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return reject_toxic(docs, fit(training_rows(docs, table(spark, sf_dir, "labels"))))
@@ -44,7 +47,7 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, tokenizer())
+    return pack(docs, tokenizer(), remembered=REMEMBERED)
 
 
 STAGES = [

@@ -66,13 +66,14 @@ class WordEncoder:
     between them whose id no other text has.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.remembered = remembered
         (self.mark,) = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
 
     def _ids(self, text: str) -> np.ndarray:
@@ -102,7 +103,7 @@ class WordEncoder:
             text.translate(_BLANK).split(" ") if _SEPARATORS.search(text) else (text if _BEYOND_LATIN.search(text) else text.lower()).split()
             for text in texts
         ]
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known.clear()
         new: set[str] = set()
         for words in split:
@@ -111,12 +112,12 @@ class WordEncoder:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
-def encoder_at(path: str) -> WordEncoder:
+def encoder_at(path: str, remembered: int = REMEMBERED) -> WordEncoder:
     """The worker's encoder for this file."""
     state = worker_state("packing")
-    if ("words", path) not in state:
-        state["words", path] = WordEncoder(path)
-    return state["words", path]
+    if ("words", path, remembered) not in state:
+        state["words", path, remembered] = WordEncoder(path, remembered)
+    return state["words", path, remembered]
 
 
 def batches_of(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, int]]:
@@ -131,11 +132,11 @@ def batches_of(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, remembered: int = REMEMBERED) -> DataFrame:
     """The pieces of each document: full sequences and one rest."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = encoder_at(tokenizer_path)
+        encoder = encoder_at(tokenizer_path, remembered)
         end = np.asarray([END_ID], dtype="<u4").tobytes()
         for pdf in frames:
             texts = pdf["text"].tolist()
@@ -263,11 +264,16 @@ def plan(histogram: dict[int, int], units: int) -> list[tuple[int, int, int, int
     return slots
 
 
-def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, grain: int = GRAIN) -> DataFrame:
-    """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+def pack(
+    docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, grain: int = GRAIN, remembered: int = REMEMBERED
+) -> DataFrame:
+    """One row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
+
+    ``remembered`` words stay in a worker's memory; fewer take less of it and more time, with equal results.
+    """
     spark = docs.sparkSession
     cut = settle(
-        pieces(docs, tokenizer_path, capacity).select(
+        pieces(docs, tokenizer_path, capacity, remembered).select(
             "*",
             F.ceil(F.col("length") / grain).cast("int").alias("size"),
             F.spark_partition_id().alias("part"),
