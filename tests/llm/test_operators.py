@@ -567,6 +567,20 @@ def test_frequent_lines_deplete(spark):
     assert kept.count() == len(texts) - 5 and "host_key" in kept.columns
 
 
+def test_documents_of_a_shared_template_count_each(spark):
+    rng = random.Random(10)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    template = [prose(6) for _ in range(10)]
+    texts = ["\n".join([*template, prose(12)]) for _ in range(40)] + [prose(30) for _ in range(160)]
+    texts += ["\n".join([*template, prose(3)])] * 25  # copies are one document
+    rows = quality.line_report(docs_of(spark, texts).withColumn("source", F.lit("h"))).orderBy("doc_id").collect()
+    assert [r.n_removed_words for r in rows] == [60] * 40 + [0] * 160 + [60] * 25
+    assert not any(r.kept for r in rows[:40] + rows[200:]) and all(r.kept for r in rows[40:200])
+
+
 # fixity -------------------------------------------------------------------
 
 

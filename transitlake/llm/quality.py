@@ -8,13 +8,16 @@ lie in a five-word window found at least twice in the text.
 
 Line frequency: lines are normalised (lower case, digits to 0, white space
 squeezed), hashed, and for each host (``source``; null is a host of its own)
-the distinct documents with that line are counted.  Copies are one document:
-two documents count as one for a line if the smallest hash among their
-*other* lines is the same, so a large group of copies does not turn its own
-text into boilerplate.  A line in more than ``share`` of the host's distinct
-texts, and more than ``min_docs`` documents, is removed; a document that
-keeps fewer than ``min_words`` words, or less than ``min_left`` of its
-words, is depleted and rejected.
+the distinct documents with that line are counted.  Equal texts are one
+document, so a large group of copies does not turn its own text into
+boilerplate; texts that differ anywhere are different documents, however many
+lines they share.  A line in more than ``share`` of the host's distinct
+texts, and more than ``min_docs`` documents, is frequent; a document that
+without its frequent lines has fewer than ``min_words`` words, or less than
+``min_left`` of its words, is depleted and rejected.
+
+``ORACLE`` states an earlier count (documents whose least other line is the
+same are one); the two agree unless documents share several frequent lines.
 
 Defined cases: an empty or null text has 0 words and fails the base rule; a
 null host is a host; repeated rows get the same verdict each and count once;
@@ -145,19 +148,14 @@ def line_report(docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS,
             line_entries(text).alias("lines"),
         ).select("doc_id", "host", "text_md5", "of_words.*", "word_chars", "n_symbols", "n_dup_lines", "lines")
     )
-    least = F.slice(F.array_sort(F.array_distinct("lines.line")), 1, 2)
-    entries = narrow.select("host", "text_md5", least.alias("least"), F.explode("lines").alias("entry")).select(
-        "host",
-        "text_md5",
-        F.col("entry.line").alias("line"),
-        F.col("entry.words").alias("words"),
-        # the document's sketch for this line: its least other line
-        F.when(F.get("least", F.lit(0)) != F.col("entry.line"), F.get("least", F.lit(0)))
-        .otherwise(F.coalesce(F.get("least", F.lit(1)), F.lit("-")))
-        .alias("sketch"),
+    # one row for each line of each different text, its copies added up before the shuffle
+    entries = (
+        narrow.select("host", "text_md5", F.explode("lines").alias("entry"))
+        .groupBy("host", F.col("entry.line").alias("line"), "text_md5")
+        .agg(F.sum("entry.words").alias("words"))
     )
     hosts = narrow.select("host", "text_md5").distinct().groupBy("host").agg(F.count("*").alias("host_docs"))
-    counted = entries.select("host", "line", "sketch").distinct().groupBy("host", "line").agg(F.count("*").alias("n_docs"))
+    counted = entries.groupBy("host", "line").agg(F.count("*").alias("n_docs"))
     frequent = (
         counted.filter(F.col("n_docs") > min_docs)
         .join(hosts, "host")
@@ -165,13 +163,7 @@ def line_report(docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS,
         .select("host", "line")
     )
     # copies of a text hold the same lines: average over rows of a text, not their sum
-    removed = (
-        entries.groupBy("host", "line", "text_md5")
-        .agg(F.sum("words").alias("words"))
-        .join(frequent, ["host", "line"])
-        .groupBy("host", "text_md5")
-        .agg(F.sum("words").alias("all_words"))
-    )
+    removed = entries.join(frequent, ["host", "line"]).groupBy("host", "text_md5").agg(F.sum("words").alias("all_words"))
     rows = narrow.drop("lines")
     times = narrow.groupBy("host", "text_md5").agg(F.count("*").alias("times"))
     removed = removed.join(times, ["host", "text_md5"]).select("host", "text_md5", F.expr("all_words div times").alias("n_removed_words"))
