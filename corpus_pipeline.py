@@ -6,7 +6,7 @@ packed pieces.  A stage drops a document only for its own reason:
 
 1. ``toxicity``: documents that score 0.3 or more go;
 2. ``quality``: documents that fail the base rules or are depleted by the line
-   frequency rule go;
+   frequency rule go, and frequent lines are taken out of the others' text;
 3. ``near_dedup``: one document of each near-duplicate class stays;
 4. ``pii``: personal data is replaced by its kind;
 5. ``packing``: what is left is packed into sequences of 4096 tokens.
@@ -23,7 +23,7 @@ from transitlake.llm.common import settle_table, table
 from transitlake.llm.neardup import keep_one
 from transitlake.llm.packing import pack, tokenizer
 from transitlake.llm.pii import redact
-from transitlake.llm.quality import reject_poor
+from transitlake.llm.quality import clean
 from transitlake.llm.toxicity import fit, reject_toxic, training_rows
 
 #: Words a packing worker remembers: fewer than by default, as the stages before it leave less memory.
@@ -35,7 +35,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return reject_poor(docs)
+    return clean(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -581,6 +581,31 @@ def test_documents_of_a_shared_template_count_each(spark):
     assert not any(r.kept for r in rows[:40] + rows[200:]) and all(r.kept for r in rows[40:200])
 
 
+def test_frequent_lines_are_taken_out(spark):
+    import corpus_pipeline
+
+    rng = random.Random(11)
+
+    def prose(n):
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+
+    own = [prose(40) for _ in range(50)]
+    texts = [f"  Page {i}  of 90\n{t}\n \n\tHOME | about\n{t[::-1]}\nPAGE {i} of 90\n" for i, t in enumerate(own[:30], 10)] + own[30:]
+    texts += [texts[0], "home | about\n" * 3, None]
+    docs = docs_of(spark, texts).withColumn("source", F.lit("h")).withColumn("frequent_lines", F.lit(1))
+    rows = corpus_pipeline.quality(spark, docs, None)
+    assert rows.columns == docs.columns
+    wanted = [f"{t}\n \n{t[::-1]}\n" for t in own[:30]] + own[30:]
+    assert [r.text for r in rows.orderBy("doc_id").collect()] == [*wanted, wanted[0]]
+    assert quality.clean(empty_of(docs)).count() == 0
+
+
+def test_cleaned_rows_are_those_that_pass(odd):
+    kept = quality.clean(odd)
+    assert kept.columns == odd.columns and kept.exceptAll(quality.reject_poor(odd)).count() == 0
+    assert kept.count() == quality.reject_poor(odd).count()
+
+
 # fixity -------------------------------------------------------------------
 
 

@@ -22,7 +22,7 @@ same are one); the two agree unless documents share several frequent lines.
 Defined cases: an empty or null text has 0 words and fails the base rule; a
 null host is a host; repeated rows get the same verdict each and count once;
 an empty table gives an empty result; further columns are ignored by
-:func:`line_report` and kept by :func:`reject_poor`.
+:func:`line_report` and kept by :func:`reject_poor` and :func:`clean`.
 """
 
 from __future__ import annotations
@@ -116,6 +116,11 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(digits, SPACE_CLASS + "+", " "))
 
 
+def line_hash(line: Column) -> Column:
+    """Hash of a normalised line."""
+    return F.substring(F.md5(line), 1, 16)
+
+
 def line_entries(text: Column) -> Column:
     """One struct for each line with a word: hash of the normalised line and its words."""
     lines = F.filter(F.split(text, "\n"), lambda x: without(x, SPACES) != "")
@@ -124,7 +129,7 @@ def line_entries(text: Column) -> Column:
         lambda x: _let(
             normalised(x),
             lambda y: F.struct(
-                F.substring(F.md5(y), 1, 16).alias("line"),
+                line_hash(y).alias("line"),
                 # words of a squeezed line: its blanks plus one
                 (F.length(y) - F.length(F.translate(y, " ", "")) + 1).cast("long").alias("words"),
             ),
@@ -132,12 +137,8 @@ def line_entries(text: Column) -> Column:
     )
 
 
-def line_report(docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
-    """One row for each row of ``docs``: base figures, words removed, verdict.
-
-    Columns: doc_id, host, text_md5, n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, n_removed_words, base_failed, kept.
-    """
+def _verdicts(docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> DataFrame:
+    """As :func:`line_report`, with ``frequent_lines``: the hashes of the text's frequent lines (null for none)."""
     text = whole_text()
     narrow = settle_table(
         docs.select(
@@ -163,10 +164,16 @@ def line_report(docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS,
         .select("host", "line")
     )
     # copies of a text hold the same lines: average over rows of a text, not their sum
-    removed = entries.join(frequent, ["host", "line"]).groupBy("host", "text_md5").agg(F.sum("words").alias("all_words"))
+    removed = (
+        entries.join(frequent, ["host", "line"])
+        .groupBy("host", "text_md5")
+        .agg(F.sum("words").alias("all_words"), F.collect_list("line").alias("frequent_lines"))
+    )
     rows = narrow.drop("lines")
     times = narrow.groupBy("host", "text_md5").agg(F.count("*").alias("times"))
-    removed = removed.join(times, ["host", "text_md5"]).select("host", "text_md5", F.expr("all_words div times").alias("n_removed_words"))
+    removed = removed.join(times, ["host", "text_md5"]).select(
+        "host", "text_md5", F.expr("all_words div times").alias("n_removed_words"), "frequent_lines"
+    )
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     left = F.col("n_words") - F.col("n_removed_words")
     depleted = (left < min_words) | (left < min_left * F.col("n_words"))
@@ -178,6 +185,15 @@ def line_report(docs: DataFrame, share: float = SHARE, min_docs: int = MIN_DOCS,
     )
 
 
+def line_report(docs: DataFrame, **options) -> DataFrame:
+    """One row for each row of ``docs``: base figures, words removed, verdict.
+
+    Columns: doc_id, host, text_md5, n_words, word_chars, n_symbols,
+    n_dup_lines, n_repeat_words, n_removed_words, base_failed, kept.
+    """
+    return _verdicts(docs, **options).drop("frequent_lines")
+
+
 def host_of(docs: DataFrame) -> Column:
     """The host a document counts under; a null or missing source is one host of its own."""
     if "source" not in docs.columns:
@@ -198,6 +214,32 @@ def reject_poor(docs: DataFrame, **options) -> DataFrame:
     return keyed.join(poor, [host, md5], "left_anti").select(*docs.columns)
 
 
+def clean(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that pass, their frequent lines taken out of ``text``.
+
+    The other lines keep their order and form, blank ones too; the other
+    columns stay as they were (``n_chars`` tells the length before).
+    """
+    host, md5, kept, frequent = fresh(docs, "host_key", "md5_key", "is_kept", "frequent_lines")
+    marks = (
+        _verdicts(docs, **options)
+        .filter(~F.col("kept") | F.col("frequent_lines").isNotNull())
+        # rows of one text have one verdict
+        .groupBy(F.col("host").alias(host), F.col("text_md5").alias(md5))
+        .agg(F.first("kept").alias(kept), F.first("frequent_lines").alias(frequent))
+    )
+    keyed = docs.withColumn(host, host_of(docs)).withColumn(md5, F.md5(whole_text()))
+    passed = keyed.join(marks, [host, md5], "left").filter(F.coalesce(kept, F.lit(True)))
+
+    def stays(x: Column) -> Column:
+        return (without(x, SPACES) == "") | ~F.array_contains(frequent, line_hash(normalised(x)))
+
+    text = F.when(F.col(frequent).isNull(), F.col("text")).otherwise(
+        F.array_join(F.filter(F.split("text", "\n"), stays), "\n")
+    )
+    return passed.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns])
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """Contract query: figures and verdict of every document."""
     from transitlake.llm.common import table
