@@ -170,6 +170,16 @@ def test_contexts_discover_identifiers(spark):
     assert clean[0] == "hallo phone: <PHONE> end of record" and clean[8] == "other phone: <PHONE> stop here" and clean[12] == plain[0]
 
 
+def test_copies_change_no_spans(spark):
+    seeds = [f"hallo phone: +1 (55{n}) 123-45{n}7 end of record" for n in range(8)]
+    unseen = [f"other phone: (55{n}) 999-88{n}1 stop here" for n in range(4)]
+    rows = pii.spans_of(docs_of(spark, seeds + unseen + unseen + ["phone: none"] + seeds[:1] * 50 + unseen[:1] * 50)).orderBy("doc_id").collect()
+    once = pii.spans_of(docs_of(spark, seeds + unseen + ["phone: none"])).orderBy("doc_id").collect()
+    assert [r.n_added for r in once] == [0] * 8 + [1] * 4 + [0]
+    spans = [r.spans for r in once]
+    assert [r.spans for r in rows] == spans[:12] + spans[8:] + spans[:1] * 50 + spans[8:9] * 50
+
+
 def test_personal_data_odd_rows(odd):
     assert pii.spans_of(odd).count() == odd.count()
     kept = pii.redact(odd)

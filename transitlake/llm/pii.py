@@ -10,7 +10,7 @@ base patterns miss:
    as a telephone number without a plus sign), is an instance with lexical
    patterns: the word before it, the word after it, and the two together.
 2. Pattern and instance form a graph.  A pattern scores the share of all
-   occurrences of its words, over the whole corpus, that stand beside
+   occurrences of its words, over all different texts, that stand beside
    instances of its kind (each weighted by its score), and counts only with
    ``MIN_SUPPORT`` different confident instances.  An instance scores one
    if it is a seed, else the noisy-or of its patterns.
@@ -163,8 +163,10 @@ def _cues(left: Column, right: Column) -> Column:
 
 
 def word_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """How often each of ``words`` (column word) occurs in all texts."""
-    every = docs.select(F.explode(F.split(_folded(whole_text()), SPACE_CLASS + "+")).alias("word"))
+    """How often each of ``words`` (column word) occurs in all different texts."""
+    # copies of a text are one text, dropped before the shuffle where they meet
+    texts = docs.select(whole_text().alias("held_text")).groupBy(F.md5("held_text").alias("text_md5")).agg(F.first("held_text").alias("held_text"))
+    every = texts.select(F.explode(F.split(_folded(F.col("held_text")), SPACE_CLASS + "+")).alias("word"))
     return every.groupBy("word").agg(F.count("*").alias("total")).join(words, "word", "left_semi")
 
 
