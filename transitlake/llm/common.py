@@ -8,7 +8,7 @@ import types
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -110,3 +110,35 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def in_order(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """``df`` written once, with ``rank`` (from 0, within ``key``) and ``total`` (rows of the key).
+
+    Rows are dealt out by ranges of (key, order), so a key of any size is
+    spread over tasks; rows equal in all of ``order`` should be alike, or a
+    last term of ``order`` should tell them apart, else one task gets them all.
+    A rank is the place inside the range plus the rows of the key in earlier
+    ranges; ranges and keys meet in a table as long as both together.
+    """
+    part, at, first, n, before = fresh(df, "part", "at", "first", "n", "before")
+    number = F.monotonically_increasing_id()
+    by = [F.col(key), *order]
+    placed = settle_table(
+        df.repartitionByRange(*by)
+        .sortWithinPartitions(*by)
+        .withColumn(at, number)
+        .withColumn(part, F.shiftright(F.col(at), 33))
+    )
+    heads = placed.groupBy(part, key).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(n))
+    of_key = Window.partitionBy(key)
+    heads = settle_table(
+        heads.select(
+            part,
+            key,
+            first,
+            F.coalesce(F.sum(n).over(of_key.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias(before),
+            F.sum(n).over(of_key).alias("total"),
+        )
+    )
+    return placed.join(heads, [part, key]).withColumn("rank", F.col(at) - F.col(first) + F.col(before)).drop(part, at, first, before)

@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from transitlake.llm import bpe, chat, ctw, fingerprints, fixity, neardup, packing, pii, quality, toxicity
+from transitlake.llm import (
+    bpe,
+    chat,
+    ctw,
+    fingerprints,
+    fixity,
+    manifest,
+    neardup,
+    packing,
+    pii,
+    quality,
+    toxicity,
+)
 
 QUERIES = {
     "op1_order_minhash": fingerprints.query,
@@ -15,10 +27,12 @@ QUERIES = {
     "op8_boosted_trees": toxicity.query,
     "op9_line_frequency": quality.query,
     "op10_merkle_audit": fixity.query,
+    "op13_butterfly_manifest": manifest.query,
 }
 
 SQL = {
     "op5_perspectives": chat.ORACLE,
     "op9_line_frequency": quality.ORACLE,
     "op10_merkle_audit": fixity.ORACLE,
+    "op13_butterfly_manifest": manifest.ORACLE,
 }
