@@ -226,7 +226,7 @@ def prove(docs_leaves: DataFrame, fanout: int = FANOUT, span: int = SPAN) -> Dat
             folded.append(node)
         return pd.DataFrame(
             {
-                "doc_id": rows["doc_id"].astype("Int64").tolist(),
+                "doc_id": rows["doc_id"].tolist(),
                 "leaf": rows["node"].tolist(),
                 "subroot": above["subroot"].iloc[0],
                 "root": above["root"].iloc[0],
@@ -235,11 +235,12 @@ def prove(docs_leaves: DataFrame, fanout: int = FANOUT, span: int = SPAN) -> Dat
             }
         )
 
-    slim = placed.select("key", "block", "total", "rank", "doc_id", "node", "other")
+    # ids as text: pandas would turn a column of ids with a null into floats
+    slim = placed.select("key", "block", "total", "rank", F.col("doc_id").cast("string").alias("doc_id"), "node", "other")
     proven = slim.groupBy("key", "block").cogroup(whole.groupBy("key", "block")).applyInPandas(
-        fold, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
+        fold, "doc_id string, leaf string, subroot string, root string, proof_sha256 string, folded_root string"
     )
-    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
+    return proven.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
 def manifest(docs: DataFrame, fanout: int = FANOUT, span: int = SPAN) -> DataFrame:

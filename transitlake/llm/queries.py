@@ -9,6 +9,7 @@ from transitlake.llm import (
     fingerprints,
     fixity,
     manifest,
+    mixing,
     neardup,
     packing,
     pii,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_boosted_trees": toxicity.query,
     "op9_line_frequency": quality.query,
     "op10_merkle_audit": fixity.query,
+    "op12_pivotal_mix": mixing.query,
     "op13_butterfly_manifest": manifest.query,
 }
 
