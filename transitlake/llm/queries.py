@@ -14,6 +14,7 @@ from transitlake.llm import (
     packing,
     pii,
     quality,
+    repair,
     toxicity,
 )
 
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_boosted_trees": toxicity.query,
     "op9_line_frequency": quality.query,
     "op10_merkle_audit": fixity.query,
+    "op11_suffix_dawg": repair.query,
     "op12_pivotal_mix": mixing.query,
     "op13_butterfly_manifest": manifest.query,
 }
