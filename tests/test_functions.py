@@ -8,16 +8,13 @@ from pyspark.sql import functions as F
 from transitlake.functions import (
     blank_to_null,
     clock_minutes,
-    clock_on_day,
     lenient_double,
     lenient_int,
     lenient_long,
     map_codes,
-    minutes_between,
     parse_day,
     parse_wallclock,
     portable_round,
-    roll_past_midnight,
     truthy_flag,
 )
 from transitlake.functions.codes import (
@@ -39,10 +36,12 @@ def one(spark, value, expr, schema="s string"):
     "text,expected",
     [(" 12 ", 12), ("12.7", 12), ("+7", 7), ("-3", -3), ("12.", 12), (".5", 0), (".", 0), ("-.5", 0),
      ("+", None), ("   ", None), ("\t12.5", 12), ("1e3", None), ("", None),
+     ("-0012.9", -12), (" -. ", 0), ("- 1", None), ("1.2.3", None), ("\x00 7.5 \x1f", 7), ("5\n", 5),
      ("12x", None), ("S", None), ("99999999999", None), ('"105', None), (None, None)],
 )
 def test_lenient_int(spark, text, expected):
     assert one(spark, text, lenient_int("s")) == expected
+    assert one(spark, text, lenient_int("s", apart=True)) == expected
 
 
 def test_lenient_long_keeps_large_values(spark):
@@ -67,7 +66,8 @@ def test_parse_wallclock_compact(spark, text, expected):
     "text,expected",
     [("03/01/2020 15:44", dt.datetime(2020, 1, 3, 15, 44)),
      ("03/01/2020 15:44:00", dt.datetime(2020, 1, 3, 15, 44)),
-     ("31/02/2020 10:00", None), ("3/01/2020 15:44", None), ("03/01/2020 24:00", None)],
+     ("31/02/2020 10:00", None), ("3/01/2020 15:44", None), ("03/01/2020 15:44:0", None), ("03/01/2020 15:44\n", None),
+     ("03/01/2020 15:44:60", None), ("29/02/0004 23:59:59", dt.datetime(4, 2, 29, 23, 59, 59)), ("03/01/2020 15:441", None), ("03/01/2020 24:00", None)],
 )
 def test_closing_time(spark, text, expected):
     assert one(spark, text, parse_wallclock("s", "dd/MM/yyyy HH:mm[:ss]")) == expected
@@ -98,10 +98,10 @@ def test_clock_minutes(spark, text, expected):
      ("6:00", "07:00", None), ("24:00", "07:00", None), (None, "07:00", None)],
 )
 def test_trip_span_timestamps(spark, dep, arr, minutes):
-    df = spark.createDataFrame([(dt.date(2024, 1, 1), dep, arr)], "d date, a string, b string")
-    dep_ts = clock_on_day("d", "a")
-    arr_ts = roll_past_midnight(dep_ts, clock_on_day("d", "b"))
-    row = df.select(minutes_between(dep_ts, arr_ts).alias("m"), arr_ts.alias("t")).first()
+    from transitlake.plans.trips import add_trip_span
+
+    df = spark.createDataFrame([(dt.date(2024, 1, 1), dep, arr)], "data_viagem date, saida string, chegada string")
+    row = add_trip_span(df).selectExpr("duracao_viagem_minutos AS m", "ts_chegada AS t").first()
     assert row["m"] == minutes
     if dep == "23:50":
         assert row["t"] == dt.datetime(2024, 1, 2, 0, 20)
@@ -175,6 +175,7 @@ def test_portable_round_is_one_step(spark):
 def test_ratio_round_is_exact(spark):
     from transitlake.functions import ratio_round
 
-    df = spark.createDataFrame([(1, 8), (-1, 8), (1001, 200_001), (1000, 200_001), (5, 0), (None, 3)], "a long, b long")
+    rows = [(1, 8), (-1, 8), (1001, 200_001), (1000, 200_001), (5, 0), (None, 3), (2**63 - 1, 10**18), (2**53 + 1, 1), (-(2**63), 7)]
+    df = spark.createDataFrame(rows, "a long, b long")
     got = [r.r for r in df.select(ratio_round("a", "b").alias("r")).collect()]
-    assert got == [0.13, -0.13, 0.01, 0.0, None, None]
+    assert got == [0.13, -0.13, 0.01, 0.0, None, None, 9.22, (2**53 + 1) * 100 / 100, -(2**63 * 100 // 7 + 1) / 100]

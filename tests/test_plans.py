@@ -1,9 +1,12 @@
 """The physical-plan properties the design relies on, asserted on the
 production path (silver tables read back from a lake)."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from transitlake.functions import lenient_int
 from transitlake.plans import daily, layers, trips
 from transitlake.sources import adapters
 from transitlake.sources.lake import Lake
@@ -54,3 +57,23 @@ def test_silver_trips_is_narrow(spark, lake):
     assert "Exchange" not in plan
 
 
+def method_sizes(df) -> list[int]:
+    """Bytes of the largest method of each whole-stage program of a plan without exchanges."""
+    text = df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:([0-9]+)", text)]
+
+
+def test_trip_parsing_is_small_enough_to_be_compiled(spark, lake, sf_small):
+    """The JVM interprets methods above 8000 bytes; from stored bronze and over the adapters none is."""
+    stored = method_sizes(trips.silver_trips(lake.read(spark, "bronze", "mco")))
+    fused = method_sizes(trips.silver_trips(adapters.trips_raw(spark, sf_small)))
+    assert stored and max(stored + fused) < 6000
+
+
+def test_malformed_numbers_do_not_reach_a_cast(spark):
+    """A cast that fails raises inside: texts that are no number by the rule must be NULL before any cast."""
+    df = spark.createDataFrame([("junk",), ("12x",), ("",), ("7",)], "s string")
+    plan = plan_of(df.select(lenient_int("s").alias("n"), lenient_int("s", apart=True).alias("m")))
+    assert plan.count("RLIKE") >= 4
+    got = df.select(lenient_int("s").alias("n"), lenient_int("s", apart=True).alias("m")).collect()
+    assert [tuple(r) for r in got] == [(None, None)] * 3 + [(7, 7)]

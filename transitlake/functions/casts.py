@@ -9,6 +9,8 @@ expression, so it stays inside whole-stage codegen.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,35 +20,45 @@ from transitlake.functions._col import as_col
 # are trimmed; then an optional sign, digits (possibly none), and an
 # optional fraction that is checked but ignored ("12.7" -> 12, ".5" -> 0,
 # "." -> 0); a bare sign or empty text is rejected, as are exponents and junk.
-_INTEGER_TEXT = r"^[\x00-\x20]*([+-]?)([0-9]*)([.][0-9]*)?[\x00-\x20]*$"
+_INTEGER_TEXT = r"^[\x00-\x20]*([+-]?)(?=[0-9.])([0-9]*)(?:[.][0-9]*)?[\x00-\x20]*$"
+# sign, a zero (for texts without a digit before the point) and the digits
+_WHOLE_PART = "$10$2"
 
 
-def _legacy_integral(c, type_name: str) -> Column:
-    c = as_col(c)
-    sign = F.regexp_extract(c, _INTEGER_TEXT, 1)
-    digits = F.regexp_extract(c, _INTEGER_TEXT, 2)
-    fraction = F.regexp_extract(c, _INTEGER_TEXT, 3)
-    well_formed = c.rlike(_INTEGER_TEXT) & ((F.length(digits) + F.length(fraction)) > 0)
-    whole = F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits))
-    return F.when(well_formed, _try_cast(whole, type_name))
-
-
-def _lenient_integral(c, type_name: str) -> Column:
-    # Fast path first: a plain integer casts directly.  Only text that the
-    # strict cast rejects (a fraction such as "12.7") pays for the regex;
-    # coalesce short-circuits, so the common case runs no regex at all.
+# Digits that every value of the type has room for.
+_SAFE_DIGITS = {"int": 9, "bigint": 18}
+
+
+def _by_rule(c: Column, type_name: str) -> Column:
+    return F.when(c.rlike(_INTEGER_TEXT), _try_cast(F.regexp_replace(c, _INTEGER_TEXT, _WHOLE_PART), type_name))
+
+
+def _lenient_integral(c, type_name: str, apart: bool) -> Column:
+    # A failing try_cast costs some 50 us (it raises and catches inside), so
+    # every cast is behind a regex: plain integers pay for one, texts with
+    # blanks or a fraction for three, and only long digit runs can still fail.
     c = as_col(c)
-    return F.coalesce(_try_cast(c, type_name), _legacy_integral(c, type_name))
+    plain = F.when(c.rlike(rf"^[+-]?[0-9]{{1,{_SAFE_DIGITS[type_name]}}}\z"), c.cast(type_name))
+    if apart:
+        return plain.otherwise(F.get(F.transform(F.array(c), lambda x: _by_rule(x, type_name)), 0))
+    return plain.otherwise(_by_rule(c, type_name))
 
 
-def lenient_int(c) -> Column:
-    """Text -> INT; malformed or out-of-range text -> NULL (never raises)."""
-    return _lenient_integral(c, "int")
+def lenient_int(c, apart: bool = False) -> Column:
+    """Text -> INT; malformed or out-of-range text -> NULL (never raises).
+
+    ``apart``: for tables with many number columns.  The rule for texts that
+    are no plain integers then goes into a higher-order function.  Such a
+    projection is generated as many small methods beside the whole-stage code,
+    which together with the rest would be one method too large for the JVM to
+    compile (above 8000 bytes it stays interpreted, several times slower).
+    """
+    return _lenient_integral(c, "int", apart)
 
 
-def lenient_long(c) -> Column:
+def lenient_long(c, apart: bool = False) -> Column:
     """Text -> BIGINT with the same rule as :func:`lenient_int`."""
-    return _lenient_integral(c, "bigint")
+    return _lenient_integral(c, "bigint", apart)
 
 
 def lenient_double(c) -> Column:
@@ -70,10 +82,12 @@ def ratio_round(numerator, denominator, scale: int = 2) -> Column:
     """``numerator / denominator`` of two integers, rounded HALF_UP exactly.
 
     Means of integers at a tie (such as 0.125) come out the same in any
-    engine, because no binary fraction is involved.  NULL if the denominator
-    is 0 or NULL.
+    engine: the division is one of whole numbers (of 38 digits, so no sum that
+    fits a BIGINT overflows).  NULL if the denominator is 0 or NULL.
     """
-    n = as_col(numerator).cast("bigint") * F.lit(10**scale)
-    d = as_col(denominator).cast("bigint")
-    half_up = F.try_divide(2 * F.abs(n) + d - F.pmod(2 * F.abs(n) + d, F.nullif(2 * d, F.lit(0))), 2 * d)
-    return F.signum(n) * F.round(half_up) / F.lit(float(10**scale))
+    n = as_col(numerator).cast("decimal(20,0)") * F.lit(10**scale).cast("decimal(10,0)")
+    d = F.nullif(as_col(denominator).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    two = F.lit(2).cast("decimal(1,0)")
+    doubled = F.abs(n) * two + d
+    half_up = ((doubled - doubled % (d * two)) / (d * two)).cast("decimal(30,0)")
+    return (F.signum(n).cast("decimal(1,0)") * half_up * F.lit(Decimal(1).scaleb(-scale))).cast("double")

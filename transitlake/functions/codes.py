@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from transitlake.functions._col import as_col
-from transitlake.functions.casts import lenient_int
 
 # ---------------------------------------------------------------------------
 # The operator's published code tables.  The labels are data
@@ -50,6 +49,10 @@ def map_codes(c, mapping: Mapping, default: str | None = None) -> Column:
     return out.otherwise(F.lit(default))
 
 
+# The integer 1 under the lenient rule: trimmed, signed, with leading zeros and an ignored fraction.
+_ONE = r"^[\x00-\x20]*[+]?0*1(?:[.][0-9]*)?[\x00-\x20]*$"
+
+
 def truthy_flag(c, labels: Iterable[str] = ()) -> Column:
     """Flag text -> BOOLEAN, never NULL.
 
@@ -58,7 +61,8 @@ def truthy_flag(c, labels: Iterable[str] = ()) -> Column:
     for the published S/N coding).
     """
     c = as_col(c)
-    flag = F.coalesce(lenient_int(c) == F.lit(1), F.lit(False))
+    # the two usual texts need no regex
+    flag = F.when(c == "1", F.lit(True)).when(c == "0", F.lit(False)).otherwise(F.coalesce(c.rlike(_ONE), F.lit(False)))
     labels = list(labels)
     if labels:
         flag = flag | F.coalesce(c.isin(labels), F.lit(False))

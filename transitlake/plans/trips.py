@@ -19,7 +19,6 @@ from transitlake.functions import (
     map_codes,
     parse_day,
     parse_wallclock,
-    portable_round,
     truthy_flag,
 )
 from transitlake.functions.codes import (
@@ -36,6 +35,8 @@ MINUTES_PER_DAY = 24 * 60
 # carry the short form.  Both are accepted.
 TRIP_CLOSING_PATTERN = "dd/MM/yyyy HH:mm[:ss]"
 
+# Column names of the published trip-control data and of the
+# silver table, in their published order.
 RAW_TRIPS = Contract(
     table="bronze.mco",
     stage="input",
@@ -67,6 +68,18 @@ SILVER_TRIPS = Contract(
     partition_by=("ano", "mes"),
 )
 
+# Typed column: its text column and the parser.  The numbers are parsed apart
+# from whole-stage code, which the whole table would make too large to compile.
+TRIP_PARSERS = {
+    "data_viagem": ("viagem", lambda c: parse_day(c, TRIP_DAY_PATTERN)),
+    "dh_fechamento": ("data_fechamento", lambda c: parse_wallclock(c, TRIP_CLOSING_PATTERN)),
+    "extensao_metros": ("extensao", lambda c: lenient_int(c, apart=True)),
+    "numero_linha": ("sublinha", lambda c: lenient_int(c, apart=True)),
+    "pc": ("pc", lambda c: lenient_int(c, apart=True)),
+    "catraca_saida": ("catraca_saida", lambda c: lenient_long(c, apart=True)),
+    "catraca_chegada": ("catraca_chegada", lambda c: lenient_long(c, apart=True)),
+}
+
 
 def type_trips(df: DataFrame, strip_accents: bool = False) -> DataFrame:
     """Normalise header names, check the input contract, then type.
@@ -75,17 +88,7 @@ def type_trips(df: DataFrame, strip_accents: bool = False) -> DataFrame:
     reported by name rather than as an unresolved reference.
     """
     df = RAW_TRIPS.check(normalize_names(df, strip_accents))
-    return df.withColumns(
-        {
-            "data_viagem": parse_day("viagem", TRIP_DAY_PATTERN),
-            "dh_fechamento": parse_wallclock("data_fechamento", TRIP_CLOSING_PATTERN),
-            "extensao_metros": lenient_int("extensao"),
-            "numero_linha": lenient_int("sublinha"),
-            "pc": lenient_int("pc"),
-            "catraca_saida": lenient_long("catraca_saida"),
-            "catraca_chegada": lenient_long("catraca_chegada"),
-        }
-    )
+    return df.withColumns({name: parse(source) for name, (source, parse) in TRIP_PARSERS.items()})
 
 
 def blank_texts(df: DataFrame, columns: Sequence[str] = TEXT_COLUMNS_TO_BLANK) -> DataFrame:
@@ -99,24 +102,22 @@ def add_trip_span(df: DataFrame) -> DataFrame:
     An arrival clock earlier than the departure is on the next day.  A
     missing or malformed clock gives NULL instants and a NULL duration.
 
-    Computed on minute-of-day integers: the same values as building both
-    instants, rolling the arrival past midnight and differencing them, but
-    a far smaller expression.  That matters because a later filter on the
-    duration is pushed down to the scan, where Catalyst inlines it.
+    Each clock is parsed once, into a column of its own that the instants and
+    the duration share; they are minute-of-day integers, so a filter on the
+    duration that Catalyst inlines below stays small.
     """
-    day = F.col("data_viagem")
-    dep, arr = clock_minutes("saida"), clock_minutes("chegada")
-    arr_rolled = arr + F.when(arr < dep, F.lit(MINUTES_PER_DAY)).otherwise(F.lit(0))
+    parsed = df.withColumns({"_departure": clock_minutes("saida"), "_arrival": clock_minutes("chegada")})
+    day, dep, arr = F.col("data_viagem"), F.col("_departure"), F.col("_arrival")
+    rolled = arr + F.when(arr < dep, F.lit(MINUTES_PER_DAY)).otherwise(F.lit(0))
     day_start = day.cast("timestamp_ntz")
-    return df.withColumns(
+    return parsed.withColumns(
         {
             "ts_saida": F.timestamp_add("MINUTE", dep, day_start),
-            "ts_chegada": F.timestamp_add("MINUTE", arr_rolled, day_start),
-            "duracao_viagem_minutos": portable_round(
-                F.when(day.isNotNull(), (arr_rolled - dep).cast("double"))
-            ),
+            "ts_chegada": F.timestamp_add("MINUTE", rolled, day_start),
+            # whole minutes: nothing to round
+            "duracao_viagem_minutos": F.when(day.isNotNull(), (rolled - dep).cast("double")),
         }
-    )
+    ).drop("_departure", "_arrival")
 
 
 def label_trips(df: DataFrame, flag_labels: Iterable[str] = ()) -> DataFrame:
