@@ -613,3 +613,121 @@ SQL["silver_trips_sn_flags"] = with_ctes(
     "trips_labelled",
     instead={"trips_raw": SN_TRIPS},
 )
+
+SQL["live_silver_pings"] = SQL["streamed_silver_pings"]
+
+# crc32 of a text, byte by byte and bit by bit (-1: shift one bit), over its UTF-8 bytes (ASCII here).
+_CRC_STEPS = (
+    "flatten(list_transform(range(1, length(value) + 1), "
+    "lambda i: [ord(substr(value, i, 1))::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))"
+)
+_CRC = (
+    f"xor(list_reduce({_CRC_STEPS}, lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) "
+    "WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END, 4294967295::BIGINT), 4294967295)"
+)
+SQL["incremental_bronze_pings"] = with_ctes(
+    f"""
+    , arrived AS (SELECT value, CAST({_CRC} % 2 AS INTEGER) AS run FROM gps_raw)
+    SELECT value, run, CAST(1 AS BIGINT) AS loaded FROM arrived
+    UNION ALL SELECT NULL, run, CAST(count(*) AS BIGINT) FROM arrived GROUP BY run
+    UNION ALL SELECT NULL, 2, CAST(0 AS BIGINT)
+    """,
+    "gps_raw",
+)
+
+SQL["malformed_records"] = with_ctes(
+    """
+    , bad AS (
+      SELECT 'gps' AS table_name, value AS record FROM gps_raw WHERE NOT starts_with(value, '_id') AND strpos(value, ',') = 0
+      UNION ALL SELECT 'gps', 'lost ' || CAST(event_id AS VARCHAR) FROM events WHERE event_id % 100 = 7
+      UNION ALL SELECT 'linhas', "NumeroLinha" || ',' || "Linha" FROM routes_raw WHERE starts_with("NumeroLinha", 'L')
+      UNION ALL SELECT 'linhas', "NumeroLinha" || ',' || "Linha" || ',' || "Nome" || ',' || "NumeroLinha"
+        FROM routes_raw WHERE "Nome" = 'Zona repetida')
+    SELECT table_name, record, CAST(count(*) AS BIGINT) AS n FROM bad GROUP BY ALL
+    UNION ALL SELECT 'gps', NULL, CAST(count(*) FILTER (WHERE starts_with(value, '_id') OR strpos(value, ',') > 0) AS BIGINT) FROM gps_raw
+    UNION ALL SELECT 'linhas', NULL, CAST(count(*) AS BIGINT) FROM routes_raw
+    UNION ALL SELECT 'mco', NULL, CAST(count(*) AS BIGINT) FROM trips_raw
+    """,
+    "gps_raw", "routes_raw", "trips_raw",
+)
+
+_TYPES = {
+    "silver.gps": {
+        "timestamp_gps": "timestamp_ntz", "numero_veiculo": "int", "numero_linha": "int", "sentido_viagem": "string",
+        "latitude": "double", "longitude": "double", "velocidade_kmh": "int", "distancia_percorrida": "int",
+        "direcao_graus": "int", "cod_evento": "int", "data_particao": "date", "hora": "int",
+    },
+    "silver.linhas": {c: "int" if c in ("numero_linha", "num_sublinha") else "string" for c in SILVER_ROUTE_COLUMNS},
+    "silver.mco": {
+        "data_viagem": "date", "dh_fechamento": "timestamp_ntz", "extensao_metros": "int", "numero_linha": "int",
+        "catraca_saida": "bigint", "catraca_chegada": "bigint", "ts_saida": "timestamp_ntz", "ts_chegada": "timestamp_ntz",
+        "duracao_viagem_minutos": "double", "nome_consorcio": "string", "desc_tipo_viagem": "string",
+        "teve_falha_mecanica": "boolean", "teve_evento_inseguro": "boolean", "ano": "int", "mes": "int",
+        "ocorrencia": "string", "justificativa": "string",
+    },
+}
+
+
+def _drift(table: str, stage: str, actual: dict[str, str | None], unfit: dict[str, str] | None = None) -> str:
+    """Contract rows of a table whose columns have the types of ``actual`` (None: not there; others: extra)."""
+    wanted, rows = _TYPES[table], []
+    show = lambda t: "CAST(NULL AS VARCHAR)" if t is None else f"'{t}'"
+    for c in [*wanted, *[x for x in actual if x not in wanted]]:
+        want = wanted.get(c)
+        found = actual.get(c, want)
+        status = "extra" if c not in wanted else "missing" if found is None else "ok" if want == found else "type"
+        n = (unfit or {}).get(c, "0")
+        rows.append(
+            f"SELECT '{table}' AS table_name, '{stage}' AS stage, '{c}' AS column_name, {show(want)} AS expected_type, "
+            f"{show(found)} AS actual_type, '{status}' AS status, CAST({n} AS BIGINT) AS unfit_rows"
+        )
+    return "\nUNION ALL ".join(rows)
+
+
+_PASSED_ON = {"linha": "string", "sublinha": "string"}
+SQL["schema_drift"] = with_ctes(
+    "\nUNION ALL ".join(
+        [
+            _drift("silver.gps", "final", {}),
+            _drift("silver.linhas", "final", {}),
+            _drift("silver.mco", "final", _PASSED_ON),
+            _drift(
+                "silver.mco",
+                "drifted",
+                {"numero_linha": "string", "catraca_saida": "double", "justificativa": None, **_PASSED_ON, "lote": "int"},
+                {"numero_linha": "(SELECT count(*) FROM silver_trips WHERE numero_linha BETWEEN 0 AND 9)"},
+            ),
+        ]
+    ),
+    "silver_trips",
+)
+
+SQL["gold_policies"] = with_ctes(
+    """
+    , n AS (SELECT count(*) AS facts, count(*) FILTER (WHERE numero_linha IS NULL) AS bad FROM daily_performance)
+    SELECT 'fail' AS policy, true AS failed, CAST(0 AS BIGINT) AS published, CAST(0 AS BIGINT) AS published_without_line,
+           CAST(0 AS BIGINT) AS quarantined
+    UNION ALL SELECT 'warn', false, CAST(facts AS BIGINT), CAST(bad AS BIGINT), CAST(0 AS BIGINT) FROM n
+    UNION ALL SELECT 'quarantine', false, CAST(facts - bad AS BIGINT), CAST(0 AS BIGINT), CAST(bad AS BIGINT) FROM n
+    """,
+    "daily_performance",
+    instead={"trips_raw": FLAWED_TRIPS},
+)
+
+SQL["stamped_files"] = with_ctes(
+    "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) AS BIGINT) AS rows_with_their_file, "
+        f"CAST(count(*) AS BIGINT) AS rows_stamped_in_run FROM {source}"
+        for t, source in (("gps", "gps_raw"), ("linhas", "routes_raw"), ("mco", "trips_raw"))
+    ),
+    "gps_raw", "routes_raw", "trips_raw",
+)
+
+SQL["substitute_sink"] = with_ctes(
+    "\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS observed_rows, CAST(count(*) AS BIGINT) AS rows_in_sink, "
+        f"false AS in_lake FROM {source}"
+        for t, source in (("gps", "silver_pings"), ("mco", "silver_trips"), ("linhas", "silver_routes"))
+    ),
+    "silver_pings", "silver_trips", "silver_routes",
+)

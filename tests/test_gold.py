@@ -57,7 +57,7 @@ def test_aggregate_first_equals_join_first(spark, sf_small):
     brute = (
         t.join(lookup, "numero_linha", "left")
         .filter(F.col("duracao_viagem_minutos") >= 0)
-        .groupBy(*daily.INDICATOR_KEYS)
+        .groupBy("data_viagem", "numero_linha", "nome_consorcio", *[c for c in daily.route_lookup(r).columns if c != "numero_linha"])
         .agg(
             F.count(F.lit(1)).alias("qtd_viagens_realizadas"),
             F.sum(F.col("teve_falha_mecanica").cast("int")).alias("qtd_falhas_mecanicas"),

@@ -1,5 +1,7 @@
 """Sinks and layer runs through a lake on the shared checkpoint folder."""
 
+import pathlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,9 +51,8 @@ def test_gold_not_published_on_violation(spark, sf_small):
     lake.write(QUERIES["silver_routes"](spark, sf_small), "silver", "linhas")
     with pytest.raises(RuleViolation, match="numero_linha_null"):
         layers.run_gold(spark, lake)
-    import os
-
-    assert not os.path.exists(lake.path("gold", layers.GOLD_TABLE))
+    assert not lake.exists(spark, "gold", layers.GOLD_TABLE)
+    assert not list(pathlib.Path(lake.root, "gold").rglob("v=*"))  # the rejected version is gone
     metrics = layers.run_gold(spark, lake, policy="warn")
     assert metrics["numero_linha_null"] == metrics["rows"] > 0
 
@@ -139,7 +140,7 @@ def test_gold_quarantine_policy(spark, sf_small):
     lake.write(QUERIES["silver_routes"](spark, sf_small), "silver", "linhas")
     metrics = layers.run_gold(spark, lake, policy="quarantine")
     published = lake.read(spark, "gold", layers.GOLD_TABLE)
-    quarantined = lake.read(spark, "gold", layers.QUARANTINE_TABLE)
+    quarantined = lake.read_quarantine(spark, "gold", layers.GOLD_TABLE)
     assert quarantined.count() == metrics["numero_linha_null"] > 0
     assert published.filter(F.col("numero_linha").isNull()).count() == 0
     assert published.count() + quarantined.count() == metrics["rows"]
@@ -258,3 +259,93 @@ def test_silver_run_with_options_and_a_substitute_sink(spark, sf_small):
     assert lake.read(spark, "silver", "mco").filter("teve_falha_mecanica").count() == 0
     with pytest.raises(ValueError, match="unknown silver tables"):
         layers.run_silver(spark, lake, options={"buses": {}})
+
+
+def test_a_reader_keeps_its_version_while_another_is_published(spark, sf_small):
+    """Rows of a DataFrame opened before a publish stay as they were; a new reader sees the new table; old versions go."""
+    lake = Lake.on_shared_storage(spark)
+    table = lake.published("gold", "t")
+    readers = []
+    for n in range(4):
+        version = f"v{n}"
+        lake.write(spark.range(n + 1).withColumn("day", F.lit(f"d{n}")), "gold", "t", ["day"], replace="table", path=table.folder(version))
+        if readers:
+            # written, not committed: nobody sees it
+            assert lake.read(spark, "gold", "t").count() == n
+            assert readers[-1].count() == n
+        table.commit(spark, spark.range(1).withColumn("day", F.lit("")).schema, {"": version})
+        table.retire(spark, keep=2)
+        readers.append(lake.read(spark, "gold", "t"))
+        assert readers[-1].count() == n + 1
+        if n:
+            assert readers[-2].count() == n  # the version before is still there
+    assert sorted(p.name for p in pathlib.Path(table.versions).glob("v=*")) == ["v=v2", "v=v3"]
+
+
+def test_gold_run_leaves_versions_and_a_log_alone(spark, sf_small):
+    lake = Lake.on_shared_storage(spark)
+    for name, table in (("silver_trips", "mco"), ("silver_pings", "gps"), ("silver_routes", "linhas")):
+        lake.write(QUERIES[name](spark, sf_small), "silver", table)
+    for _ in range(3):
+        layers.run_gold(spark, lake)
+    names = {p.name for p in pathlib.Path(lake.root, "gold").iterdir()}
+    assert names == {f"{layers.GOLD_TABLE}.versions", f"{layers.GOLD_TABLE}.commits"}
+    assert len(list(pathlib.Path(lake.published("gold", layers.GOLD_TABLE).versions).glob("v=*"))) == 2
+
+
+def test_unknown_formats_are_refused():
+    with pytest.raises(ValueError, match="unknown table format 'delta'"):
+        Lake("/nowhere", "delta")
+
+
+def test_a_load_that_died_is_done_again(spark, monkeypatch):
+    from transitlake.sources.lake import read_lines, write_lines
+    from transitlake.sources.loads import load_new_files, read_loaded
+
+    lake = Lake.on_shared_storage(spark)
+    folder = write_lines(spark.createDataFrame([("a",), ("b",)], "value string").coalesce(1), lake.path("landing", "gps"))
+    write = Lake.write
+
+    def dies(self, df, layer, name, *args, **kwargs):
+        if name.endswith(".loads"):
+            raise RuntimeError("driver lost")
+        return write(self, df, layer, name, *args, **kwargs)
+
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "write", dies)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            load_new_files(spark, lake, "gps", folder, read_lines)
+    assert load_new_files(spark, lake, "gps", folder, read_lines) == {"files": 1, "rows": 2}
+    assert load_new_files(spark, lake, "gps", folder, read_lines) == {"files": 0, "rows": 0}
+    write_lines(spark.createDataFrame([("c",)], "value string").coalesce(1), folder, mode="append")
+    assert load_new_files(spark, lake, "gps", folder, read_lines) == {"files": 1, "rows": 1}
+    assert sorted(r.value for r in read_loaded(spark, lake, "gps").collect()) == ["a", "b", "c"]
+
+
+def test_silver_from_rescued_bronze_is_the_same(spark, sf_small):
+    """Malformed records are set aside in the one bronze write, and silver reads the clean ones alone."""
+    from transitlake.sources.lake import write_delimited
+
+    lake = Lake.on_shared_storage(spark)
+    landing = layers.land(
+        spark, lake, adapters.gps_raw(spark, sf_small), adapters.routes_raw(spark, sf_small), adapters.trips_raw(spark, sf_small)
+    )
+    write_delimited(adapters.short_routes_raw(spark, sf_small), landing.routes, ",", mode="append")
+    layers.run_bronze(spark, lake, landing, rescue=True)
+    layers.run_silver(spark, lake)
+    for name, table in (("silver_pings", "gps"), ("silver_routes", "linhas"), ("silver_trips", "mco")):
+        ok, msg = compare(lake.read(spark, "silver", table), duck(sf_small), SQL[name])
+        assert ok, (table, msg)
+    bad = lake.read_quarantine(spark, "bronze", "linhas")
+    assert bad.count() == adapters.short_routes_raw(spark, sf_small).count() and bad.filter("_rescued IS NULL").count() == 0
+
+
+def test_contract_types(spark):
+    from transitlake.operators import Contract, ContractError, check_types, schema_drift
+
+    df = spark.createDataFrame([(1, "x")], "a int, b string")
+    contract = Contract("t", "final", ["a", "b", "c"], types={"a": "int", "b": "int"})
+    assert schema_drift(df, contract) == [("a", "int", "int", "ok"), ("b", "int", "string", "type"), ("c", None, None, "missing")]
+    with pytest.raises(ContractError, match="b \\(string, expected int\\), c \\(missing"):
+        check_types(df, contract)
+    assert check_types(df.select("a"), Contract("t", "final", ["a"], types={"a": "int"})).columns == ["a"]

@@ -10,12 +10,15 @@ what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from transitlake.operators import (
+    RuleViolation,
     contract_report,
+    drift_report,
     drop_columns,
     duplicate_profile,
     normalize_names,
@@ -212,6 +215,94 @@ def contract_checks(spark, d):
     return out
 
 
+def schema_drift(spark, d):
+    """Contracts with types against silver tables as built, and against trips as another
+    producer sends them, with the values that the drift would lose."""
+    silver = _silver_trips(spark, d)
+    reports = [
+        drift_report(_silver_pings(spark, d), pings.SILVER_PINGS),
+        drift_report(_silver_routes(spark, d), routes.SILVER_ROUTES),
+        drift_report(silver, trips.SILVER_TRIPS),
+        drift_report(adapters.drifted_trips(silver), replace(trips.SILVER_TRIPS, stage="drifted")),
+    ]
+    out = reports[0]
+    for r in reports[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def gold_policies(spark, d):
+    """The gold run over trips without line ids, under each policy in turn: whether it
+    failed, and what readers of the table and of the quarantine find afterwards."""
+    lake = Lake.on_shared_storage(spark)
+    lake.write(trips.silver_trips(adapters.flawed_trips_raw(spark, d)), "silver", "mco")
+    lake.write(_silver_pings(spark, d), "silver", "gps")
+    lake.write(_silver_routes(spark, d), "silver", "linhas")
+    out = None
+    for policy in ("fail", "warn", "quarantine"):
+        failed = False
+        try:
+            layers.run_gold(spark, lake, policy)
+        except RuleViolation:
+            failed = True
+        there = lake.exists(spark, "gold", layers.GOLD_TABLE)
+        facts = lake.read(spark, "gold", layers.GOLD_TABLE) if there else _daily(spark, d).limit(0)
+        bad = lake.read_quarantine(spark, "gold", layers.GOLD_TABLE) if there else facts.limit(0)
+        line, side = F.col("numero_linha"), F.col("side")
+        both = facts.select(line, F.lit("table").alias("side")).unionByName(bad.select(line, F.lit("quarantine").alias("side")))
+        one = both.agg(
+            F.lit(policy).alias("policy"),
+            F.lit(failed).alias("failed"),
+            F.count_if(side == "table").alias("published"),
+            F.count_if((side == "table") & line.isNull()).alias("published_without_line"),
+            F.count_if(side == "quarantine").alias("quarantined"),
+        )
+        # each policy's counts before the next one publishes
+        name = f"_policy_{policy}"
+        lake.write(one, "silver", name)
+        one = lake.read(spark, "silver", name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def stamped_files(spark, d):
+    """Bronze rows stamped with the file that each came from: rows of each table, those
+    whose file lies in its landing folder, and those stamped while the run lasted."""
+    lake, landing = _landing(spark, d)
+    out = None
+    for t, df in layers.bronze_frames(spark, landing).items():
+        began = F.lit(spark.sql("SELECT current_timestamp() AS t").first()["t"])
+        lake.write(stamp_ingestion(df, None), "bronze", t)
+        ended = F.lit(spark.sql("SELECT current_timestamp() AS t").first()["t"])
+        one = lake.read(spark, "bronze", t).agg(
+            F.lit(t).alias("table_name"),
+            F.count(F.lit(1)).alias("rows"),
+            F.count_if(F.col("_source_file").contains(f"/landing/{t}/part-")).alias("rows_with_their_file"),
+            F.count_if(F.col("_ingestion_timestamp").between(began, ended)).alias("rows_stamped_in_run"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def substitute_sink(spark, d):
+    """The silver run with another sink (a lake of ORC tables): observed rows, and the
+    rows found in that sink and in the lake itself."""
+    lake, landing = _landing(spark, d)
+    layers.run_bronze(spark, lake, landing)
+    other = Lake.on_shared_storage(spark, "orc")
+    observed = layers.run_silver(spark, lake, sink=other.write)
+    out = None
+    for t, n in observed.items():
+        one = other.read(spark, "silver", t).agg(
+            F.lit(t).alias("table_name"),
+            F.lit(n).cast("bigint").alias("observed_rows"),
+            F.count(F.lit(1)).alias("rows_in_sink"),
+            F.lit(lake.exists(spark, "silver", t)).alias("in_lake"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def routes_table_profile(spark, d):
     return profile_table(_silver_routes(spark, d), "silver", "linhas")
 
@@ -287,16 +378,71 @@ def mixed_bronze_gps(spark, d):
 
 def streamed_silver_pings(spark, d):
     """GPS dump files streamed into bronze, then bronze streamed into silver
-    pings micro-batch by micro-batch (each batch merged into the touched
-    days); the silver table read back.  Must equal the batch build."""
+    pings: each micro-batch is appended, all are compacted at the end; the live table
+    read back.  Must equal the batch build."""
+    from transitlake.plans.live import read_live_pings
     from transitlake.sources.lake import write_lines
     from transitlake.streaming import ingest_gps_incrementally, update_silver_pings
 
     lake = Lake.on_shared_storage(spark)
     landing = write_lines(adapters.gps_raw(spark, d), lake.path("landing", "gps"))
     ingest_gps_incrementally(spark, landing, lake, max_files_per_trigger=4)
-    update_silver_pings(spark, lake, max_files_per_trigger=8)
-    return project(lake.read(spark, "silver", "gps"), pings.SILVER_PINGS.columns)
+    update_silver_pings(spark, lake, compact=True, max_files_per_trigger=8)
+    return read_live_pings(spark, lake)
+
+
+def live_silver_pings(spark, d):
+    """Half of the dump streamed and compacted, then the other half streamed: the live
+    table read over its base and the later batches, which share vehicles and days."""
+    from transitlake.plans.live import read_live_pings
+    from transitlake.sources.lake import write_lines
+    from transitlake.streaming import ingest_gps_incrementally, update_silver_pings
+
+    lake = Lake.on_shared_storage(spark)
+    raw, half = adapters.gps_raw(spark, d), F.crc32(F.col("value").cast("binary")) % 2
+    for part, compact in ((0, True), (1, False)):
+        landing = write_lines(raw.filter(half == part), lake.path("landing", "gps"), mode="append")
+        ingest_gps_incrementally(spark, landing, lake)
+        update_silver_pings(spark, lake, compact=compact)
+    return read_live_pings(spark, lake)
+
+
+def incremental_bronze_pings(spark, d):
+    """Dump files loaded by batch as they arrive: half of the files, the other half, and
+    a third time nothing; bronze lines with the run that loaded them, and each run's count."""
+    from transitlake.sources.lake import read_lines, write_lines
+    from transitlake.sources.loads import load_new_files, read_loaded
+
+    lake = Lake.on_shared_storage(spark)
+    raw, folder = adapters.gps_raw(spark, d), lake.path("landing", "gps")
+    runs = []
+    for run, part in enumerate((0, 1, None)):
+        if part is not None:
+            write_lines(raw.filter(F.crc32(F.col("value").cast("binary")) % 2 == part), f"{folder}/arrival={part}")
+        runs.append((run, load_new_files(spark, lake, "gps", folder, read_lines)["rows"]))
+    counted = spark.createDataFrame(runs, "run int, loaded bigint").select(F.lit(None).cast("string").alias("value"), "run", "loaded")
+    arrived = F.regexp_extract("_source_file", "arrival=([0-9])", 1).cast("int")
+    lines = read_loaded(spark, lake, "gps").select("value", arrived.alias("run"), F.lit(1).cast("bigint").alias("loaded"))
+    return lines.unionByName(counted)
+
+
+def malformed_records(spark, d):
+    """Landing files with broken records, loaded with rescue: each quarantined record, and
+    how many clean ones each table holds."""
+    from transitlake.sources.lake import RESCUED, write_delimited, write_lines
+
+    lake, landing = _landing(spark, d)
+    write_lines(adapters.broken_pings_raw(spark, d), landing.pings, mode="append")
+    for bad in (adapters.short_routes_raw, adapters.long_routes_raw):
+        write_delimited(bad(spark, d), landing.routes, ",", mode="append")
+    layers.run_bronze(spark, lake, landing, rescue=True)
+    out = None
+    for t in ("gps", "linhas", "mco"):
+        kept = lake.read(spark, "bronze", t).agg(F.lit(None).cast("string").alias("record"), F.count(F.lit(1)).alias("n"))
+        bad = lake.read_quarantine(spark, "bronze", t).groupBy(F.col(RESCUED).alias("record")).agg(F.count(F.lit(1)).alias("n"))
+        one = kept.unionByName(bad).select(F.lit(t).alias("table_name"), "record", "n")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # Day from which the partition-overwrite query re-writes the ping table.
@@ -395,6 +541,13 @@ QUERIES: dict[str, Query] = {
     "streamed_bronze_gps": streamed_bronze_gps,
     "mixed_bronze_gps": mixed_bronze_gps,
     "streamed_silver_pings": streamed_silver_pings,
+    "live_silver_pings": live_silver_pings,
+    "incremental_bronze_pings": incremental_bronze_pings,
+    "malformed_records": malformed_records,
+    "schema_drift": schema_drift,
+    "gold_policies": gold_policies,
+    "stamped_files": stamped_files,
+    "substitute_sink": substitute_sink,
     "partitioned_overwrite": partitioned_overwrite,
     "partitioned_overwrite_orc": lambda spark, d: partitioned_overwrite(spark, d, "orc"),
     "observed_silver_counts": observed_silver_counts,

@@ -1,6 +1,14 @@
 """DataFrame -> DataFrame operators: framing, contracts, quality."""
 
-from transitlake.operators.contracts import Contract, ContractError, contract_report, require_columns
+from transitlake.operators.contracts import (
+    Contract,
+    ContractError,
+    check_types,
+    contract_report,
+    drift_report,
+    require_columns,
+    schema_drift,
+)
 from transitlake.operators.frames import (
     dedup_by_key,
     drop_columns,
@@ -24,9 +32,11 @@ __all__ = [
     "Contract",
     "ContractError",
     "RuleViolation",
+    "check_types",
     "contract_report",
     "dedup_by_key",
     "drop_columns",
+    "drift_report",
     "duplicate_profile",
     "enforce",
     "in_range",
@@ -38,5 +48,6 @@ __all__ = [
     "quoted",
     "require_columns",
     "rule_report",
+    "schema_drift",
     "stamp_ingestion",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -29,6 +29,8 @@ class Contract:
     columns: Sequence[str]
     open: bool = False
     partition_by: Sequence[str] = field(default_factory=tuple)
+    # types by column, where the contract states them (DDL names such as ``int``)
+    types: Mapping[str, str] = field(default_factory=dict)
 
     def missing(self, df: DataFrame) -> list[str]:
         present = set(df.columns)
@@ -75,3 +77,53 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     return counts.select(
         F.lit(contract.table).alias("table_name"), F.lit(contract.stage).alias("stage"), F.inline("counted")
     )
+
+
+def schema_drift(df: DataFrame, contract: Contract) -> list[tuple[str, str | None, str | None, str]]:
+    """How the schema differs from the contract, at plan time: (column, expected type, type, status).
+
+    Status is ``ok``, ``missing``, ``type`` (another type than stated) or ``extra``
+    (not in the contract; for open contracts that is allowed, and still told).
+    """
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    out = []
+    for c in contract.columns:
+        wanted, found = contract.types.get(c), actual.get(c)
+        out.append((c, wanted, found, "missing" if found is None else "type" if wanted not in (None, found) else "ok"))
+    return out + [(c, None, t, "extra") for c, t in actual.items() if c not in set(contract.columns)]
+
+
+def drift_report(df: DataFrame, contract: Contract) -> DataFrame:
+    """:func:`schema_drift` as rows, with what the drift costs: ``(table_name, stage,
+    column_name, expected_type, actual_type, status, unfit_rows)``.
+
+    ``unfit_rows`` counts the values of a column of another type that the stated
+    type cannot hold (non-NULL, but NULL after the cast); one aggregate for all.
+    """
+    drift = schema_drift(df, contract)
+
+    def unfit(name, wanted, status):
+        if status != "type":
+            return F.lit(0).cast("bigint")
+        return F.count_if(quoted(name).isNotNull() & quoted(name).try_cast(wanted).isNull())
+
+    entries = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(wanted).cast("string").alias("expected_type"),
+            F.lit(found).cast("string").alias("actual_type"),
+            F.lit(status).alias("status"),
+            unfit(name, wanted, status).alias("unfit_rows"),
+        )
+        for name, wanted, found, status in drift
+    ]
+    counts = df.agg(F.count(F.lit(1)).alias("rows"), F.array(*entries).alias("entries"))
+    return counts.select(F.lit(contract.table).alias("table_name"), F.lit(contract.stage).alias("stage"), F.inline("entries"))
+
+
+def check_types(df: DataFrame, contract: Contract) -> DataFrame:
+    """Raise :class:`ContractError` if a column lacks or has another type than stated (no job)."""
+    wrong = [f"{c} ({found or 'missing'}, expected {wanted or 'any type'})" for c, wanted, found, status in schema_drift(df, contract) if status in ("missing", "type")]
+    if wrong:
+        raise ContractError(f"{contract.table}: schema drift at {contract.stage}: {', '.join(wrong)}")
+    return df

@@ -3,9 +3,10 @@
 Layers talk only through tables in the lake, so every layer boundary also
 cuts the lineage: a lost executor re-runs tasks of the current layer
 only.  Row counts ride on the writes as ``Observation`` metrics instead of
-extra ``count()`` jobs.  Gold is first written to a staging table; its
-rule counts are observed during that single write, and only a clean
-result is copied (a small, aggregate-sized table) to the published path.
+extra ``count()`` jobs.  Gold is written once, as a version of its own; its
+rule counts are observed during that single write, and only then is the
+version committed (:mod:`transitlake.sources.published`), so readers never see
+half a table and a rejected one not at all.
 """
 
 from __future__ import annotations
@@ -20,10 +21,14 @@ from pyspark.sql import functions as F
 
 from transitlake.operators import RuleViolation, profile_table, rule_report
 from transitlake.plans.daily import GOLD_FACT, daily_performance, gold_rules
-from transitlake.plans.pings import SILVER_PINGS, silver_pings
+from transitlake.plans.live import read_live_pings
+from transitlake.plans.pings import HEADER_PREFIX, SILVER_PINGS, silver_pings
 from transitlake.plans.routes import SILVER_ROUTES, silver_routes
 from transitlake.plans.trips import SILVER_TRIPS, silver_trips
 from transitlake.sources.lake import (
+    CLEAN,
+    RESCUED,
+    VERDICT,
     Lake,
     read_delimited,
     read_lines,
@@ -99,14 +104,41 @@ def _run_tables(jobs: dict, parallel: bool) -> dict:
         return {table: f.result() for table, f in futures.items()}
 
 
-def run_bronze(spark: SparkSession, lake: Lake, landing: LandingFiles, parallel: bool = True) -> dict[str, int]:
-    """Stamp and store the raw files as Parquet; returns rows written."""
+MALFORMED = "malformed"
+
+
+def bronze_verdicts(spark: SparkSession, landing: LandingFiles) -> dict[str, DataFrame]:
+    """Raw files with a verdict on each record: a GPS line without the separator that
+    parsing needs, or a CSV record that does not fit its header, is malformed and
+    kept whole in ``_rescued``."""
+    line = F.col("value")
+    broken = ~line.startswith(HEADER_PREFIX) & ~line.contains(",")
+    lines = read_lines(spark, landing.pings).withColumn(RESCUED, F.when(broken, line))
+    raw = {
+        "gps": lines,
+        "linhas": read_delimited(spark, landing.routes, ",", rescue=True),
+        "mco": read_delimited(spark, landing.trips, ";", rescue=True),
+    }
+    verdict = F.when(F.col(RESCUED).isNull(), F.lit(CLEAN)).otherwise(F.lit(MALFORMED))
+    return {table: df.withColumn(VERDICT, verdict) for table, df in raw.items()}
+
+
+def run_bronze(
+    spark: SparkSession, lake: Lake, landing: LandingFiles, parallel: bool = True, rescue: bool = False
+) -> dict[str, int]:
+    """Stamp and store the raw files as Parquet; returns rows written.
+
+    With ``rescue``, malformed records are told apart in the same write: readers
+    of the table get the clean ones, :meth:`Lake.read_quarantine` the others.
+    """
     from transitlake.operators import stamp_ingestion
 
+    frames = bronze_verdicts(spark, landing) if rescue else bronze_frames(spark, landing)
+
     def job(table, df):
-        return lambda: _observed_write(lake, stamp_ingestion(df, table), "bronze", table)
+        return lambda: _observed_write(lake, stamp_ingestion(df, table), "bronze", table, [VERDICT] if rescue else ())
 
-    return _run_tables({t: job(t, df) for t, df in bronze_frames(spark, landing).items()}, parallel)
+    return _run_tables({t: job(t, df) for t, df in frames.items()}, parallel)
 
 
 def run_silver(
@@ -136,49 +168,52 @@ def run_silver(
     return _run_tables({t: job(t, *SILVER_TABLES[t]) for t in wanted}, parallel)
 
 
-QUARANTINE_TABLE = f"_quarantine_{GOLD_TABLE}"
+VIOLATING = "violating"
 
 
-def run_gold(spark: SparkSession, lake: Lake, policy: str = "fail", **options) -> dict[str, int]:
+def run_gold(
+    spark: SparkSession, lake: Lake, policy: str = "fail", live_pings: bool = False, keep_versions: int = 2, **options
+) -> dict[str, int]:
     """Silver -> gold fact table, validated before it is published.
 
-    ``options`` go to :func:`daily_performance` (``line_key``, ``gps_match``).
+    ``options`` go to :func:`daily_performance` (``line_key``, ``gps_match``);
+    ``live_pings`` takes the pings that the stream keeps up to date.
 
     The rule counts (NULL day, NULL line, negative metric) are observed on
-    the one heavy write into a staging table.  Policies on a violation:
-    ``"fail"`` raises and publishes nothing; ``"warn"`` publishes all rows;
-    ``"quarantine"`` publishes the clean rows and writes the violating ones
-    to ``gold/_quarantine_fato_performance_diaria``.
+    the one write, which goes to a new version of the table.  Policies on a
+    violation: ``"fail"`` raises and publishes nothing; ``"warn"`` publishes
+    all rows; ``"quarantine"`` writes a verdict with each row, as the first
+    partition level, so that readers of the table get the clean rows and
+    ``lake.read_quarantine`` the violating ones, from one write.
     """
     if policy not in ("fail", "warn", "quarantine"):
         raise ValueError(f"unknown policy {policy!r}")
     fact = daily_performance(
-        lake.read(spark, "silver", "gps"),
+        read_live_pings(spark, lake) if live_pings else lake.read(spark, "silver", "gps"),
         lake.read(spark, "silver", "linhas"),
         lake.read(spark, "silver", "mco"),
         **options,
-    )
+    ).select(*GOLD_FACT.columns)
     rules = gold_rules(fact)
+    partition_by = list(GOLD_FACT.partition_by)
+    if policy == "quarantine":
+        hit = F.greatest(*[F.coalesce(p, F.lit(False)) for p in rules.values()])
+        fact = fact.withColumn(VERDICT, F.when(hit, F.lit(VIOLATING)).otherwise(F.lit(CLEAN)))
+        partition_by = [VERDICT, *partition_by]
     obs = Observation(f"gold.{uuid.uuid4().hex[:8]}")
     counts = [F.count(F.lit(1)).alias("rows")] + [F.count_if(p).alias(n) for n, p in rules.items()]
-    staging = f"_staging_{GOLD_TABLE}"
-    lake.write(fact, "gold", staging, GOLD_FACT.partition_by, replace="table", observation=obs, metrics=counts)
+    table, version = lake.published("gold", GOLD_TABLE), uuid.uuid4().hex
+    lake.write(
+        fact, "gold", GOLD_TABLE, partition_by, replace="table", observation=obs, metrics=counts, path=table.folder(version)
+    )
     metrics = {k: int(v) for k, v in obs.get.items()}
     broken = [(name, metrics[name]) for name in rules if metrics[name] > 0]
     if broken and policy == "fail":
+        table.discard(spark, version)
         name, n = broken[0]
         raise RuleViolation(f"rule {name!r} failed on {n} rows; gold not published")
-    staged = lake.read(spark, "gold", staging, schema=fact.schema).select(*GOLD_FACT.columns)
-    if policy == "quarantine":
-        # also without violations: rows of an earlier run must not stay behind
-        staged_rules = gold_rules(staged)
-        violating = None
-        for pred in staged_rules.values():
-            hit = F.coalesce(pred, F.lit(False))
-            violating = hit if violating is None else (violating | hit)
-        lake.write(staged.filter(violating), "gold", QUARANTINE_TABLE, replace="table")
-        staged = staged.filter(~violating)
-    lake.write(staged, "gold", GOLD_TABLE, GOLD_FACT.partition_by, replace="table")
+    table.commit(spark, fact.schema, {"": version})
+    table.retire(spark, keep_versions)
     return metrics
 
 

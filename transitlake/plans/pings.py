@@ -31,6 +31,7 @@ GPS_TIME_PATTERN = "yyyyMMddHHmmss"
 HEADER_PREFIX = "_id"
 
 PING_KEY = ["numero_veiculo", "timestamp_gps"]
+# Columns of the silver table, in their published order.
 SILVER_PINGS = Contract(
     table="silver.gps",
     stage="final",
@@ -40,6 +41,11 @@ SILVER_PINGS = Contract(
         "direcao_graus", "cod_evento", "data_particao", "hora",
     ],
     partition_by=("data_particao",),
+    types={
+        "timestamp_gps": "timestamp_ntz", "numero_veiculo": "int", "numero_linha": "int", "sentido_viagem": "string",
+        "latitude": "double", "longitude": "double", "velocidade_kmh": "int", "distancia_percorrida": "int",
+        "direcao_graus": "int", "cod_evento": "int", "data_particao": "date", "hora": "int",
+    },
 )
 
 
@@ -67,27 +73,25 @@ def parse_ping_lines(
     return parsed.filter(F.col(fields[0]).isNotNull())
 
 
+# Typed column: its dump field and the parser.
+PING_PARSERS = {
+    "numero_veiculo": ("NV", lenient_int),
+    "cod_evento": ("EV", lenient_int),
+    "latitude": ("LT", lenient_double),
+    "longitude": ("LG", lenient_double),
+    "velocidade_kmh": ("VL", lenient_int),
+    "numero_linha": ("NL", lenient_int),
+    "direcao_graus": ("DG", lenient_int),
+    "distancia_percorrida": ("DT", lenient_int),
+    "sentido_viagem": ("SV", lambda c: map_codes(c, DIRECTION_LABELS, DIRECTION_DEFAULT)),
+}
+
+
 def type_pings(df: DataFrame, time_pattern: str = GPS_TIME_PATTERN) -> DataFrame:
     """Typed ping columns from the text fields (malformed -> NULL)."""
-    ts = parse_wallclock("HR", time_pattern)
-    return df.withColumns(
-        {
-            "numero_veiculo": lenient_int("NV"),
-            "cod_evento": lenient_int("EV"),
-            "latitude": lenient_double("LT"),
-            "longitude": lenient_double("LG"),
-            "velocidade_kmh": lenient_int("VL"),
-            "numero_linha": lenient_int("NL"),
-            "direcao_graus": lenient_int("DG"),
-            "distancia_percorrida": lenient_int("DT"),
-            "sentido_viagem": map_codes("SV", DIRECTION_LABELS, DIRECTION_DEFAULT),
-            "timestamp_gps": ts,
-        }
-    ).withColumns(
-        {
-            "data_particao": F.to_date("timestamp_gps"),
-            "hora": F.hour("timestamp_gps"),
-        }
+    typed = {name: parse(source) for name, (source, parse) in PING_PARSERS.items()}
+    return df.withColumns(typed | {"timestamp_gps": parse_wallclock("HR", time_pattern)}).withColumns(
+        {"data_particao": F.to_date("timestamp_gps"), "hora": F.hour("timestamp_gps")}
     )
 
 

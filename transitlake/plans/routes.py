@@ -20,6 +20,10 @@ SILVER_ROUTES = Contract(
         "numero_linha", "cod_linha_publico", "num_sublinha", "nome_bruto",
         "bairro_origem", "bairro_destino", "desc_variacao",
     ],
+    types={
+        "numero_linha": "int", "cod_linha_publico": "string", "num_sublinha": "int", "nome_bruto": "string",
+        "bairro_origem": "string", "bairro_destino": "string", "desc_variacao": "string",
+    },
 )
 
 

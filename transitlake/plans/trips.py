@@ -66,6 +66,13 @@ SILVER_TRIPS = Contract(
     ],
     open=True,
     partition_by=("ano", "mes"),
+    types={
+        "data_viagem": "date", "dh_fechamento": "timestamp_ntz", "extensao_metros": "int", "numero_linha": "int",
+        "catraca_saida": "bigint", "catraca_chegada": "bigint", "ts_saida": "timestamp_ntz", "ts_chegada": "timestamp_ntz",
+        "duracao_viagem_minutos": "double", "nome_consorcio": "string", "desc_tipo_viagem": "string",
+        "teve_falha_mecanica": "boolean", "teve_evento_inseguro": "boolean", "ano": "int", "mes": "int",
+        "ocorrencia": "string", "justificativa": "string",
+    },
 )
 
 # Typed column: its text column and the parser.  The numbers are parsed apart

@@ -51,8 +51,7 @@ TRIP_HEADERS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns=None) -> DataFrame:
-    """A warehouse table (optionally pruned to ``columns``), spread over the
-    session's cores when the file is a single split."""
+    """A warehouse table, optionally pruned to ``columns``."""
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     if columns is not None:
         df = df.select(*columns)
@@ -198,3 +197,31 @@ def sn_trips_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips_raw(spark, sf_dir).withColumns(
         {c: F.when(F.col(c) == "1", F.lit("S")).when(F.col(c) == "0", F.lit("N")).otherwise(F.col(c)) for c in flags}
     )
+
+
+def broken_pings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dump lines that lost their separator, one for every hundredth event."""
+    eid = F.col("event_id")
+    return table(spark, sf_dir, "events", ["event_id"]).filter(eid % 100 == 7).select(F.concat(F.lit("lost "), _s(eid)).alias("value"))
+
+
+def short_routes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route records that lack their name (two fields)."""
+    return routes_raw(spark, sf_dir).filter(F.col("NumeroLinha").startswith("L")).select("NumeroLinha", "Linha")
+
+
+def long_routes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Route records with a field too many (four fields)."""
+    return routes_raw(spark, sf_dir).filter(F.col("Nome") == "Zona repetida").withColumn("Extra", F.col("NumeroLinha"))
+
+
+def drifted_trips(silver: DataFrame) -> DataFrame:
+    """Silver trips as another producer might send them: the line as text (of lines 1 to 9 with an
+    ``L``), the odometer as floating point, no justification and a new column."""
+    line = _s(F.col("numero_linha"))
+    return (
+        silver.withColumn("numero_linha", F.when(F.length(line) == 1, F.concat(F.lit("L"), line)).otherwise(line))
+        .withColumn("catraca_saida", F.col("catraca_saida").cast("double"))
+        .withColumn("lote", F.lit(1))
+        .drop("justificativa")
+    )

@@ -20,10 +20,19 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+from transitlake.sources.published import Published
 
 LAYERS = ("bronze", "silver", "gold")
 
+# Table formats of silver and gold (bronze is always Parquet).
+FORMATS = ("parquet", "orc")
+
+# Partition column of tables whose clean and faulty rows are written at once.
+VERDICT = "_verdict"
+CLEAN = "clean"
+
 # Bronze table of the GPS stream.  Its file sink keeps a log of its own that
 # hides other writers' files, so batch loads go to another table ("gps").
 STREAMED_GPS = "gps_stream"
@@ -84,13 +93,17 @@ def shared_root(spark: SparkSession, name: str = "transitlake") -> str:
 class Lake:
     """Medallion lake rooted at ``root``; ``fmt`` is the table format.
 
-    Parquet is the default; ``"delta"`` works when its package is on the
-    session's classpath (the lake only passes the name through).
+    Any of ``FORMATS``; others (table formats with a transaction log of their
+    own) are refused, as their overwrite options differ.
     """
 
     root: str
     fmt: str = "parquet"
 
+    def __post_init__(self):
+        if self.fmt not in FORMATS:
+            raise ValueError(f"unknown table format {self.fmt!r}, use one of {', '.join(FORMATS)}")
+
     @classmethod
     def on_shared_storage(cls, spark: SparkSession, fmt: str = "parquet") -> "Lake":
         return cls(shared_root(spark), fmt)
@@ -114,8 +127,36 @@ class Lake:
                 return False
             raise
 
+    def published(self, layer: str, table: str) -> Published:
+        """The table as versions and commits (see :mod:`transitlake.sources.published`)."""
+        return Published(self.path(layer, table), "parquet" if layer == "bronze" else self.fmt)
+
     def read(self, spark: SparkSession, layer: str, table: str, schema=None) -> DataFrame:
-        """Read a table.
+        """Read a table: its newest commit if it is published, else its folder.
+
+        Of a table written with verdicts only the clean rows, without the verdict.
+        """
+        rows = self._stored(spark, layer, table, schema)
+        if VERDICT in rows.columns:
+            rows = rows.filter(F.col(VERDICT) == CLEAN).drop(VERDICT, RESCUED)
+        return rows
+
+    def read_quarantine(self, spark: SparkSession, layer: str, table: str) -> DataFrame:
+        """The faulty rows of a table written with verdicts, with the verdict."""
+        rows = self._stored(spark, layer, table)
+        if VERDICT not in rows.columns:
+            return rows.withColumn(VERDICT, F.lit(None).cast("string")).limit(0)
+        return rows.filter(F.col(VERDICT) != CLEAN)
+
+    def _stored(self, spark: SparkSession, layer: str, table: str, schema=None) -> DataFrame:
+        if layer in ("silver", "gold"):
+            current = self.published(layer, table).read(spark)
+            if current is not None:
+                return current
+        return self._folder(spark, layer, table, schema)
+
+    def _folder(self, spark: SparkSession, layer: str, table: str, schema=None) -> DataFrame:
+        """A table in its plain folder.
 
         An empty partitioned table has no data files to infer a schema from;
         it is then read with the schema stored next to it at write time (or
@@ -168,8 +209,9 @@ class Lake:
         replace: str = "partitions",
         observation=None,
         metrics: Sequence = (),
+        path: str | None = None,
     ) -> str:
-        """Write a table; returns its path.
+        """Write a table; returns its path (``path``: another folder than the table's own).
 
         Partitioned writes are rebalanced on the partition columns first
         (``REBALANCE`` hint): AQE then sizes the write tasks, splitting a
@@ -203,10 +245,7 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
             # for every format: without it an overwrite drops the untouched partitions
             writer = writer.option("partitionOverwriteMode", "dynamic" if replace == "partitions" else "static")
-        if fmt == "delta" and not (partition_by and replace == "partitions"):
-            # a schema can only be replaced together with the whole table
-            writer = writer.option("overwriteSchema", "true")
-        out = self.path(layer, table)
+        out = path or self.path(layer, table)
         writer.save(out)
         if written is not None and int(written.get["rows"]) == 0:
             # A partitioned table written empty has no files to infer a schema
@@ -216,16 +255,30 @@ class Lake:
         return out
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Line-oriented text scan: one ``value`` string per line."""
+def read_lines(spark: SparkSession, path) -> DataFrame:
+    """Line-oriented text scan: one ``value`` string per line (``path``: one or a list)."""
     return spark.read.text(path)
 
 
+# Column with the whole text of a record that does not fit its header.
+RESCUED = "_rescued"
+
+
 def read_delimited(
-    spark: SparkSession, path: str, sep: str = ",", header: bool = True, schema=None
+    spark: SparkSession, path, sep: str = ",", header: bool = True, schema=None, rescue: bool = False
 ) -> DataFrame:
-    """Header CSV with every column read as text (no inference pass)."""
+    """Header CSV with every column read as text (no inference pass).
+
+    With ``rescue`` there is one more column, ``_rescued``: the text of a
+    record that has fewer or more fields than the header or broken quotes, else
+    NULL.  The header then comes from the first file (or ``schema``).
+    """
     reader = spark.read.option("header", header).option("sep", sep)
+    if rescue:
+        if schema is None:
+            schema = StructType([StructField(c, StringType()) for c in reader.csv(path).columns])
+        schema = StructType([*schema.fields, StructField(RESCUED, StringType())])
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RESCUED)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)

@@ -1,115 +1,49 @@
-"""Incremental silver pings over the bronze stream.
+"""Silver pings over the bronze stream, appended batch by batch.
 
-The batch build (:func:`transitlake.plans.pings.silver_pings`) rebuilds the
-whole table.  Here each micro-batch of new bronze lines is folded into the
-existing table instead:
-
-1. the batch is parsed, typed and de-duplicated on its own and staged;
-2. only the day partitions the batch touches are read back from silver:
-   the batch's distinct day values (a handful of calendar days, not data)
-   become a partition filter, so the scan lists and reads those partitions
-   only;
-3. batch and touched rows are de-duplicated together and those day
-   partitions are overwritten (dynamic partition overwrite).
-
-The survivor rule is a ``min`` over the non-key columns, which is
-associative, commutative and idempotent, so the table after any sequence
-of batches equals the batch build over all lines, and a batch that is
-replayed after a failure changes nothing.  The overwrite of step 3 is not
-atomic, so the merged days are staged first and marked as pending until they
-are published; after a crash the next batch publishes them again before it
-reads silver.
+Each micro-batch of new bronze lines is appended to the live silver table
+(:mod:`transitlake.plans.live`) under its number in the stream, which a replayed
+batch keeps; :func:`update_silver_pings` can compact the table afterwards.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from transitlake.operators import dedup_by_key, project
-from transitlake.plans.pings import PING_KEY, SILVER_PINGS, silver_pings
+from transitlake.plans.live import LIVE_PINGS, append_pings, compact_pings
 from transitlake.sources.lake import STREAMED_GPS, Lake
 
 BRONZE_GPS_SCHEMA = "value string, _ingestion_timestamp timestamp, _source_file string"
 
 
-PENDING_SCHEMA = "pending boolean"
-
-
-def _mark(spark: SparkSession, lake: Lake, table: str, pending: bool) -> None:
-    marker = spark.createDataFrame([(pending,)], PENDING_SCHEMA)
-    lake.write(marker, "silver", f"_pending_{table}", replace="table")
-
-
-def _is_pending(spark: SparkSession, lake: Lake, table: str) -> bool:
-    """Whether a staged merge may not have been published (no marker, or one cut short: no)."""
-    try:
-        marker = lake.read(spark, "silver", f"_pending_{table}", schema=PENDING_SCHEMA)
-    except AnalysisException as e:
-        if not (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-            raise
-        return False
-    return marker.filter("pending").count() > 0
-
-
-def _publish(spark: SparkSession, lake: Lake, table: str, schema) -> None:
-    """Replace the staged days in ``silver/<table>``, then lift the mark."""
-    staged = project(lake.read(spark, "silver", f"_merged_{table}", schema=schema), SILVER_PINGS.columns)
-    lake.write(staged, "silver", table, SILVER_PINGS.partition_by, replace="partitions")
-    _mark(spark, lake, table, False)
-
-
-def merge_ping_batch(spark: SparkSession, lake: Lake, batch: DataFrame, table: str = "gps") -> None:
-    """Fold one batch of bronze GPS lines into ``silver/<table>``."""
-    day = SILVER_PINGS.partition_by[0]
-    incoming_name, merged_name = f"_incoming_{table}", f"_merged_{table}"
-    built = silver_pings(batch)
-    if _is_pending(spark, lake, table):
-        _publish(spark, lake, table, built.schema)
-    lake.write(built, "silver", incoming_name, replace="table")
-    incoming = lake.read(spark, "silver", incoming_name, schema=built.schema)
-    if lake.exists(spark, "silver", table):
-        # Partition values touched by the batch: bounded by the calendar.
-        days = [r[0] for r in incoming.select(day).distinct().collect()]
-        in_batch = F.col(day).isin([d for d in days if d is not None])
-        if any(d is None for d in days):
-            in_batch = in_batch | F.col(day).isNull()
-        current = project(lake.read(spark, "silver", table), SILVER_PINGS.columns)
-        touched = current.filter(in_batch)
-        merged = dedup_by_key(incoming.unionByName(touched), PING_KEY)
-    else:
-        merged = incoming
-    # Stage the merge: it reads the partitions it is about to replace.
-    merged = project(merged, SILVER_PINGS.columns)
-    lake.write(merged, "silver", merged_name, SILVER_PINGS.partition_by, replace="table")
-    _mark(spark, lake, table, True)
-    _publish(spark, lake, table, merged.schema)
-
-
 def start_silver_ping_stream(
-    spark: SparkSession, lake: Lake, table: str = "gps", max_files_per_trigger: int = 1000, source_table: str = STREAMED_GPS
+    spark: SparkSession,
+    lake: Lake,
+    table: str = LIVE_PINGS,
+    max_files_per_trigger: int = 1000,
+    source_table: str = STREAMED_GPS,
 ) -> StreamingQuery:
-    """``availableNow`` stream from ``bronze/<source_table>`` into ``silver/<table>``."""
+    """``availableNow`` stream from ``bronze/<source_table>`` into the live silver table."""
     source = (
         spark.readStream.schema(BRONZE_GPS_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(lake.path("bronze", source_table))
     )
     return (
-        source.writeStream.foreachBatch(lambda df, _batch_id: merge_ping_batch(spark, lake, df, table))
+        source.writeStream.foreachBatch(lambda df, batch: append_pings(spark, lake, df, batch, table))
         .option("checkpointLocation", os.path.join(lake.root, "_checkpoints", f"silver_{table}"))
         .trigger(availableNow=True)
         .start()
     )
 
 
-def update_silver_pings(spark: SparkSession, lake: Lake, **kwargs) -> None:
-    """Fold every bronze file not seen yet into silver pings, then stop."""
+def update_silver_pings(spark: SparkSession, lake: Lake, compact: bool = False, **kwargs) -> None:
+    """Append every bronze file not seen yet to the live silver pings, then stop (and ``compact`` them)."""
     query = start_silver_ping_stream(spark, lake, **kwargs)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+    if compact:
+        compact_pings(spark, lake, kwargs.get("table", LIVE_PINGS))
