@@ -53,6 +53,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _MARK = "\x01"
 #: Signs that may end a word (no apostrophe: it begins tokens of its own).
 _SIGNS = '.,;:!?*%$&#|)"'
+_SIGN_SET = frozenset(_SIGNS)
 #: Texts without these are lower-cased before their words are looked up, as the tokenizer does later.
 _BEYOND_LATIN = re.compile("[\u0130\u0250-\U0010ffff]")
 
@@ -73,29 +74,52 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        self.alone: dict[str, bool] = {}
         self.remembered = remembered
         (self.mark,) = self.tokenizer.encode(_MARK, add_special_tokens=False).ids
 
     def _ids(self, text: str) -> np.ndarray:
         return np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
+    def _stands_alone(self, letter: str) -> bool:
+        """Whether a sign after this letter is always cut from it: its normal form must end in a letter too.
+
+        The normal form of some letters ends in a combining mark, which the
+        signs after it join.
+        """
+        if letter not in self.alone:
+            normal = self.tokenizer.normalizer.normalize_str(letter) if self.tokenizer.normalizer else letter
+            self.alone[letter] = letter.isalpha() and normal[-1:].isalpha()
+        return self.alone[letter]
+
     def learn(self, words: list[str]) -> None:
-        # a letter and the signs that end a word are always cut apart, so both are learned once
-        cut = [(w, w.rstrip(_SIGNS)) for w in words]
-        cut = [(w, stem, w[len(stem) :]) for w, stem in cut if len(stem) < len(w) and stem[-1:].isalpha()]
-        whole = set(words).difference(w for w, _, _ in cut)
-        self._learn([w for w in whole.union(*((s, t) for _, s, t in cut)) if w not in self.known])
-        known = self.known
-        known.update((w, known[stem] + known[tail]) for w, stem, tail in cut)
+        # such a letter and the signs that end a word are always cut apart, so both are learned once
+        known, wanted, cut = self.known, set(), []
+        for w in words:
+            if w[-1:] in _SIGN_SET:
+                stem = w.rstrip(_SIGNS)
+                if stem and self._stands_alone(stem[-1]):
+                    tail = w[len(stem) :]
+                    cut.append((w, stem, tail))
+                    wanted.add(stem)
+                    wanted.add(tail)
+                    continue
+            wanted.add(w)
+        self._learn([w for w in wanted if w not in known])
+        for w, stem, tail in cut:
+            known[w] = known[stem] + known[tail]
 
     def _learn(self, words: list[str]) -> None:
         for start in range(0, len(words), 2000):
-            part = [w for w in words[start : start + 2000] if _MARK not in w]
-            ids = self._ids(f" {_MARK} ".join(part))
+            part = words[start : start + 2000]
+            text = f" {_MARK} ".join(part)
+            if text.count(_MARK) >= len(part):  # a word holds the mark itself
+                self.known.update((w, self._ids(w).tobytes()) for w in part)
+                continue
+            ids = self._ids(text)
             packed = ids.tobytes()
             cuts = [-1, *np.flatnonzero(ids == self.mark).tolist(), len(ids)]
-            self.known.update((w, packed[4 * a + 4 : 4 * b]) for w, a, b in zip(part, cuts, cuts[1:], strict=False))
-        self.known.update((w, self._ids(w).tobytes()) for w in words if _MARK in w)
+            self.known.update((w, packed[4 * a + 4 : 4 * b]) for w, a, b in zip(part, cuts[:-1], cuts[1:], strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         # the separators \x1c to \x1f are no white space to the tokenizer

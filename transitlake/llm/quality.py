@@ -16,9 +16,6 @@ texts, and more than ``min_docs`` documents, is frequent; a document that
 without its frequent lines has fewer than ``min_words`` words, or less than
 ``min_left`` of its words, is depleted and rejected.
 
-``ORACLE`` states an earlier count (documents whose least other line is the
-same are one); the two agree unless documents share several frequent lines.
-
 Defined cases: an empty or null text has 0 words and fails the base rule; a
 null host is a host; repeated rows get the same verdict each and count once;
 an empty table gives an empty result; further columns are ignored by
@@ -270,13 +267,9 @@ lines AS (
 dup AS (SELECT r, (count(*) - count(DISTINCT l))::BIGINT AS n_dup_lines FROM lines GROUP BY r),
 ent AS (
   SELECT r, host, t, substr(md5(nl), 1, 16) AS line, (len(nl) - len(replace(nl, ' ', '')) + 1) AS words FROM lines),
-least2 AS (SELECT r, list_sort(list(DISTINCT line))[1:2] AS m FROM ent GROUP BY r),
-sk AS (
-  SELECT DISTINCT e.host, e.line, CASE WHEN m[1] <> e.line THEN m[1] ELSE coalesce(m[2], '-') END AS sketch
-  FROM ent e JOIN least2 USING (r)),
 hosts AS (SELECT host, count(DISTINCT md5(text)) AS host_docs FROM d GROUP BY host),
 freq AS (
-  SELECT host, line FROM (SELECT host, line, count(*) AS n FROM sk GROUP BY host, line) JOIN hosts USING (host)
+  SELECT host, line FROM (SELECT host, line, count(DISTINCT t) AS n FROM ent GROUP BY host, line) JOIN hosts USING (host)
   WHERE n > 20 AND n > 0.05 * host_docs),
 rem AS (SELECT r, sum(words)::BIGINT AS n_removed_words FROM ent JOIN freq USING (host, line) GROUP BY r),
 f AS (
