@@ -71,15 +71,24 @@ def test_odd_rows(spark):
     assert [(r.target, r.taken) for r in wordless] == [(0.0, 0), (0.0, 0)]
 
 
-def test_means_are_kept():
+@pytest.mark.parametrize(
+    "method,sizes,odds",
+    [
+        (mixing._pivot, [50, 40, 31, 30, 8, 5, 5, 2, 1, 1], [0.3, 0.9, 0.5, 0.25, 0.5, 0.7, 0.1, 0.6, 0.35, 0.05]),
+        (mixing._pool, [50, 40, 31, 30, 8, 5, 5, 2, 1, 1], [0.3] * 10),
+        (mixing._pool, [500, 40, 31, 1, 1], [0.85] * 5),
+        (mixing._pool, [7], [0.4]),
+        (mixing._pool, [4, 4, 4, 4], [0.25] * 4),
+    ],
+)
+def test_means_are_kept(method, sizes, odds):
     """Over many draws each document's copies come to its odds, and the words never change but for the last one."""
     import random
 
-    sizes, odds = [50, 40, 31, 30, 8, 5, 5, 2, 1, 1], [0.3, 0.9, 0.5, 0.25, 0.5, 0.7, 0.1, 0.6, 0.35, 0.05]
     total, runs = [0.0] * len(sizes), 20_000
     for seed in range(runs):
         drawn, draw = list(odds), random.Random(seed).random
-        left = mixing._pivot(sizes, drawn, draw)
+        left = method(sizes, drawn, draw)
         assert all(x in (0.0, 1.0) for i, x in enumerate(drawn) if i != left)
         assert sum(map(lambda s, x: s * x, sizes, drawn)) == pytest.approx(sum(map(lambda s, x: s * x, sizes, odds)))
         if left is not None:
@@ -88,6 +97,22 @@ def test_means_are_kept():
     assert [t / runs for t in total] == pytest.approx(odds, abs=0.015)
 
 
+def test_one_large_document_is_made_up_for():
+    """A document of half the words is settled first; the many small ones keep the sum to a few words."""
+    import random
+
+    sizes = sorted([5000, *[1 + 7 * i % 60 for i in range(150)]], reverse=True)
+    for seed in range(300):
+        odds, draw = [0.55] * len(sizes), random.Random(seed).random
+        left = mixing._pool(sizes, odds, draw)
+        if left is not None:
+            odds[left] = 1.0 if draw() < odds[left] else 0.0
+        missed = abs(sum(map(lambda s, x: s * x, sizes, odds)) - 0.55 * sum(sizes))
+        assert missed <= (60 if left != 0 else 5000)
+        # only where the small ones together cannot make up for it does it stay open
+        assert left != 0 or 0.45 * 5000 > 0.55 * sum(sizes[1:]) or 0.55 * 5000 > 0.45 * sum(sizes[1:])
+
+
 def test_query_over_the_table(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     got = mixing.query(spark, sf_small)

@@ -7,16 +7,18 @@ document of a source with target t and size s is to be copied t / s times on
 average: the whole part for certain, the rest as a probability.
 
 The probabilities of a source become whole copies by the pivotal method.  Two
-open documents exchange mass in words: one gains what the other loses, in one
-of the two directions, by as much as makes one of them integral, with odds
-that keep every document's mean copies as they were.  The words taken stay
-the same in each exchange, so a source misses its target only by its very
-last document.
+sides exchange mass in words: one gains what the other loses, in one of the
+two directions, by as much as makes one of them integral, with odds that keep
+every document's mean copies as they were.  The words taken stay the same in
+each exchange, so a source misses its target only by its very last document.
 
 A source is ranked by size and dealt out over blocks of ``BLOCK`` documents,
-each with large and small ones; inside a block the exchanges go from large to
-small, so that what stays open is small.  A block leaves at most one open
-document; these meet in blocks of ``BLOCK`` again, level by level (a reduction
+each with large and small ones.  Inside a block all documents have the same
+probability; from large to small, each is paired with the pool of all smaller
+ones, whose common probability moves as the document becomes 0 or 1.  Large
+documents are thus settled while many small ones can make up for them, and what
+stays open at the end is small.  A block leaves at most one open document; these
+meet in blocks of ``BLOCK``, paired one with another, level by level (a reduction
 tree), until one is left for the source, which is drawn by its probability.
 Draws come from the source, level and block alone, so reruns agree whatever
 the partitions are.
@@ -123,6 +125,34 @@ def _pivot(sizes: list[int], odds: list[float], draw) -> int | None:
     return open_at
 
 
+def _pool(sizes: list[int], odds: list[float], draw) -> int | None:
+    """As :func:`_pivot` for equal ``odds`` and falling ``sizes``: each against the pool of all that follow."""
+    rest, p = sum(sizes), odds[0]
+    for i, size in enumerate(sizes):
+        odds[i] = p
+        rest -= size
+        if rest == 0:
+            return i
+        up, down, pool_up, pool_down = (1 - p) * size, p * size, (1 - p) * rest, p * rest
+        rise, fall = min(up, pool_down), min(down, pool_up)
+        if draw() * (rise + fall) < fall:
+            if up > pool_down:  # the pool is used up
+                odds[i] = p + pool_down / size
+                odds[i + 1 :] = [0.0] * (len(odds) - i - 1)
+                return i
+            odds[i], p = 1.0, p - up / rest
+        else:
+            if down > pool_up:
+                odds[i] = p - pool_up / size
+                odds[i + 1 :] = [1.0] * (len(odds) - i - 1)
+                return i
+            odds[i], p = 0.0, p + down / rest
+        if not 1e-12 < p < 1 - 1e-12:  # both ended
+            odds[i + 1 :] = [float(round(p))] * (len(odds) - i - 1)
+            return None
+    return None
+
+
 def _round(level: int, seed: int):
     """Function of one block: its odds made integral but for one (and that one too, if it is the source's last)."""
 
@@ -130,7 +160,7 @@ def _round(level: int, seed: int):
         rows = rows.sort_values(["size", "rank"], ascending=[False, True])
         draw = random.Random(f"{seed}/{level}/{rows['block'].iloc[0]}/{rows['origin'].iloc[0]}").random
         odds = rows["odds"].tolist()
-        left = _pivot(rows["size"].tolist(), odds, draw)
+        left = (_pool if len(set(odds)) == 1 else _pivot)(rows["size"].tolist(), odds, draw)
         if left is not None and rows["blocks"].iloc[0] == 1:
             odds[left] = 1.0 if draw() < odds[left] else 0.0
         return rows.assign(odds=odds)
