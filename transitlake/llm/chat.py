@@ -9,6 +9,9 @@ nobody's and stay system turns.  A turn is rendered as
 and the mask covers what the model is to learn: the text and the end mark of
 the assistant's turns.
 
+No text and no name can forge a marker: their ``<|`` is written ``<\\|`` (and a ``<\\``
+of their own ``<\\\\``, so that texts stay apart), and ``|>`` in a name ``|\\>``.
+
 A rendering is kept as its segments, one row for each turn, with their place
 in the whole rendering (``start``, in code points), so that a conversation of any length is
 spread over tasks: turns are ranked and added up in blocks of ``BLOCK`` turn
@@ -24,7 +27,7 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from transitlake.llm.common import settle, table
@@ -33,6 +36,16 @@ END = "<|end|>\n"
 BLOCK = 64
 
 
+def unmarked(text: Column) -> Column:
+    """The text with its markers' openings escaped."""
+    return F.replace(F.replace(text, F.lit("<\\"), F.lit("<\\\\")), F.lit("<|"), F.lit("<\\|"))
+
+
+def named(speaker: Column) -> Column:
+    """A speaker's name as a marker holds it."""
+    return F.replace(unmarked(speaker), F.lit("|>"), F.lit("|\\>"))
+
+
 def participants(turns: DataFrame) -> DataFrame:
     """(conv_id, perspective): the speakers of each conversation."""
     speakers = turns.select("conv_id", F.coalesce("role", F.lit("unknown")).alias("perspective"))
@@ -50,7 +63,7 @@ def perspectives(turns: DataFrame) -> DataFrame:
             "conv_id",
             F.col("turn").cast("long").alias("turn"),
             F.coalesce("role", F.lit("unknown")).alias("speaker"),
-            F.coalesce("text", F.lit("")).alias("text"),
+            unmarked(F.coalesce("text", F.lit(""))).alias("text"),
             # null turns come first: a block of their own
             F.coalesce(F.floor(F.col("turn") / BLOCK), F.lit(-(2**62))).cast("long").alias("block"),
         )
@@ -62,7 +75,7 @@ def perspectives(turns: DataFrame) -> DataFrame:
     )
     role = F.when(F.col("speaker") == "system", "system").when(F.col("speaker") == F.col("perspective"), "assistant").otherwise("user")
     head = F.concat(
-        F.lit("<|"), F.when(role == "user", F.concat(F.lit("user:"), F.col("speaker"))).otherwise(role), F.lit("|>\n")
+        F.lit("<|"), F.when(role == "user", F.concat(F.lit("user:"), named(F.col("speaker")))).otherwise(role), F.lit("|>\n")
     )
     made = (
         views.withColumn("speaker_role", role)
@@ -124,14 +137,14 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 ORACLE = r"""
 WITH t AS (
-  SELECT conv_id, turn::BIGINT AS turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS text FROM conversations),
+  SELECT conv_id, turn::BIGINT AS turn, coalesce(role, 'unknown') AS speaker, replace(replace(coalesce(text, ''), '<\', '<\\'), '<|', '<\|') AS text FROM conversations),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
 v AS (
   SELECT t.conv_id, perspective, turn, speaker, text,
          CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS speaker_role
   FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 h AS (
-  SELECT *, '<|' || CASE WHEN speaker_role = 'user' THEN 'user:' || speaker ELSE speaker_role END || '|>' || chr(10) AS head FROM v),
+  SELECT *, '<|' || CASE WHEN speaker_role = 'user' THEN 'user:' || replace(replace(replace(speaker, '<\', '<\\'), '<|', '<\|'), '|>', '|\>') ELSE speaker_role END || '|>' || chr(10) AS head FROM v),
 s AS (SELECT *, head || text || '<|end|>' || chr(10) AS segment FROM h),
 o AS (
   SELECT *, row_number() OVER w - 1 AS position, (sum(length(segment)) OVER w - length(segment))::BIGINT AS start

@@ -9,8 +9,9 @@ consecutive page ids.  Each replica of a file has a tree of digests:
 * the root covers the whole file.
 
 The audit compares the roots of two replicas, then the children of mismatching nodes
-only, level by level, down to records.  A level's rows are read only where
-the level above differs, and the tree has a logarithm of levels.
+only, level by level, down to records.  Below a matching node nothing is
+compared; each level is joined with the mismatching parents, which scans the
+level's digests (not the records) once.
 
 Replicas with different numbers of records or shifted offsets mismatch from the
 first affected record on; records that only one replica has are reported as
