@@ -731,3 +731,19 @@ SQL["substitute_sink"] = with_ctes(
     ),
     "silver_pings", "silver_trips", "silver_routes",
 )
+
+SQL["bucketed_trip_indicators"] = SQL["trip_indicators"]
+
+_PROFILED = [c.strip() for c in _PING_COLUMNS.split(",") if c.strip() != "data_particao"]
+SQL["stored_profiles"] = with_ctes(
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(count(*) AS BIGINT) AS rows, CAST(count(*) - count({c}) AS BIGINT) AS nulls, "
+        "true AS distinct_near, CAST(NULL AS INTEGER) AS run, CAST(NULL AS BIGINT) AS days FROM silver_pings"
+        for c in _PROFILED
+    )
+    + "".join(
+        f"\nUNION ALL SELECT NULL, NULL, NULL, NULL, {run}, CAST(count(DISTINCT data_particao) AS BIGINT) FROM silver_pings WHERE {kept}"
+        for run, kept in enumerate(("data_particao < DATE '2024-01-16'", "data_particao >= DATE '2024-01-16'", "false"))
+    ),
+    "silver_pings",
+)

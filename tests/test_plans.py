@@ -77,3 +77,33 @@ def test_malformed_numbers_do_not_reach_a_cast(spark):
     assert plan.count("RLIKE") >= 4
     got = df.select(lenient_int("s").alias("n"), lenient_int("s", apart=True).alias("m")).collect()
     assert [tuple(r) for r in got] == [(None, None)] * 3 + [(7, 7)]
+
+
+def test_bucketed_trips_are_aggregated_without_a_shuffle(spark, lake, sf_small):
+    """From buckets of day and line, the trips' aggregate has no exchange below it; unbucketed it has one."""
+    from oracle.compare import compare, duck
+    from oracle.duckdb_sql import SQL
+    from transitlake.sources import bucketed
+
+    stored = lake.read(spark, "silver", "mco")
+    keys = bucketed.GOLD_BUCKETS["mco"]
+    bucketed.write_bucketed(stored, lake, "silver", "mco_b", keys, 4, "trips_in_buckets")
+    again = bucketed.declare(spark, lake, "silver", "mco_b", spark.table("trips_in_buckets").schema, keys, 4, "trips_declared_again")
+    lookup = daily.route_lookup(lake.read(spark, "silver", "linhas"))
+
+    def aggregate(trips_of):
+        kept = trips_of.filter("duracao_viagem_minutos >= 0")
+        return plan_of(kept.groupBy("data_viagem", "numero_linha", "nome_consorcio").count())
+
+    try:
+        for t in (spark.table("trips_in_buckets"), again):
+            plan = aggregate(t)
+            assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+            joined = plan_of(daily.trip_indicators(t, lookup))
+            assert "Exchange hashpartitioning(data_viagem" not in joined
+        assert "Exchange hashpartitioning(data_viagem" in aggregate(stored)
+        ok, msg = compare(daily.trip_indicators(again, lookup), duck(sf_small), SQL["trip_indicators"])
+        assert ok, msg
+    finally:
+        for name in ("trips_in_buckets", "trips_declared_again"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

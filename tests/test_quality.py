@@ -103,3 +103,26 @@ def test_fingerprint_mode_matches_exact(spark, sf_small):
 def test_fingerprint_separates_null_positions(spark):
     df = spark.createDataFrame([(None, "a"), ("a", None)], "x string, y string")
     assert duplicate_profile(df, fingerprint=True).first().duplicate_rows == 0
+
+
+def test_stored_profiles_read_new_and_changed_partitions_alone(spark):
+    from transitlake.plans import profiles
+    from transitlake.sources.lake import Lake
+
+    lake = Lake.on_shared_storage(spark)
+    schema = "v int, w string, x double, day string"
+
+    def write(rows, **kwargs):
+        lake.write(spark.createDataFrame(rows, schema), "silver", "t", ["day"], **kwargs)
+
+    def merged():
+        return {r.column_name: (r.rows, r.nulls, r.distinct_estimate) for r in profiles.merged_profile(spark, lake, "silver", "t", "day").collect()}
+
+    write([(1, "a", 0.5, "d1"), (2, None, 0.5, "d1"), (2, "b", None, "d2"), (None, "b", 1.5, None)])
+    assert profiles.update_profile(spark, lake, "silver", "t", "day") == 3
+    assert merged() == {"v": (4, 1, 2), "w": (4, 1, 2), "x": (4, 1, 2)}
+    assert profiles.update_profile(spark, lake, "silver", "t", "day") == 0
+    # a new day and a rewritten one: two partitions are read, and the old state of the rewritten one no longer counts
+    write([(7, "c", 0.1, "d2"), (8, "d", 0.2, "d2"), (9, None, 0.3, "d3")])
+    assert profiles.update_profile(spark, lake, "silver", "t", "day") == 2
+    assert merged() == {"v": (6, 1, 5), "w": (6, 2, 4), "x": (6, 0, 5)}

@@ -9,6 +9,7 @@ what they read back.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -29,8 +30,8 @@ from transitlake.operators import (
     stamp_ingestion,
 )
 from transitlake.operators.contracts import Contract
-from transitlake.plans import daily, layers, pings, routes, trips
-from transitlake.sources import adapters
+from transitlake.plans import daily, layers, pings, profiles, routes, trips
+from transitlake.sources import adapters, bucketed
 from transitlake.sources.lake import STREAMED_GPS, Lake
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +266,43 @@ def gold_policies(spark, d):
     return out
 
 
+def bucketed_trip_indicators(spark, d):
+    """Trip indicators from silver trips stored in buckets of day and line, which the
+    aggregation reads without a shuffle."""
+    lake = Lake.on_shared_storage(spark)
+    name = f"silver_mco_{os.path.basename(lake.root)}"
+    keys = bucketed.GOLD_BUCKETS["mco"]
+    bucketed.write_bucketed(_silver_trips(spark, d), lake, "silver", "mco", keys, 16, name)
+    return daily.trip_indicators(spark.table(name), daily.route_lookup(_silver_routes(spark, d)))
+
+
+def stored_profiles(spark, d):
+    """Silver pings profiled as their days arrive: the days up to ``REWRITE_FROM``, then the
+    later ones, then nothing.  The merged profile, whether its distinct estimates are within 5 %
+    of the exact counts, and the days that each run read."""
+    lake = Lake.on_shared_storage(spark)
+    day, first = F.col("data_particao"), F.lit(REWRITE_FROM).cast("date")
+    lake.write(_silver_pings(spark, d), "silver", "built", ["data_particao"])
+    built = lake.read(spark, "silver", "built")
+    runs = []
+    for run, part in enumerate((day < first, day >= first, None)):
+        if part is not None:
+            lake.write(built.filter(part), "silver", "gps", ["data_particao"])
+        runs.append((run, profiles.update_profile(spark, lake, "silver", "gps", "data_particao")))
+    merged = profiles.merged_profile(spark, lake, "silver", "gps", "data_particao")
+    names = [c for c in built.columns if c != "data_particao"]
+    exact = built.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_distinct(c).alias("exact")) for c in names]).alias("e"))
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= 0.05 * F.col("exact")
+    profiled = merged.join(exact.select(F.inline("e")), "column_name").select(
+        "column_name", "rows", "nulls", near.alias("distinct_near"), F.lit(None).cast("int").alias("run"), F.lit(None).cast("bigint").alias("days")
+    )
+    read = spark.createDataFrame(runs, "run int, days bigint").select(
+        F.lit(None).cast("string").alias("column_name"), F.lit(None).cast("bigint").alias("rows"),
+        F.lit(None).cast("bigint").alias("nulls"), F.lit(None).cast("boolean").alias("distinct_near"), "run", "days",
+    )
+    return profiled.unionByName(read)
+
+
 def stamped_files(spark, d):
     """Bronze rows stamped with the file that each came from: rows of each table, those
     whose file lies in its landing folder, and those stamped while the run lasted."""
@@ -546,6 +584,8 @@ QUERIES: dict[str, Query] = {
     "malformed_records": malformed_records,
     "schema_drift": schema_drift,
     "gold_policies": gold_policies,
+    "bucketed_trip_indicators": bucketed_trip_indicators,
+    "stored_profiles": stored_profiles,
     "stamped_files": stamped_files,
     "substitute_sink": substitute_sink,
     "partitioned_overwrite": partitioned_overwrite,

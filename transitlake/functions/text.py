@@ -20,7 +20,9 @@ def split_fields(c, sep: str, limit: int = -1) -> Column:
 
 def after_first(c, sep: str) -> Column:
     """Text after the first ``sep``; NULL when ``sep`` does not occur."""
-    return piece(split_fields(c, sep, 2), 1)
+    c = as_col(c)
+    at = F.instr(c, F.lit(sep))
+    return F.when(at > 0, F.substr(c, at + len(sep)))
 
 
 def blank_to_null(c) -> Column:
@@ -30,7 +32,6 @@ def blank_to_null(c) -> Column:
 
 
 def _literal_regex(sep: str) -> str:
-    # split() takes a regex; a bracket class makes any single char literal.
-    if len(sep) == 1 and sep not in "\\^]":
-        return f"[{sep}]"
-    return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
+    # split() takes a regex.  A character that stands for itself, bare or
+    # behind one backslash, is split on without a regex engine.
+    return "".join("\\" + ch if not ch.isalnum() and ch in ".$|()[{^?*+\\" else ch for ch in sep)
