@@ -22,7 +22,6 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -59,12 +58,9 @@ class Published:
 
     def _commits(self, spark: SparkSession, newest: int) -> list[Commit]:
         """The last ``newest`` commits, newest first (folder names only, as a table's file listing)."""
-        try:
-            log = self._log(spark)
-        except AnalysisException as e:
-            if not (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
-                raise
+        if not _is_there(spark, f"{self.path}.commits"):
             return []
+        log = self._log(spark)
         last = log.select("seq", "version").distinct().orderBy(F.desc("seq"), F.desc("version")).limit(newest)
         found: dict[tuple, Commit] = {}
         for r in log.join(F.broadcast(last), ["seq", "version"]).orderBy(F.desc("seq"), F.desc("version")).collect():
@@ -106,11 +102,20 @@ class Published:
         return _remove(spark, sorted(self.folder(v, part) for v, part in old))
 
 
+def _on_its_file_system(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _is_there(spark: SparkSession, path: str) -> bool:
+    files, target = _on_its_file_system(spark, path)
+    return bool(files.exists(target))
+
+
 def _remove(spark: SparkSession, paths: Sequence[str]) -> int:
     """Remove folders through the file system of their own paths; how many were there."""
     removed = 0
     for path in paths:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        files, target = _on_its_file_system(spark, path)
         removed += bool(files.delete(target, True))
     return removed
