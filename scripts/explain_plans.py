@@ -84,7 +84,7 @@ def main() -> None:
         (
             "Incremental silver merge: the touched days read back",
             silver["gps"].filter(F.col("data_particao").isin(["2024-01-03", "2024-01-04"])),
-            "What one micro-batch of `streaming.merge_ping_batch` reads from silver: the batch's day "
+            "What `plans.live` reads of the base for the days that later batches touch: their day "
             "values become a partition filter, so only those day directories are listed and read.",
         ),
         (
