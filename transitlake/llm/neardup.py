@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import SPACE_CLASS, fresh, settle, settle_table, ship, small_batches, table, whole_text, worker_state
+from transitlake.llm.common import SPACE_CLASS, SPACES, fresh, settle, settle_table, ship, small_batches, table, whole_text, worker_state
 
 ship(__name__)
 
@@ -109,25 +109,51 @@ def _weighted(doc: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return doc[at], values[at], np.diff(np.append(at, len(doc)))
 
 
+def _shingled(hashes: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """(text, shingle) of texts given as the hashes of their words; a short text is one shingle."""
+    sizes, values = _flat(hashes)
+    v, text = values.view(_U), np.repeat(np.arange(len(sizes)), sizes)
+    starts, short = np.cumsum(sizes) - sizes, np.flatnonzero(sizes < SHINGLE)
+    with np.errstate(over="ignore"):
+        held = np.zeros(max(0, len(v) - SHINGLE + 1), dtype=_U)
+        for k in range(SHINGLE):
+            held = _mix(held ^ (v[k : len(held) + k] + _U(k + 1)))
+        inside = text[: len(held)] == text[SHINGLE - 1 :][: len(held)]
+        alone = _mix(sizes[short].astype(_U) + _U(SHINGLE + 1))
+        for k in range(SHINGLE - 1):
+            has = sizes[short] > k
+            alone[has] = _mix(alone[has] ^ v[starts[short[has]] + k])
+    doc = np.concatenate([text[: len(held)][inside], short])
+    return doc, np.concatenate([held[inside], alone]).view(np.int64)
+
+
+def _elements(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(text, shingle) of a frame with the texts' ``shingles``, or with their words' ``hashes``."""
+    if "shingles" not in pdf:
+        return _shingled(pdf["hashes"])
+    sizes, values = _flat(pdf["shingles"])
+    return np.repeat(np.arange(len(pdf)), sizes), values
+
+
 def _signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     worker_state("near duplicates")
     salt = np.arange(BANDS, dtype=_U) * _U(0xA24BAED4963EE407)
     for pdf in batches:
         for start in range(0, len(pdf), 256):
             part = pdf.iloc[start : start + 256]
-            sizes, values = _flat(part["shingles"])
-            d, e, w = _weighted(np.repeat(np.arange(len(part)), sizes), values)
+            d, e, w = _weighted(*_shingled(part["hashes"]))
             sig = prob_minhash(d, e.astype(np.int64).view(_U), w, len(part), BANDS * ROWS)
             with np.errstate(over="ignore"):
                 key = np.repeat(salt[None, :], len(part), axis=0)
                 bands = sig.reshape(len(part), BANDS, ROWS)
                 for k in range(ROWS):
                     key = _mix(key ^ bands[:, :, k])
-            yield pd.DataFrame({"node": part["node"].to_numpy(), "keys": list(key.view(np.int64))})
+            yield pd.DataFrame({"id": part["id"].tolist(), "node": part["node"].to_numpy(), "keys": list(key.view(np.int64))})
 
 
-def words_of(docs_text) -> Column:
-    return F.filter(F.split(docs_text, SPACE_CLASS + "+"), lambda w: w != "")
+def words_of(text: Column) -> Column:
+    body = F.trim(text, F.lit(SPACES))
+    return F.when(body != "", F.split(body, SPACE_CLASS + "+")).otherwise(F.array().cast("array<string>"))
 
 
 def node_of(words: Column) -> Column:
@@ -135,12 +161,9 @@ def node_of(words: Column) -> Column:
     return F.conv(F.substring(F.sha2(F.array_join(words, " "), 256), 1, 15), 16, 10).cast("long")
 
 
-def shingles_of(words: Column) -> Column:
-    """Hashes of the five-word shingles, in order."""
-    return F.when(
-        F.size(words) >= SHINGLE,
-        F.transform(F.sequence(F.lit(0), F.size(words) - SHINGLE), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE)])),
-    ).otherwise(F.array(F.xxhash64(F.array_join(words, " "))))
+def hashes_of(words: Column) -> Column:
+    """Hashes of the words, in order; five of them make a shingle (see :func:`_shingled`)."""
+    return F.transform(words, lambda w: F.xxhash64(w))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -204,11 +227,9 @@ def _compared(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     across = int(pdf["one"].iloc[0]) != int(pdf["two"].iloc[0])
     pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
     n = len(pdf)
-    sizes, values = _flat(pdf["shingles"])
     block, node = pdf["block"].to_numpy(), pdf["node"].to_numpy()
+    doc, element, weight = _weighted(*_elements(pdf))
     del pdf
-    doc, element, weight = _weighted(np.repeat(np.arange(n, dtype=np.int32), sizes), values)
-    del values
     counts = np.bincount(doc, minlength=n)
     ends = np.concatenate([[0], np.cumsum(counts)])
     totals = np.bincount(doc, weights=weight, minlength=n)
@@ -262,43 +283,52 @@ def _compared(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
 
 
-def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The different texts that have near duplicates, with their class: node, class_node.
-
-    A text that is in no row is a class of its own.
-    """
+def _ids_and_classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, node) of each row, and (node, class_node) of the different texts that have near duplicates."""
     small_batches(docs.sparkSession)
     (held,) = fresh(docs, "held_words")
-    texts = docs.select(words_of(whole_text()).alias(held)).select(node_of(F.col(held)).alias("node"), held)
+    # ids as text: pandas would turn a column of ids with a null into floats
+    id_type = docs.schema["doc_id"].dataType if "doc_id" in docs.columns else "long"
+    doc_id = (F.col("doc_id") if "doc_id" in docs.columns else F.lit(None)).cast("string").alias("id")
+    texts = docs.select(doc_id, words_of(whole_text()).alias(held)).select("id", node_of(F.col(held)).alias("node"), held)
     signed = settle_table(
-        texts.select("node", shingles_of(F.col(held)).alias("shingles")).mapInPandas(_signed, "node long, keys array<long>")
+        texts.select("id", "node", hashes_of(F.col(held)).alias("hashes")).mapInPandas(_signed, "id string, node long, keys array<long>")
     )
-    keyed = signed.dropDuplicates(["node"]).select("node", F.posexplode("keys").alias("band", "key"))
+    keyed = signed.select("node", "keys").dropDuplicates(["node"]).select("node", F.posexplode("keys").alias("band", "key"))
     least = keyed.groupBy("band", "key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1")
     links = keyed.join(least, ["band", "key"]).filter("node <> a").select("a", F.col("node").alias("b")).distinct()
     families = components(links)
 
+    # hashes are half of what the words are to shuffle
     member = settle_table(
-        texts.join(families, "node").dropDuplicates(["node"]).select("node", "root", shingles_of(F.col(held)).alias("shingles"))
+        texts.select("node", hashes_of(F.col(held)).alias("hashes")).join(families, "node").dropDuplicates(["node"]).select("node", "root", "hashes")
     )
     blocks = (
         member.groupBy("root")
-        .agg(F.count("*").alias("n"), F.sum(F.size("shingles")).alias("m"))
+        .agg(F.count("*").alias("n"), F.sum(F.size("hashes")).alias("m"))
         .select("root", F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("m") / BLOCK_SHINGLES), F.lit(1)).alias("n_blocks"))
     )
     cut = member.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), "n_blocks"))
     meet = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))).select(
-        "root", "node", "shingles", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")
+        "root", "node", "hashes", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two")
     )
     found = meet.groupBy("root", "one", "two").applyInPandas(lambda pdf: _compared(pdf, threshold), "a long, b long")
-    return components(found).withColumnRenamed("root", "class_node")
+    classes = components(found).withColumnRenamed("root", "class_node")
+    return signed.select(F.col("id").cast(id_type).alias("doc_id"), "node"), classes
+
+
+def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The different texts that have near duplicates, with their class: node, class_node.
+
+    A text that is in no row is a class of its own.
+    """
+    return _ids_and_classes(docs, threshold)[1]
 
 
 def classed(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, node, class_node) of each row of ``docs``."""
-    classes = near_classes(docs, threshold)
-    rows = docs.select("doc_id", node_of(words_of(whole_text())).alias("node")).join(classes, "node", "left")
-    return settle(rows.select("doc_id", "node", F.coalesce("class_node", "node").alias("class_node")))
+    rows, classes = _ids_and_classes(docs, threshold)
+    return settle(rows.join(classes, "node", "left").select("doc_id", "node", F.coalesce("class_node", "node").alias("class_node")))
 
 
 def duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
