@@ -12,6 +12,7 @@ from transitlake.operators.contracts import (
 from transitlake.operators.frames import (
     dedup_by_key,
     drop_columns,
+    fenced,
     in_range,
     normalize_names,
     normalized_name,
@@ -39,6 +40,7 @@ __all__ = [
     "drift_report",
     "duplicate_profile",
     "enforce",
+    "fenced",
     "in_range",
     "normalize_names",
     "normalized_name",

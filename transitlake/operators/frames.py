@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +65,19 @@ def in_range(c, low, high) -> Column:
     return as_col(c).between(low, high)
 
 
+def fenced(df: DataFrame) -> DataFrame:
+    """The same rows, with predicates on them kept above the columns they test.
+
+    Catalyst pushes a predicate through projections by putting each column's
+    whole expression in its place, as often as the column is named.  Over text
+    parsing that grows into a filter that parses every row again and again, in
+    a method too large for the JVM to compile.  It does not push through an
+    observation.  Column pruning goes on below, and predicates on a table that
+    is read back still reach its scan.
+    """
+    return df.observe(f"fenced_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("rows"))
+
+
 def dedup_by_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str] | None = None
 ) -> DataFrame:

@@ -27,7 +27,7 @@ from transitlake.functions.codes import (
     TRIP_TYPE_DEFAULT,
     TRIP_TYPE_LABELS,
 )
-from transitlake.operators import Contract, drop_columns, normalize_names
+from transitlake.operators import Contract, drop_columns, fenced, normalize_names
 
 TRIP_DAY_PATTERN = "dd/MM/yyyy"
 MINUTES_PER_DAY = 24 * 60
@@ -154,4 +154,4 @@ def silver_trips(
     df = label_trips(df, flag_labels)
     df = add_month_partition(df)
     df = drop_columns(df, CONSUMED_COLUMNS)
-    return SILVER_TRIPS.check(df)
+    return SILVER_TRIPS.check(fenced(df))
