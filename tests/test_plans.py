@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from transitlake.functions import lenient_int
-from transitlake.plans import daily, layers, trips
+from transitlake.plans import daily, layers, pings, routes, trips
 from transitlake.sources import adapters
 from transitlake.sources.lake import Lake
 
@@ -107,3 +107,40 @@ def test_bucketed_trips_are_aggregated_without_a_shuffle(spark, lake, sf_small):
     finally:
         for name in ("trips_in_buckets", "trips_declared_again"):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_trip_predicates_are_not_inlined_into_the_parsing(spark, sf_small):
+    """The duration filter over trips parsed in the same plan stays above the parsing: each text is made once."""
+    parsed = trips.silver_trips(adapters.trips_raw(spark, sf_small))
+    plan = plan_of(daily.trip_indicators(parsed, daily.route_lookup(routes.silver_routes(adapters.routes_raw(spark, sf_small)))))
+    # the day's text, and hour and minute of both clocks
+    assert plan.count("date_format(") == 1 and plan.count("lpad(") == 4
+
+
+def test_ping_predicates_are_not_inlined_into_the_parsing(spark, sf_small):
+    """Header, separator and coordinate tests: a line's time is formatted for the line and for the header's two tests, no more."""
+    plan = plan_of(pings.silver_pings(adapters.gps_raw(spark, sf_small)))
+    # three branches of the dump
+    assert plan.count("date_format(") <= 9
+
+
+def test_landing_files_are_compressed_and_keep_their_lines(spark, sf_small):
+    import os
+
+    out = Lake.on_shared_storage(spark)
+    raw = adapters.gps_raw(spark, sf_small), adapters.routes_raw(spark, sf_small), adapters.trips_raw(spark, sf_small)
+    landing = layers.land(spark, out, *raw)
+    for path in (landing.pings, landing.routes, landing.trips):
+        names = [n for n in os.listdir(path) if n.startswith("part-")]
+        assert names and all(n.endswith(".gz") for n in names)
+    for got, want in zip(layers.bronze_frames(spark, landing).values(), raw, strict=True):
+        got = got.na.fill("")
+        assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+def test_layer_profile_shuffles_fingerprints(spark, lake):
+    """Rows are grouped by their fingerprint, in the shuffle too, and the counts are those of the rows themselves."""
+    plan = plan_of(layers.profile_layer(spark, lake, "silver"))
+    exact = layers.profile_layer(spark, lake, "silver", fingerprint=False)
+    assert "xxhash64(" in plan and "hashpartitioning(timestamp_gps" not in plan and "hashpartitioning(timestamp_gps" in plan_of(exact)
+    assert sorted(map(str, layers.profile_layer(spark, lake, "silver").collect())) == sorted(map(str, exact.collect()))

@@ -58,12 +58,12 @@ class LandingFiles:
 def land(
     spark: SparkSession, lake: Lake, pings: DataFrame, routes: DataFrame, trips: DataFrame, parallel: bool = True
 ) -> LandingFiles:
-    """Write raw-shaped DataFrames as the landing files the bronze layer reads."""
+    """Write raw-shaped DataFrames as the (gzip) landing files the bronze layer reads."""
     paths = _run_tables(
         {
-            "gps": lambda: write_lines(pings, lake.path("landing", "gps")),
-            "linhas": lambda: write_delimited(routes, lake.path("landing", "linhas"), ","),
-            "mco": lambda: write_delimited(trips, lake.path("landing", "mco"), ";"),
+            "gps": lambda: write_lines(pings, lake.path("landing", "gps"), compression="gzip"),
+            "linhas": lambda: write_delimited(routes, lake.path("landing", "linhas"), ",", compression="gzip"),
+            "mco": lambda: write_delimited(trips, lake.path("landing", "mco"), ";", compression="gzip"),
         },
         parallel,
     )
@@ -217,10 +217,12 @@ def run_gold(
     return metrics
 
 
-def profile_layer(spark: SparkSession, lake: Lake, layer: str, fingerprint: bool = False) -> DataFrame:
-    """Null and duplicate profile of every table of a layer, as one DataFrame
-    (``fingerprint``: count duplicates on row fingerprints, see
-    :func:`transitlake.operators.duplicate_profile`)."""
+def profile_layer(spark: SparkSession, lake: Lake, layer: str, fingerprint: bool = True) -> DataFrame:
+    """Null and duplicate profile of every table of a layer, as one DataFrame.
+
+    Duplicates are counted on 128-bit row fingerprints, since whole rows would be
+    shuffled and spilled once more; ``fingerprint=False`` groups the rows themselves
+    (see :func:`transitlake.operators.duplicate_profile`)."""
     tables = {
         "bronze": ["gps", "linhas", "mco"],
         "silver": ["gps", "linhas", "mco"],
