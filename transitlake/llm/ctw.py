@@ -319,9 +319,17 @@ def _chunk_scores(words: dict, parts: list, blobs: list[bytes], tokens: int, kin
     for blob in blobs:
         for _, held_out, text in unpacked(blob):
             own.update(dict.fromkeys(text.split(), 0) if held_out else text.split())
-    value_of = {w: math.log10(c + 1) for w, c in own.items() if w not in words} | words
+    # in place, and nothing held twice: a worker's share of the executor is small
+    for w, c in own.items():
+        own[w] = math.log10(c + 1)
+    value_of: dict = own
+    dict.update(value_of, words)
+    words.clear()
     end = math.log10(ends + 1)
-    table_of = Table(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+    parts.clear()
+    table_of = Table(keys, values)
+    del keys, values
     for blob in blobs:
         docs = unpacked(blob)
         codes, sizes = codes_of([text for _, _, text in docs])
