@@ -3,13 +3,18 @@
 import collections
 import hashlib
 import math
+import pickle
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from transitlake.llm import bpe, chat, ctw, fingerprints, fixity, neardup, packing, pii, quality, toxicity
@@ -636,3 +641,41 @@ def test_audit_odd_rows(spark):
     lost = fixity.report(pages, pages.filter("page_id = 5000")).filter("damaged").count()
     assert lost == 4
     assert fixity.report(pages.limit(0), pages.limit(0)).count() == 0
+
+
+def words_apart(blobs, words):
+    """Packed documents of ``words`` words each, none of which comes twice; the bytes of their texts."""
+    texts = [" ".join(f"{i:03d}{j:07d}" for j in range(words)).encode() for i in range(blobs)]
+    press = zstandard.ZstdCompressor(level=3)
+    return [press.compress(pickle.dumps([(1000 * i, i == 0, t)])) for i, t in enumerate(texts)], sum(map(len, texts))
+
+
+def held_at_most(work):
+    """Most bytes that Python and numpy held while ``work`` ran."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_chunk_is_counted_and_scored_in_few_times_its_bytes(monkeypatch):
+    monkeypatch.setattr(ctw, "GROUP_BYTES", 50_000, raising=False)
+    monkeypatch.setattr(ctw, "APART_ROWS", 5000, raising=False)
+    blobs, size = words_apart(30, 4000)
+
+    def batches():
+        for blob in blobs:
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([blob], pa.binary())], ["chunk", "blob"])
+
+    rows = []
+    assert held_at_most(lambda: rows.extend(ctw._counted(batches()))) < 8 * size
+    counted = pa.Table.from_batches(rows)
+    grams = counted.filter(pc.is_valid(counted.column("gram"))).column("gram").to_numpy()
+    words = counted.filter(pc.is_valid(counted.column("word")))
+    assert len(words) == 30 * 4000 and pc.sum(words.column("n")).as_py() == 29 * 4000
+    got = []
+    parts = [(grams, np.zeros(len(grams)))]
+    assert held_at_most(lambda: got.extend(ctw._chunk_scores([], parts, list(blobs), 10**6, 10**5, 1))) < 6 * size
+    assert [r["n_known"] for b in got for r in b.to_pylist()] == [1] + [4001] * 29

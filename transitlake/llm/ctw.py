@@ -35,17 +35,17 @@ from __future__ import annotations
 import math
 import pickle
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from transitlake.llm.common import crc_bucket, settle, settle_table, ship, table, whole_text
+from transitlake.llm.common import crc_bucket, light_batches, settle, settle_table, ship, table, whole_text
 
 ship(__name__)
 
@@ -55,6 +55,10 @@ CHUNK_BYTES = 48_000_000
 END = 0xFF
 _PAD = bytes([END]) * DEPTH
 _ROWS = 50_000
+#: Documents are packed, and unpacked, in groups of about so many bytes.
+PACK_BYTES, GROUP_BYTES = 24_000_000, 1_500_000
+#: Counts are held apart up to so many rows, or as many as are added up already.
+APART_ROWS = 500_000
 
 
 def codes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,64 +78,139 @@ def codes_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _totals(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-    return keys, np.bincount(at, weights=np.concatenate([n for _, n in parts]).astype(np.float64)).astype(np.int64)
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Grams and words of each chunk with their training counts (0: only in held-out texts)."""
-    held: dict[int, tuple[Counter, list]] = {}
-
-    def out(chunk: int) -> Iterator[pa.RecordBatch]:
-        words, parts = held.pop(chunk)
+    keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    at = np.argsort(keys, kind="stable")  # quick on parts that are in order
+    keys, n = keys[at], n[at]
+    del at
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def _encoded(docs: list[tuple[int | None, bool, bytes]]) -> tuple[pa.DictionaryArray, np.ndarray, np.ndarray]:
+    """The words of some documents, one after another, as numbers into their distinct words; how many
+    each document has; and which of them are training words.  A word in Arrow takes a tenth of a Python object."""
+    tokens, sizes = [], []
+    for _, _, text in docs:
+        split = text.split()
+        tokens += split
+        sizes.append(len(split))
+    of = np.array(sizes, dtype=np.int32)
+    train = np.repeat(np.array([not held_out for _, held_out, _ in docs], dtype=bool), of)
+    return pa.array(tokens, pa.binary()).dictionary_encode(), of, train
+
+
+def _numbers(words: pa.DictionaryArray) -> np.ndarray:
+    return words.indices.to_numpy(zero_copy_only=False)
+
+
+def _word_totals(parts: list[pa.Table]) -> pa.Table:
+    total = pa.concat_tables(parts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    total = total.select(["word", "n_sum"]).rename_columns(["word", "n"])
+    parts.clear()
+    pa.default_memory_pool().release_unused()
+    return total
+
+
+def _many_apart(sizes: list[int]) -> bool:
+    """Whether the parts behind the first, which is the sum so far, are worth adding up."""
+    return sum(sizes[1:]) > max(sizes[0], APART_ROWS)
+
+
+class Counts:
+    """Training counts of the grams and words of one chunk (0: only in held-out texts)."""
+
+    def __init__(self):
+        self.words, self.grams = [], []
+
+    def add(self, docs: list[tuple[int | None, bool, bytes]]) -> None:
+        tokens, _, train = _encoded(docs)
+        n = np.bincount(_numbers(tokens)[train], minlength=len(tokens.dictionary))
+        self.words.append(pa.table({"word": tokens.dictionary, "n": pa.array(n, pa.int64())}))
+        if _many_apart([len(x) for x in self.words]):
+            self.words = [_word_totals(self.words)]
+        by: dict[bool, list[bytes]] = {}
+        for _, held_out, text in docs:
+            by.setdefault(held_out, []).append(text)
+        for held_out, texts in by.items():
+            codes, _ = codes_of(texts)
+            keys, n = np.unique(codes, return_counts=True)
+            self.grams.append((keys, np.zeros(len(n), dtype=np.int64) if held_out else n))
+        if _many_apart([len(x) for x, _ in self.grams]):
+            self.grams = [_totals(self.grams)]
+
+    def batches(self, chunk: int) -> Iterator[pa.RecordBatch]:
         names = ["chunk", "word", "gram", "n"]
-        items = list(words.items())
-        for i in range(0, len(items), _ROWS):
-            w, n = zip(*items[i : i + _ROWS], strict=True)
-            columns = [pa.array([chunk] * len(w), pa.int32()), pa.array(w, pa.binary()), pa.nulls(len(w), pa.int64()), pa.array(n, pa.int64())]
+        for rows in _word_totals(self.words).to_batches(max_chunksize=_ROWS):
+            w, n = rows.column("word"), rows.column("n")
+            columns = [pa.array([chunk] * len(w), pa.int32()), w, pa.nulls(len(w), pa.int64()), n]
             yield pa.RecordBatch.from_arrays(columns, names)
-        keys, n = _totals(parts)
+        keys, n = _totals(self.grams)
         for i in range(0, len(keys), _ROWS):
             k = keys[i : i + _ROWS]
             columns = [pa.array([chunk] * len(k), pa.int32()), pa.nulls(len(k), pa.binary()), pa.array(k), pa.array(n[i : i + _ROWS])]
             yield pa.RecordBatch.from_arrays(columns, names)
 
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Grams and words of each chunk with their training counts (0: only in held-out texts)."""
+    held: dict[int, tuple[Counts, list, list]] = {}
     for batch in batches:
         for chunk, blob in zip(batch.column("chunk").to_pylist(), batch.column("blob").to_pylist(), strict=True):
-            by: dict[bool, list[bytes]] = {}
-            for _, held_out, text in unpacked(blob):
-                by.setdefault(held_out, []).append(text)
-            words, parts = held.setdefault(chunk, (Counter(), []))
-            for held_out, texts in by.items():
-                for text in texts:
-                    words.update(dict.fromkeys(text.split(), 0) if held_out else text.split())
-                codes, _ = codes_of(texts)
-                keys, n = np.unique(codes, return_counts=True)
-                parts.append((keys, np.zeros(len(n), dtype=np.int64) if held_out else n))
-                if len(parts) > 16:
-                    parts[:] = [_totals(parts)]
+            counts, docs, size = held.setdefault(chunk, (Counts(), [], [0]))
+            for doc in unpacked(blob):
+                docs.append(doc)
+                size[0] += len(doc[2]) + 1
+                if size[0] >= GROUP_BYTES:
+                    counts.add(docs)
+                    docs.clear()
+                    size[0] = 0
     for chunk in list(held):
-        yield from out(chunk)
+        counts, docs, _ = held.pop(chunk)
+        if docs:
+            counts.add(docs)
+        yield from counts.batches(chunk)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of a batch by chunk, compressed: they are shuffled twice."""
+    """Documents by chunk, many at a time, compressed: they are shuffled twice."""
     press = zstandard.ZstdCompressor(level=3)
+    by: dict[int, list] = {}
+    size = 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for chunk in list(by):
+            blob = press.compress(pickle.dumps(by.pop(chunk)))
+            yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([blob], pa.binary())], ["chunk", "blob"])
+
     for batch in batches:
-        by: dict[int, list] = {}
         texts = batch.column("text").cast(pa.binary()).to_pylist()
         for chunk, doc_id, held_out, text in zip(*(batch.column(c).to_pylist() for c in ("chunk", "doc_id", "held_out")), texts, strict=True):
             by.setdefault(chunk, []).append((doc_id, held_out, text.lower()))
-        for chunk, rows in by.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([chunk], pa.int32()), pa.array([press.compress(pickle.dumps(rows))], pa.binary())], ["chunk", "blob"]
-            )
+            size += len(text) + 100
+        if size >= PACK_BYTES:
+            yield from out()
+            size = 0
+    yield from out()
 
 
 def unpacked(blob: bytes) -> list[tuple[int | None, bool, bytes]]:
     return pickle.loads(zstandard.decompress(blob))
 
 
+def _gathered(blobs: list[bytes]) -> Iterator[list[tuple[int | None, bool, bytes]]]:
+    """The documents of all blobs, in groups: blobs are small where chunks are many, and large where they are few."""
+    docs, size = [], 0
+    for blob in blobs:
+        for doc in unpacked(blob):
+            docs.append(doc)
+            size += len(doc[2]) + 1
+            if size >= GROUP_BYTES:
+                yield docs
+                docs, size = [], 0
+    if docs:
+        yield docs
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Logarithm of the gamma function for x >= 1/2 (Stirling's series above 8)."""
     shift = np.zeros_like(x)
@@ -283,7 +362,7 @@ class Table:
 
 def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int, ends: int) -> Iterator[pa.RecordBatch]:
     """Rows of some chunks: each chunk's answers first, then its documents."""
-    chunk, words, parts, blobs = None, {}, [], []
+    chunk, words, parts, blobs = None, [], [], []
     for batch in batches:
         label = batch.column("chunk").to_numpy()
         turns = [0, *(np.flatnonzero(label[1:] != label[:-1]) + 1).tolist(), len(label)]
@@ -293,12 +372,12 @@ def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int, ends: in
                 continue
             if part.column("chunk")[0].as_py() != chunk:
                 yield from _chunk_scores(words, parts, blobs, tokens, kinds, ends)
-                chunk, words, parts, blobs = part.column("chunk")[0].as_py(), {}, [], []
+                chunk, words, parts, blobs = part.column("chunk")[0].as_py(), [], [], []
             kind = part.column("kind").to_numpy()
             at = [np.flatnonzero(kind == k) for k in range(3)]
             if len(at[0]):
                 got = part.take(pa.array(at[0]))
-                words.update(zip(got.column("word").to_pylist(), got.column("value").to_pylist(), strict=True))
+                words.append((got.column("word"), got.column("value").to_numpy()))
             if len(at[1]):
                 got = part.take(pa.array(at[1]))
                 parts.append((got.column("gram").to_numpy(), got.column("value").to_numpy()))
@@ -307,38 +386,50 @@ def _scored(batches: Iterator[pa.RecordBatch], tokens: int, kinds: int, ends: in
     yield from _chunk_scores(words, parts, blobs, tokens, kinds, ends)
 
 
-def _chunk_scores(words: dict, parts: list, blobs: list[bytes], tokens: int, kinds: int, ends: int) -> Iterator[pa.RecordBatch]:
-    """Scores of one chunk.  ``words`` has the corpus counts of the words that
-    other chunks also train on; the others' counts are those of the chunk."""
+def _chunk_scores(words: list, parts: list, blobs: list[bytes], tokens: int, kinds: int, ends: int) -> Iterator[pa.RecordBatch]:
+    """Scores of one chunk.  ``words`` has log10(count + 1), over the corpus, of the words
+    that other chunks also train on; the others' counts are those of the chunk."""
     if not blobs:
         return
     floor = math.log10(tokens + kinds + 1)
     names = ["doc_id", "held_out", "n_tokens", "n_known", "n_bytes", "base_score", "score"]
     types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    own: Counter = Counter()
-    for blob in blobs:
-        for _, held_out, text in unpacked(blob):
-            own.update(dict.fromkeys(text.split(), 0) if held_out else text.split())
-    # in place, and nothing held twice: a worker's share of the executor is small
-    for w, c in own.items():
-        own[w] = math.log10(c + 1)
-    value_of: dict = own
-    dict.update(value_of, words)
+    # the chunk's words are held once, as numbers into its distinct words
+    encoded, of, trained = [], [], []
+    for docs in _gathered(blobs):
+        for kept, x in zip((encoded, of, trained), _encoded(docs), strict=True):
+            kept.append(x)
+    one = pa.chunked_array(encoded).unify_dictionaries()
+    encoded.clear()
+    pa.default_memory_pool().release_unused()
+    distinct = one.chunk(0).dictionary
+    numbers = [_numbers(x) for x in one.chunks]
+    del one
+    own = np.zeros(len(distinct), dtype=np.int64)
+    for x, train in zip(numbers, trained, strict=True):
+        own += np.bincount(x[train], minlength=len(own))
+    trained.clear()
+    value = np.log10(own + 1.0)
+    if words:
+        at = pc.index_in(pa.concat_arrays([w for w, _ in words]), value_set=distinct)
+        value[at.to_numpy(zero_copy_only=False)] = np.concatenate([v for _, v in words])
+        del at
     words.clear()
+    del own, distinct
+    pa.default_memory_pool().release_unused()
     end = math.log10(ends + 1)
     keys, values = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
     table_of = Table(keys, values)
     del keys, values
-    for blob in blobs:
-        docs = unpacked(blob)
+    for docs, number, size in zip(_gathered(blobs), numbers, of, strict=True):
         codes, sizes = codes_of([text for _, _, text in docs])
         scores = np.add.reduceat(table_of[codes], np.cumsum(sizes) - sizes)
+        known_of, stops = value[number], np.cumsum(size, dtype=np.int64).tolist()
         rows = []
-        for (doc_id, held_out, text), score in zip(docs, scores.tolist(), strict=True):
-            split = text.split()
-            known = np.fromiter(map(value_of.__getitem__, split), dtype=np.float64, count=len(split))
-            n = len(split) + 1
+        for (doc_id, held_out, text), score, start, stop in zip(docs, scores.tolist(), [0, *stops[:-1]], stops, strict=True):
+            known = known_of[start:stop]
+            n = len(known) + 1
             rows.append((doc_id, held_out, n, int(np.count_nonzero(known)) + (ends > 0), len(text), float(known.sum()) + end - n * floor, score))
         columns = zip(*rows, strict=True)
         yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types, strict=True)], names)
@@ -347,6 +438,7 @@ def _chunk_scores(words: dict, parts: list, blobs: list[bytes], tokens: int, kin
 def scores(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Scores of each row of ``docs``; rows whose crc32(doc_id) mod 7 is 2 are held out of training."""
     spark = docs.sparkSession
+    light_batches(spark)
     text = whole_text()
     held_out = crc_bucket(F.col("doc_id"), 7) == 2
     whole = docs.agg(F.sum(F.octet_length(text)).alias("b"), F.count_if(~held_out).alias("ends")).first()
