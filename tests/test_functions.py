@@ -179,3 +179,14 @@ def test_ratio_round_is_exact(spark):
     df = spark.createDataFrame(rows, "a long, b long")
     got = [r.r for r in df.select(ratio_round("a", "b").alias("r")).collect()]
     assert got == [0.13, -0.13, 0.01, 0.0, None, None, 9.22, (2**53 + 1) * 100 / 100, -(2**63 * 100 // 7 + 1) / 100]
+
+
+def test_integers_before_a_fraction(spark):
+    texts = {
+        "12.7": 12, "+3.": 3, "-4.99": -4, "007.0": 7, "123456789.5": 123456789, "1234567890.5": 1234567890,
+        "99999999999.1": None, ".5": 0, "-.5": 0, "1.5e3": None, "1.2.3": None, "7.5\n": 7, " 8.1": 8, "9,5": None, "": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for apart in (False, True):
+        got = rows.select("t", lenient_int("t", apart).alias("i")).collect()
+        assert {r.t: r.i for r in got} == texts

@@ -1,6 +1,7 @@
 """Sinks and layer runs through a lake on the shared checkpoint folder."""
 
 import pathlib
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from transitlake.catalog import QUERIES
 from transitlake.operators import RuleViolation
 from transitlake.plans import layers
 from transitlake.sources import adapters
-from transitlake.sources.lake import Lake, checkpoint_dir
+from transitlake.sources.lake import Lake, checkpoint_dir, read_lines, write_lines
 
 
 def test_lake_lives_under_checkpoint_dir(spark):
@@ -349,3 +350,14 @@ def test_contract_types(spark):
     with pytest.raises(ContractError, match="b \\(string, expected int\\), c \\(missing"):
         check_types(df, contract)
     assert check_types(df.select("a"), Contract("t", "final", ["a"], types={"a": "int"})).columns == ["a"]
+
+
+def test_landing_files_take_the_quick_gzip_level(spark, tmp_path):
+    lines = [f"{i},105;20240101{i % 86400:06d};-19,{900000 + i};{i * 7919 % 1500};{i % 360}" for i in range(20_000)]
+    frame = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    write_lines(frame, str(tmp_path / "gps"), compression="gzip")
+    assert sorted(r.value for r in read_lines(spark, str(tmp_path / "gps")).collect()) == sorted(lines)
+    size = sum(p.stat().st_size for p in (tmp_path / "gps").glob("*.gz"))
+    plain = "\n".join(lines).encode()
+    quick, usual = (len(zlib.compress(plain, level)) for level in (1, 6))
+    assert abs(size - quick) < abs(size - usual)

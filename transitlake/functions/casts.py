@@ -35,10 +35,13 @@ def _by_rule(c: Column, type_name: str) -> Column:
 
 def _lenient_integral(c, type_name: str, apart: bool) -> Column:
     # A failing try_cast costs some 50 us (it raises and catches inside), so
-    # every cast is behind a regex: plain integers pay for one, texts with
-    # blanks or a fraction for three, and only long digit runs can still fail.
+    # every cast is behind a regex: digits, with or without a fraction, pay for
+    # one, other texts for three, and only long digit runs can still fail.
     c = as_col(c)
-    plain = F.when(c.rlike(rf"^[+-]?[0-9]{{1,{_SAFE_DIGITS[type_name]}}}\z"), c.cast(type_name))
+    plain = F.when(
+        c.rlike(rf"^[+-]?[0-9]{{1,{_SAFE_DIGITS[type_name]}}}(?:[.][0-9]*)?\z"),
+        F.substring_index(c, ".", 1).cast(type_name),
+    )
     if apart:
         return plain.otherwise(F.get(F.transform(F.array(c), lambda x: _by_rule(x, type_name)), 0))
     return plain.otherwise(_by_rule(c, type_name))
@@ -48,7 +51,7 @@ def lenient_int(c, apart: bool = False) -> Column:
     """Text -> INT; malformed or out-of-range text -> NULL (never raises).
 
     ``apart``: for tables with many number columns.  The rule for texts that
-    are no plain integers then goes into a higher-order function.  Such a
+    are neither plain integers nor plain decimals then goes into a higher-order function.  Such a
     projection is generated as many small methods beside the whole-stage code,
     which together with the rest would be one method too large for the JVM to
     compile (above 8000 bytes it stays interpreted, several times slower).
